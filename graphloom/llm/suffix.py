@@ -73,7 +73,13 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     first = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])
     last = np.concatenate([first[1:] - 1, [len(owner) - 1]])
     position = owner[first]
-    return position, first, last, h[position]
+    return position, first, last, _even(h[position])
+
+
+def _even(h: np.ndarray) -> np.ndarray:
+    """Anchors have the least hashes of their windows; mixed again they spread evenly over ranges."""
+    h = (h ^ (h >> np.uint64(32))) * _M[2]
+    return (h ^ (h >> np.uint64(29))) * _M[4]
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -181,28 +187,56 @@ def gathered(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Ite
         yield ids, texts
 
 
-def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For the buckets of a partition, in order: which documents' hashes are in several slices."""
-    asked: list[bytes] = []
-    bucket = None
+def letters(by_doc: dict[int, list[bytes]], buckets: int) -> pa.RecordBatch:
+    """What a task has to say about documents: one row for each home bucket, however many documents live there."""
+    docs = np.fromiter(by_doc, np.int64, len(by_doc))
+    data = [b"".join(x) for x in by_doc.values()]
+    size = np.fromiter(map(len, data), np.int64, len(data))
+    out_b, out_x = [], []
+    for home, own in _split(np.array([_spread(int(d), buckets) for d in docs], np.int64), np.arange(len(docs))):
+        out_b.append(home)
+        out_x.append(struct.pack("<I", len(own)) + docs[own].astype("<i8").tobytes() + size[own].astype("<u4").tobytes() + b"".join(data[i] for i in own))
+    return _rows(out_b, [None] * len(out_b), out_x)
+
+
+def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Puts together what all tasks say about the documents of a home bucket: a row per document."""
+    by_doc: dict[int, list[bytes]] = {}
     for b in batches:
-        out_d, out_x = [], []
-        for k, d, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            if k != bucket:
-                _settle(asked, out_d, out_x)
-                asked, bucket = [], k
-            if x[:1] == b"A":
-                out_d.append(d)
-                out_x.append(x[1:])
-            else:
-                asked.append(x)
-        yield _rows([0] * len(out_d), out_d, out_x)
-    out_d, out_x = [], []
-    _settle(asked, out_d, out_x)
-    yield _rows([0] * len(out_d), out_d, out_x)
+        for x in b.column(2).to_pylist():
+            n = struct.unpack_from("<I", x)[0]
+            at = 4 + 12 * n
+            for d, size in zip(np.frombuffer(x, "<i8", n, 4).tolist(), np.frombuffer(x, "<u4", n, 4 + 8 * n).tolist(), strict=True):
+                by_doc.setdefault(d, []).append(x[at : at + size])
+                at += size
+    docs = [d for d in by_doc if d != NULL_ID]
+    for i in range(0, len(docs), 10_000):
+        part = docs[i : i + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([b"".join(by_doc[d]) for d in part], pa.binary())], ["doc_id", "data"])
+
+
+def answer(buckets: int):
+    """For the buckets of a partition, in order: which documents' hashes are in several slices."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked: list[bytes] = []
+        bucket, out = None, {}
+        for b in batches:
+            for k, d, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if k != bucket:
+                    _settle(asked, out)
+                    asked, bucket = [], k
+                if x[:1] == b"A":
+                    out.setdefault(_id(d), []).append(x[1:])
+                else:
+                    asked.append(x)
+        _settle(asked, out)
+        yield letters(out, buckets)
 
+    return run
 
-def _settle(asked: list[bytes], out_d: list, out_x: list) -> None:
+
+def _settle(asked: list[bytes], out: dict[int, list[bytes]]) -> None:
     if len(asked) < 2:
         return
     docs, hs = [], []
@@ -220,8 +254,7 @@ def _settle(asked: list[bytes], out_d: list, out_x: list) -> None:
     many[1:] |= same
     many[:-1] |= same
     for d, own in _split(doc[many], h[many]):
-        out_d.append(None if d == NULL_ID else d)
-        out_x.append(_sixes(own))
+        out.setdefault(d, []).append(_sixes(own))
 
 
 HEAD = struct.Struct("<qIIIBBB")  # document, anchor, first window, last window, shared prefix, left bytes, further right bytes
@@ -234,8 +267,8 @@ def sorted_runs(buckets: int, length: int):
         held: list[tuple[int, bytes, np.ndarray]] = []
         size = 0
         for b in slices(batches):
-            for d, t, xs in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
-                held.append((_id(d), t, np.unique(_from_sixes(b"".join(xs)))))
+            for d, t, x in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
+                held.append((_id(d), t, np.unique(_from_sixes(x))))
                 size += len(t)
             if size >= SLICE_BYTES:
                 yield _run_of(held, buckets, length)
@@ -357,12 +390,13 @@ class LoserTree:
             self.winner = winner
 
 
-def merge(length: int):
+def merge(buckets: int, length: int):
+    """For the buckets of a partition, in order: the repeated windows of documents."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs: list[bytes] = []
-        bucket = None
+        bucket, out = None, {}
         for b in batches:
-            out: dict[int, list[int]] = {}
             for k, d, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if k != bucket:
                     combine(runs, length, out)
@@ -371,18 +405,12 @@ def merge(length: int):
                     out.setdefault(_id(d), []).extend(np.frombuffer(x, "<u4", -1, 1).tolist())
                 else:
                     runs.append(x)
-            yield _windows(out)
-        out = {}
         combine(runs, length, out)
-        yield _windows(out)
+        yield letters({d: [np.array(w, "<u4").tobytes()] for d, w in out.items()}, buckets)
 
     return run
 
 
-def _windows(out: dict[int, list[int]]) -> pa.RecordBatch:
-    return _rows([0] * len(out), [None if d == NULL_ID else d for d in out], [np.array(w, "<u4").tobytes() for w in out.values()])
-
-
 def combine(runs: list[bytes], length: int, out: dict[int, list[int]]) -> None:
     """Merges the runs of a bucket and notes the repeated windows."""
     group: list[tuple] = []
@@ -446,8 +474,8 @@ def cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             cols: list[list] = [[], [], [], []]
-            for d, t, xs in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
-                w = np.frombuffer(b"".join(xs), "<u4").reshape(-1, 2).astype(np.int64)
+            for d, t, x in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
+                w = np.frombuffer(x, "<u4").reshape(-1, 2).astype(np.int64)
                 edge = np.zeros(len(t) + 1, np.int32)
                 np.add.at(edge, w[:, 0], 1)
                 np.add.at(edge, np.minimum(w[:, 1] + length, len(t)), -1)
@@ -467,14 +495,15 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     spark = rows.sparkSession
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = stage(rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "base")
+    home = F.col("bucket")
     asked = rows.mapInArrow(fingerprints(buckets, length), SCHEMA)
-    told = asked.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(answer, SCHEMA)
-    wanted = stage(told.groupBy("doc_id").agg(F.collect_list("blob").alias("hashes")), "wanted")
-    some = restrict(rows, wanted, "doc_id").join(wanted.hint("merge"), "doc_id")
-    runs = some.select("doc_id", "text", "hashes").mapInArrow(sorted_runs(buckets, length), SCHEMA)
-    found = runs.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(merge(length), SCHEMA)
-    windows = stage(found.groupBy("doc_id").agg(F.collect_list("blob").alias("windows")), "windows")
-    cuts = restrict(rows, windows, "doc_id").join(windows.hint("merge"), "doc_id").select("doc_id", "text", "windows").mapInArrow(cut(length), "doc_id long, n_removed long, n_spans long, kept_sha256 string")
+    told = asked.repartitionById(buckets, home).sortWithinPartitions("bucket").mapInArrow(answer(buckets), SCHEMA)
+    wanted = stage(told.repartitionById(buckets, home).mapInArrow(gather, "doc_id long, data binary"), "wanted")
+    some = restrict(rows, wanted, "doc_id").join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "data")
+    runs = some.mapInArrow(sorted_runs(buckets, length), SCHEMA)
+    found = runs.repartitionById(buckets, home).sortWithinPartitions("bucket").mapInArrow(merge(buckets, length), SCHEMA)
+    windows = stage(found.repartitionById(buckets, home).mapInArrow(gather, "doc_id long, data binary"), "windows")
+    cuts = restrict(rows, windows, "doc_id").join(windows.hint("merge"), "doc_id").select("doc_id", "text", "data").mapInArrow(cut(length), "doc_id long, n_removed long, n_spans long, kept_sha256 string")
     out = base.join(cuts, "doc_id", "left")
     zero = F.lit(0).cast("long")
     return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
