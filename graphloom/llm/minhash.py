@@ -9,9 +9,10 @@ Method
 3. Classes that share a band are candidates. In each bucket all classes are compared with one leader, the class that
    shares most buckets, so that a bucket of m classes gives m - 1 pairs. Pairs whose sizes or low signature bytes
    exclude the threshold drop out; the others are confirmed on their full sets.
-4. Where a bucket still holds several components, rounds with further leaders follow while they pay, and then the pairs
-   that are left between different components are compared, so that no link is lost. A pair inside one component can't
-   change the result and is never made.
+4. Where a bucket still holds several components, its classes are cut into blocks, and pairs of blocks are compared as
+   arrays: pairs of one component, of unequal sizes, or whose exact distances to the leader exclude a link (two sets
+   can differ by no less than their differences from the leader do) are never made; a pair that shares several buckets
+   is looked at in the first. What is left is confirmed on full sets. So no link is lost.
 5. Components by minimum labels; each keeps its smallest id.
 
 Hot buckets and hot classes are pre-aggregated, and rows find their group by ``join_groups``.
@@ -35,9 +36,9 @@ from ..operators.components import connected_components
 from .common import docs_of, join_groups, module_cache, restrict, slices, stage
 
 PERMUTATIONS, ROWS, BANDS = 64, 5, 25
-#: A pair at the threshold has fewer equal signature bytes than this with a probability of about 1e-9.
-LEAST_EQUAL = 72
-MAX_LEADER_ROUNDS = 4
+#: A pair at the threshold has fewer equal signature bytes than this with a probability of about 1e-6.
+LEAST_EQUAL = 80
+BLOCK = 256
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _RNG = np.random.default_rng(2013)
@@ -79,11 +80,17 @@ def shingles(text: str, width: int) -> np.ndarray:
 def signature(sets: np.ndarray) -> np.ndarray:
     """The least and the greatest value under each permutation, interleaved: 2 * PERMUTATIONS values."""
     least, most = np.full(PERMUTATIONS, 2**64 - 1, np.uint64), np.zeros(PERMUTATIONS, np.uint64)
-    for i in range(0, len(sets), 1024):
-        v = sets[i : i + 1024, None] * _A + _B
-        v ^= v >> np.uint64(32)
-        v *= np.uint64(0xD6E8FEB86659FD93)
-        least, most = np.minimum(least, v.min(0)), np.maximum(most, v.max(0))
+    for i in range(0, len(sets), 512):
+        v = sets[i : i + 512, None] * _A
+        v += _B
+        np.minimum(least, v.min(0), out=least)
+        np.maximum(most, v.max(0), out=most)
+    least ^= least >> np.uint64(32)  # the extremes lie close together: mix their low bytes
+    most ^= most >> np.uint64(32)
+    least *= _STEP
+    most *= _STEP
+    least ^= least >> np.uint64(29)
+    most ^= most >> np.uint64(29)
     return np.concatenate([least, most])
 
 
@@ -128,36 +135,74 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select([0, 1]).take(pa.array(keep))
 
 
-def _linked(percent: int):
+def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The exact size of each pair's intersection."""
+    for b in batches:
+        same = []
+        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
+            both.sort()
+            same.append(int((both[1:] == both[:-1]).sum()))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same, pa.int64())], ["a", "b", "same"])
+
+
+def _block_pairs(percent: int):
+    """For pairs of blocks of one bucket: the pairs between components that may be linked."""
+
+    def read(block: list[dict]) -> tuple:
+        low = np.frombuffer(b"".join(r["low"] for r in block), np.uint8).reshape(len(block), -1)
+        node, n, label, diff = (np.array([r[k] for r in block], np.int64) for k in ("node", "n", "label", "diff"))
+        return node, n, label, diff, low, np.array([r["bands"] for r in block], np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([p, q])
-                both.sort()
-                same = int((both[1:] == both[:-1]).sum())
-                if 100 * same >= percent * (len(p) + len(q) - same):
-                    keep.append(i)
-            yield b.select([0, 1]).take(pa.array(keep, pa.int64()))
+        for batch in batches:
+            for k in range(batch.num_rows):
+                band, x, y = (batch.column(i)[k].as_py() for i in range(3))
+                a, b = read(x), read(y)
+                size = a[1][:, None] + b[1]
+                ok = (a[2][:, None] != b[2]) & (a[0][:, None] != b[0])
+                ok &= 100 * np.minimum(a[1][:, None], b[1]) >= percent * np.maximum(a[1][:, None], b[1])
+                # linked sets differ in at most (100 - percent) / (100 + percent) of their sizes' sum
+                known = (a[3][:, None] >= 0) & (b[3] >= 0)
+                ok &= ~known | (np.abs(a[3][:, None] - b[3]) * (100 + percent) <= (100 - percent) * size)
+                i, j = np.nonzero(ok)
+                keep = np.zeros(len(i), bool)
+                for at in range(0, len(i), 20_000):
+                    s = slice(at, at + 20_000)
+                    keep[s] = (a[4][i[s]] == b[4][j[s]]).sum(1) >= LEAST_EQUAL
+                i, j = i[keep], j[keep]
+                if len(i):
+                    first = (a[5][i] == b[5][j]).argmax(1)
+                    own = a[5][i, first] == band
+                    i, j = i[own], j[own]
+                lo, hi = np.minimum(a[0][i], b[0][j]), np.maximum(a[0][i], b[0][j])
+                yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["a", "b"])
 
     return run
 
 
 class _Comparer:
-    """Confirms candidate pairs on full sets; sets are made once, when a class is first needed."""
+    """Confirms candidate pairs on full sets."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, width: int, percent: int):
         self.docs, self.low, self.width, self.percent = docs, classes.select("node", "low"), width, percent
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Of the (a, b) of ``pairs`` those that are linked, staged."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The (a, b) of ``pairs`` whose signatures allow a link."""
         lows = pairs.join(self.low.select(F.col("node").alias("a"), F.col("low").alias("la")), "a").join(self.low.select(F.col("node").alias("b"), F.col("low").alias("lb")), "b")
-        likely = stage(lows.select("a", "b", "la", "lb").mapInArrow(_likely, "a long, b long"), "likely")
+        return lows.select("a", "b", "la", "lb").mapInArrow(_likely, "a long, b long")
+
+    def overlaps(self, likely: DataFrame) -> DataFrame:
+        """(a, b, same) of the staged ``likely``, staged."""
         nodes = stage(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "nodes")
         sets = stage(shingle_sets(restrict(self.docs, nodes, "doc_id"), self.width).dropDuplicates(["node"]), "sets")
         full = likely.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b").join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
-        return stage(full.select("a", "b", "ha", "hb").mapInArrow(_linked(self.percent), "a long, b long"), "links")
+        return stage(full.select("a", "b", "ha", "hb").mapInArrow(_overlap, "a long, b long, same long"), "overlaps")
+
+    def links(self, overlaps: DataFrame, sizes: DataFrame) -> DataFrame:
+        na, nb = sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"))
+        both = overlaps.join(na, "a").join(nb, "b")
+        return both.filter(100 * F.col("same") >= self.percent * (F.col("na") + F.col("nb") - F.col("same"))).select("a", "b")
 
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,38 +223,31 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     shared = stage(shared.join(degree, "node"), "ranked")
 
     compare = _Comparer(rows, classes, width, percent)
-    links: DataFrame | None = None
-    labels: DataFrame | None = None
-    done: DataFrame | None = None  # buckets' former leaders
-    for turn in range(MAX_LEADER_ROUNDS + 1):
-        live = shared.withColumn("label", F.col("node")) if labels is None else shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        if turn:
-            mixed = live.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("band", "size")
-            mixed = stage(mixed, "mixed")
-            live = stage(join_groups(live.drop("size"), mixed, "band", "size"), "live")
-            if not live.limit(1).count():
-                break
-            parts = live.groupBy("band", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("pairs"))
-            sums = parts.agg(F.sum("pairs").alias("pairs"), F.count(F.lit(1)).alias("buckets")).first()
-            if turn == MAX_LEADER_ROUNDS or sums["pairs"] <= 20 * live.count():
-                x, y = live.select("band", "label", F.col("node").alias("a"), F.col("n").alias("na")), live.select("band", F.col("label").alias("label2"), F.col("node").alias("b"), F.col("n").alias("nb"))
-                pairs = x.join(y.hint("merge"), "band").filter((F.col("a") < F.col("b")) & (F.col("label") != F.col("label2")) & _sizes_allow(percent))
-                new = compare.links(stage(pairs.select("a", "b").distinct(), "pairs"))
-                links = new if links is None else links.unionByName(new)
-                labels = connected_components(links).select("node", "label")
-                break
-        order = F.struct(F.col("degree"), F.col("size"), -F.col("node"))
-        own = live if done is None else live.join(done, ["band", "node"], "left_anti")
-        leaders = stage(own.groupBy("band").agg(F.max_by(F.struct("node", "n", "label"), order).alias("lead"), F.count(F.lit(1)).alias("size")), "leaders")
-        done = leaders.select("band", F.col("lead.node").alias("node")) if done is None else done.unionByName(leaders.select("band", F.col("lead.node").alias("node")))
-        pairs = join_groups(live.drop("size"), leaders, "band", "size").select(F.col("lead.node").alias("a"), F.col("lead.n").alias("na"), F.col("lead.label").alias("la"), F.col("node").alias("b"), F.col("n").alias("nb"), "label")
-        pairs = pairs.filter((F.col("a") != F.col("b")) & (F.col("la") != F.col("label")) & _sizes_allow(percent)).select("a", "b").distinct()
-        new = compare.links(stage(pairs, "pairs"))
-        links = new if links is None else links.unionByName(new)
-        labels = connected_components(links).select("node", "label")
-
-    named = members if labels is None else members.join(labels, "node", "left")
-    component = F.col("node") if labels is None else F.coalesce("label", "node")
+    sizes = classes.select("node", "n")
+    order = F.struct("degree", F.col("size"), -F.col("node"))
+    leaders = stage(shared.groupBy("band").agg(F.max_by(F.struct("node", "n"), order).alias("lead"), F.first("size").alias("size")), "leaders")
+    led = stage(join_groups(shared.drop("size"), leaders, "band", "size").select("band", "node", "n", F.col("lead.node").alias("a"), F.col("lead.n").alias("na")), "led")
+    pairs = led.select("a", "na", F.col("node").alias("b"), F.col("n").alias("nb")).filter((F.col("a") != F.col("b")) & _sizes_allow(percent)).select("a", "b").distinct()
+    overlaps = compare.overlaps(stage(compare.likely(pairs), "likely"))
+    links = stage(compare.links(overlaps, sizes), "links")
+    labels = connected_components(links).select("node", "label")
+
+    live = led.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = stage(live.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi and size > 2").select("band", "size"), "mixed")
+    far = overlaps.select("a", F.col("b").alias("node"), "same")
+    live = join_groups(live, mixed, "band", "size").join(far, ["a", "node"], "left")
+    diff = F.when(F.col("a") == F.col("node"), F.lit(0)).otherwise(F.coalesce(F.col("na") + F.col("n") - 2 * F.col("same"), F.lit(-1)))
+    live = live.withColumn("diff", diff.cast("long")).withColumn("cuts", F.ceil(F.col("size") / BLOCK).cast("int"))
+    live = live.join(classes.select("node", "bands", "low"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
+    blocks = stage(live.groupBy("band", "block").agg(F.first("cuts").alias("cuts"), F.collect_list(F.struct("node", "n", "label", "diff", "low", "bands")).alias("rows")), "blocks")
+    left = blocks.select("band", F.col("rows").alias("x"), F.explode(F.sequence(F.col("block"), F.col("cuts") - 1)).alias("block"))
+    meet = left.join(blocks.select("band", "block", F.col("rows").alias("y")), ["band", "block"])
+    more = stage(meet.select("band", "x", "y").mapInArrow(_block_pairs(percent), "a long, b long").distinct(), "more")
+    links = links.unionByName(compare.links(compare.overlaps(more), sizes))
+    labels = connected_components(links).select("node", "label")
+
+    named = members.join(labels, "node", "left")
+    component = F.coalesce("label", "node")
     out = named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("node").alias("class_id"))
     empty = sketches.filter("own is null or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
     out = out.unionByName(empty)
