@@ -10,9 +10,10 @@ Method
    shares most buckets, so that a bucket of m classes gives m - 1 pairs. Pairs whose sizes or low signature bytes
    exclude the threshold drop out; the others are confirmed on their full sets.
 4. Where a bucket still holds several components, its classes are cut into blocks, and pairs of blocks are compared as
-   arrays: pairs of one component, of unequal sizes, or whose exact distances to the leader exclude a link (two sets
-   can differ by no less than their differences from the leader do) are never made; a pair that shares several buckets
-   is looked at in the first. What is left is confirmed on full sets. So no link is lost.
+   arrays. Two sets differ in exactly the elements in which their differences from the leader differ, so pairs whose
+   differences are known are decided there, on short arrays, and only links leave the task; a pair that shares several
+   buckets is looked at in the first. Pairs without known differences go through signatures to full sets. So no link is
+   lost, and no pair inside a component is made.
 5. Components by minimum labels; each keeps its smallest id.
 
 Hot buckets and hot classes are pre-aggregated, and rows find their group by ``join_groups``.
@@ -39,6 +40,8 @@ PERMUTATIONS, ROWS, BANDS = 64, 5, 25
 #: A pair at the threshold has fewer equal signature bytes than this with a probability of about 1e-6.
 LEAST_EQUAL = 80
 BLOCK = 256
+#: In buckets of this size every class gets its exact difference from the leader.
+LARGE_BUCKET = 32
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _RNG = np.random.default_rng(2013)
@@ -136,47 +139,69 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The exact size of each pair's intersection."""
+    """The exact size of each pair's intersection, and its symmetric difference where that is short."""
     for b in batches:
-        same = []
+        same, diff = [], []
         for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
             both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
             both.sort()
-            same.append(int((both[1:] == both[:-1]).sum()))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same, pa.int64())], ["a", "b", "same"])
+            twice = both[1:] == both[:-1]
+            same.append(n := int(twice.sum()))
+            if 10 * (len(both) - 2 * n) <= 4 * len(both):
+                once = np.ones(len(both), bool)
+                once[1:] &= ~twice
+                once[:-1] &= ~twice
+                diff.append(both[once].tobytes())
+            else:
+                diff.append(None)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same, pa.int64()), pa.array(diff, pa.binary())], ["a", "b", "same", "diff"])
 
 
 def _block_pairs(percent: int):
-    """For pairs of blocks of one bucket: the pairs between components that may be linked."""
-
-    def read(block: list[dict]) -> tuple:
-        low = np.frombuffer(b"".join(r["low"] for r in block), np.uint8).reshape(len(block), -1)
-        node, n, label, diff = (np.array([r[k] for r in block], np.int64) for k in ("node", "n", "label", "diff"))
-        return node, n, label, diff, low, np.array([r["bands"] for r in block], np.int64)
+    """For pairs of blocks of one bucket: the links between components, or pairs that may be linked (sure: false)."""
+
+    class Block:
+        def __init__(self, rows: list[dict]):
+            self.node, self.n, self.label = (np.array([r[k] for r in rows], np.int64) for k in ("node", "n", "label"))
+            self.low = np.frombuffer(b"".join(r["low"] for r in rows), np.uint8).reshape(len(rows), -1)
+            self.bands = np.array([r["bands"] for r in rows], np.int64)
+            self.known = np.array([r["diff"] is not None for r in rows])
+            size = [len(r["diff"] or b"") // 8 for r in rows]
+            self.size = np.array(size, np.int64)
+            self.row = np.repeat(np.arange(len(rows)), size)
+            self.diff = np.frombuffer(b"".join(r["diff"] or b"" for r in rows), np.uint64)
+
+        def matrix(self, elements: np.ndarray) -> np.ndarray:
+            out = np.zeros((len(self.node), len(elements)), np.float32)
+            if len(elements):
+                at = np.minimum(np.searchsorted(elements, self.diff), len(elements) - 1)
+                hit = elements[at] == self.diff
+                out[self.row[hit], at[hit]] = 1
+            return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                band, x, y = (batch.column(i)[k].as_py() for i in range(3))
-                a, b = read(x), read(y)
-                size = a[1][:, None] + b[1]
-                ok = (a[2][:, None] != b[2]) & (a[0][:, None] != b[0])
-                ok &= 100 * np.minimum(a[1][:, None], b[1]) >= percent * np.maximum(a[1][:, None], b[1])
-                # linked sets differ in at most (100 - percent) / (100 + percent) of their sizes' sum
-                known = (a[3][:, None] >= 0) & (b[3] >= 0)
-                ok &= ~known | (np.abs(a[3][:, None] - b[3]) * (100 + percent) <= (100 - percent) * size)
+                band = batch.column(0)[k].as_py()
+                a, b = Block(batch.column(1)[k].as_py()), Block(batch.column(2)[k].as_py())
+                size = a.n[:, None] + b.n
+                ok = (a.label[:, None] != b.label) & (100 * np.minimum(a.n[:, None], b.n) >= percent * np.maximum(a.n[:, None], b.n))
+                known = a.known[:, None] & b.known
+                shared = np.intersect1d(a.diff, b.diff)
+                apart = a.size[:, None] + b.size - 2 * (a.matrix(shared) @ b.matrix(shared).T).astype(np.int64)
+                same = (size - apart) // 2
+                ok &= ~known | (100 * same >= percent * (size - same))
                 i, j = np.nonzero(ok)
-                keep = np.zeros(len(i), bool)
+                sure = known[i, j]
+                keep = sure.copy()
                 for at in range(0, len(i), 20_000):
                     s = slice(at, at + 20_000)
-                    keep[s] = (a[4][i[s]] == b[4][j[s]]).sum(1) >= LEAST_EQUAL
-                i, j = i[keep], j[keep]
+                    keep[s] |= (a.low[i[s]] == b.low[j[s]]).sum(1) >= LEAST_EQUAL
+                i, j, sure = i[keep], j[keep], sure[keep]
                 if len(i):
-                    first = (a[5][i] == b[5][j]).argmax(1)
-                    own = a[5][i, first] == band
-                    i, j = i[own], j[own]
-                lo, hi = np.minimum(a[0][i], b[0][j]), np.maximum(a[0][i], b[0][j])
-                yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi)], ["a", "b"])
+                    own = a.bands[i, (a.bands[i] == b.bands[j]).argmax(1)] == band
+                    i, j, sure = i[own], j[own], sure[own]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a.node[i], b.node[j])), pa.array(np.maximum(a.node[i], b.node[j])), pa.array(sure)], ["a", "b", "sure"])
 
     return run
 
@@ -193,11 +218,11 @@ class _Comparer:
         return lows.select("a", "b", "la", "lb").mapInArrow(_likely, "a long, b long")
 
     def overlaps(self, likely: DataFrame) -> DataFrame:
-        """(a, b, same) of the staged ``likely``, staged."""
+        """(a, b, same, diff) of the staged ``likely``, staged."""
         nodes = stage(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "nodes")
         sets = stage(shingle_sets(restrict(self.docs, nodes, "doc_id"), self.width).dropDuplicates(["node"]), "sets")
         full = likely.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b").join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
-        return stage(full.select("a", "b", "ha", "hb").mapInArrow(_overlap, "a long, b long, same long"), "overlaps")
+        return stage(full.select("a", "b", "ha", "hb").mapInArrow(_overlap, "a long, b long, same long, diff binary"), "overlaps")
 
     def links(self, overlaps: DataFrame, sizes: DataFrame) -> DataFrame:
         na, nb = sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), sizes.select(F.col("node").alias("b"), F.col("n").alias("nb"))
@@ -226,24 +251,26 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     sizes = classes.select("node", "n")
     order = F.struct("degree", F.col("size"), -F.col("node"))
     leaders = stage(shared.groupBy("band").agg(F.max_by(F.struct("node", "n"), order).alias("lead"), F.first("size").alias("size")), "leaders")
-    led = stage(join_groups(shared.drop("size"), leaders, "band", "size").select("band", "node", "n", F.col("lead.node").alias("a"), F.col("lead.n").alias("na")), "led")
-    pairs = led.select("a", "na", F.col("node").alias("b"), F.col("n").alias("nb")).filter((F.col("a") != F.col("b")) & _sizes_allow(percent)).select("a", "b").distinct()
-    overlaps = compare.overlaps(stage(compare.likely(pairs), "likely"))
+    led = stage(join_groups(shared.drop("size"), leaders, "band", "size").select("band", "size", "node", "n", F.col("lead.node").alias("a"), F.col("lead.n").alias("na")), "led")
+    pairs = led.select("a", "na", F.col("node").alias("b"), F.col("n").alias("nb"), "size").filter((F.col("a") != F.col("b")) & _sizes_allow(percent))
+    pairs = stage(pairs.groupBy("a", "b").agg(F.max("size").alias("size")), "pairs")
+    likely = compare.likely(pairs.filter(F.col("size") < LARGE_BUCKET).select("a", "b")).unionByName(pairs.filter(F.col("size") >= LARGE_BUCKET).select("a", "b"))
+    overlaps = compare.overlaps(stage(likely, "likely"))
     links = stage(compare.links(overlaps, sizes), "links")
     labels = connected_components(links).select("node", "label")
 
     live = led.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = stage(live.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi and size > 2").select("band", "size"), "mixed")
-    far = overlaps.select("a", F.col("b").alias("node"), "same")
-    live = join_groups(live, mixed, "band", "size").join(far, ["a", "node"], "left")
-    diff = F.when(F.col("a") == F.col("node"), F.lit(0)).otherwise(F.coalesce(F.col("na") + F.col("n") - 2 * F.col("same"), F.lit(-1)))
-    live = live.withColumn("diff", diff.cast("long")).withColumn("cuts", F.ceil(F.col("size") / BLOCK).cast("int"))
+    far = overlaps.select("a", F.col("b").alias("node"), "diff")
+    live = join_groups(live.drop("size"), mixed, "band", "size").join(far, ["a", "node"], "left")
+    live = live.withColumn("diff", F.when(F.col("a") == F.col("node"), F.lit(b"")).otherwise(F.col("diff"))).withColumn("cuts", F.ceil(F.col("size") / BLOCK).cast("int"))
     live = live.join(classes.select("node", "bands", "low"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     blocks = stage(live.groupBy("band", "block").agg(F.first("cuts").alias("cuts"), F.collect_list(F.struct("node", "n", "label", "diff", "low", "bands")).alias("rows")), "blocks")
     left = blocks.select("band", F.col("rows").alias("x"), F.explode(F.sequence(F.col("block"), F.col("cuts") - 1)).alias("block"))
     meet = left.join(blocks.select("band", "block", F.col("rows").alias("y")), ["band", "block"])
-    more = stage(meet.select("band", "x", "y").mapInArrow(_block_pairs(percent), "a long, b long").distinct(), "more")
-    links = links.unionByName(compare.links(compare.overlaps(more), sizes))
+    more = stage(meet.select("band", "x", "y").mapInArrow(_block_pairs(percent), "a long, b long, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure")), "more")
+    unsure = more.filter("not sure").select("a", "b")
+    links = links.unionByName(more.filter("sure").select("a", "b")).unionByName(compare.links(compare.overlaps(unsure), sizes))
     labels = connected_components(links).select("node", "label")
 
     named = members.join(labels, "node", "left")
