@@ -1,4 +1,548 @@
-"""Registry of the core queries."""
+"""Registry of the core queries over the driver's tables, each with equivalent SQL where SQL can express it.
 
-def queries(): return {}
-def oracle_sql(): return {}
+The tables hold no graph files or legal texts, so that some queries first build a graph or a structured text from the
+star schema, in the same way on both sides.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .functions import providers, text
+from .operators import augment, chunking, filters, graph, merge, strategies
+from .operators.components import connected_components
+from .plans import control
+from .plans.staging import shared_dir, stage
+from .sources import formats, kg
+from .streaming import journal
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLE: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    from .plans.workers import find_package
+
+    find_package(spark)
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_ORACLE)
+
+
+# text ---------------------------------------------------------------------------------------------
+
+
+@_query(r"""
+    WITH raw AS (SELECT doc_id, text || chr(10) || doc_id || chr(10) || 'tail  ' || chr(10) || chr(10) || chr(10) || chr(10) || 'end ' AS t FROM documents)
+    SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '\n\s*\d+\s*\n', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '[ \t]+\n', chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS cleaned FROM raw""")
+def clean_text(spark, d):
+    raw = F.concat("text", F.lit("\n"), F.col("doc_id").cast("string"), F.lit("\ntail  \n\n\n\nend "))
+    return _t(spark, d, "documents").select("doc_id", F.md5(text.clean(raw)).alias("cleaned"))
+
+
+@_query(r"""
+    WITH raw AS (SELECT doc_id, '“' || text || '” – x—y' || chr(160) || ' z’s' || chr(10) || chr(10) || chr(10) || 'end ' AS t FROM documents),
+    plain AS (SELECT doc_id, translate(t, '‘’“”–—' || chr(160), '''''""-- ') AS t FROM raw)
+    SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(t, '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS normalized FROM plain""")
+def normalize_text(spark, d):
+    raw = F.concat(F.lit("“"), "text", F.lit("” – x—y\xa0 z’s\n\n\nend "))
+    return _t(spark, d, "documents").select("doc_id", F.md5(text.normalize(raw)).alias("normalized"))
+
+
+@_query(r"""
+    SELECT doc_id, md5(trim(regexp_replace(regexp_replace(lower(regexp_replace(text, '^\s+|\s+$', '', 'g')), '[^\p{L}\p{N}_\s]', '', 'g'), '\s+', ' ', 'g'))) AS question_key FROM documents""")
+def question_norm(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.md5(text.question_key("text")).alias("question_key"))
+
+
+@_query("SELECT doc_id, substr(md5(substr(text, 1, 500)), 1, 12) AS hash_id FROM documents")
+def hash_id(spark, d):
+    return _t(spark, d, "documents").select("doc_id", text.hash_id("text").alias("hash_id"))
+
+
+@_query(r"""SELECT doc_id, md5(CASE WHEN regexp_replace(substr(t, 1, 400), '\s+', '', 'g') = '' THEN 'empty' ELSE substr(t, 1, 400) END) AS prepared
+    FROM (SELECT doc_id, CASE WHEN lang = 'de' THEN '   ' ELSE text END AS t FROM documents)""")
+def embed_prep(spark, d):
+    t = F.when(F.col("lang") == "de", F.lit("   ")).otherwise(F.col("text"))
+    return _t(spark, d, "documents").select("doc_id", F.md5(text.embedding_text(t)).alias("prepared"))
+
+
+@_query("""
+    WITH h AS (SELECT doc_id, text, substr(text, 1, 700) AS head FROM documents)
+    SELECT doc_id, md5(CASE WHEN length(text) <= 700 THEN text WHEN contains(head, '.') AND length(head) - instr(reverse(head), '.') > 50 THEN substr(head, 1, length(head) - instr(reverse(head), '.') + 1) ELSE head END) AS cut FROM h""")
+def truncate_sentence(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.md5(text.cut_at_sentence("text", 700, 50)).alias("cut"))
+
+
+@_query(r"""
+    WITH p AS (SELECT source, string_agg(chr(10) || chr(10) || repeat('=', 60) || chr(10) || '# SOURCE: ' || doc_id || chr(10) || repeat('=', 60) || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY CAST(doc_id AS VARCHAR)) AS t, count(*) AS files FROM documents GROUP BY source)
+    SELECT source, files, md5(regexp_replace(regexp_replace(regexp_replace(t, '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS combined FROM p""")
+def combine_sources(spark, d):
+    docs = _t(spark, d, "documents").select("source", F.col("doc_id").cast("string").alias("path"), "text")
+    return kg.combine_sources(docs, ["source"]).select("source", "files", F.md5("text").alias("combined"))
+
+
+@_query("""
+    SELECT doc_id, CAST(w AS INTEGER) AS window_no, CAST(len(list_slice(tokens, w * 90 + 1, w * 90 + 100)) AS INTEGER) AS tokens, md5(array_to_string(list_slice(tokens, w * 90 + 1, w * 90 + 100), ' ')) AS content
+    FROM (SELECT doc_id, string_split(text, ' ') AS tokens, unnest(generate_series(0, (len(string_split(text, ' ')) - 1) // 90)) AS w FROM documents)""")
+def token_windows(spark, d):
+    w = _t(spark, d, "documents").select("doc_id", F.posexplode(chunking.token_windows(F.split("text", " "))).alias("window_no", "w"))
+    return w.select("doc_id", "window_no", F.size("w").alias("tokens"), F.md5(F.array_join("w", " ")).alias("content"))
+
+
+@_query(r"""
+    SELECT doc_id, name, CAST(count(*) AS BIGINT) AS mentions FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\p{Lu}\p{Ll}{5,}')) AS name FROM documents) GROUP BY ALL""")
+def entity_mentions(spark, d):
+    return providers.mentions(_t(spark, d, "documents")).groupBy("doc_id", "name").agg(F.count(F.lit(1)).alias("mentions"))
+
+
+# chunking -----------------------------------------------------------------------------------------
+
+
+@_query("""
+    WITH RECURSIVE l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+    p(doc_id, lines, i, chunk, chars) AS (
+        SELECT doc_id, lines, 1, 0, length(lines[1]) FROM l
+        UNION ALL
+        SELECT doc_id, lines, i + 1, CASE WHEN chars + length(lines[i + 1]) <= 1000 THEN chunk ELSE chunk + 1 END, CASE WHEN chars + length(lines[i + 1]) <= 1000 THEN chars + length(lines[i + 1]) ELSE length(lines[i + 1]) END
+        FROM p WHERE i < len(lines))
+    SELECT doc_id, CAST(chunk AS INTEGER) AS chunk, CAST(min(i) - 1 AS INTEGER) AS first_line, CAST(max(i) - 1 AS INTEGER) AS last_line, CAST(max(chars) AS INTEGER) AS chars FROM p GROUP BY doc_id, chunk""")
+def pack_chunks(spark, d):
+    g = _t(spark, d, "documents").select("doc_id", F.posexplode(chunking.pack_pieces(F.split("text", "\n"), 1000)).alias("chunk", "g"))
+    return g.select("doc_id", "chunk", F.col("g.first").alias("first_line"), F.col("g.last").alias("last_line"), "g.chars")
+
+
+def _legal(spark, d) -> DataFrame:
+    """A structured text per region: regions are books, nations titles, customers articles."""
+    n = _t(spark, d, "nation").join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    c = _t(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey"), F.col("c_custkey").alias("k"), F.concat(F.lit("Article 100-"), "c_custkey", F.lit(" : "), "c_name", F.lit("\nLes comptes "), "c_mktsegment", F.lit(" doivent etre presentes avec soin dans l'annexe.\n\n")).alias("line"))
+    per = c.groupBy("n_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "line"))), lambda x: x["line"]), "").alias("body"))
+    t = n.join(per, "n_nationkey", "left").withColumn("body", F.concat(F.lit("TITRE I – "), "n_name", F.lit("\n\n"), F.coalesce("body", F.lit(""))))
+    return t.groupBy("r_regionkey", "r_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "body"))), lambda x: x["body"]), "").alias("body")).select(F.col("r_regionkey").cast("long").alias("doc_id"), F.concat(F.lit("avant\nLivre I : "), "r_name", F.lit("\n\n"), "body").alias("text"))
+
+
+@_query("""
+    SELECT CAST(n_regionkey AS BIGINT) AS doc_id, 'I - ' || n_name AS titre, CAST(count(c_custkey) AS BIGINT) AS articles, CAST(sum(c_custkey) AS BIGINT) AS keys
+    FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL""")
+def sections_articles(spark, d):
+    c = chunking.chunk_documents(_legal(spark, d), chunking.PCG, 10_000_000, 1)
+    a = c.select("doc_id", "titre", F.explode("atomic_ids").alias("a"))
+    return a.groupBy("doc_id", "titre").agg(F.count(F.lit(1)).alias("articles"), F.sum(F.substring_index("a", "-", -1).cast("long")).alias("keys"))
+
+
+@_query()
+def chunk_documents(spark, d):
+    c = chunking.chunk_documents(_legal(spark, d), chunking.PCG, 2000, 100)
+    return c.select("doc_id", "chunk_id", "compat_id", "chunk_type", "char_count", "livre", "titre", F.size("atomic_ids").alias("ids"), "hash_id")
+
+
+@_query("SELECT doc_id, CAST(ntile(7) OVER (ORDER BY doc_id) - 1 AS INTEGER) AS pipeline_id FROM documents")
+def range_split(spark, d):
+    return control.assign_ranges(_t(spark, d, "documents").select("doc_id"), 7, "doc_id")
+
+
+@_query("SELECT doc_id FROM documents WHERE text <> '' AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def pending_anti(spark, d):
+    return control.pending(control.valid(_t(spark, d, "documents")), _t(spark, d, "labels"), "doc_id").select("doc_id")
+
+
+# merging ------------------------------------------------------------------------------------------
+
+_MENTIONS = r"""
+    lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS description, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
+    found AS (SELECT doc_id, line, description, unnest(regexp_extract_all(description, '\p{Lu}\p{Ll}{5,}')) AS name, generate_subscripts(regexp_extract_all(description, '\p{Lu}\p{Ll}{5,}'), 1) - 1 AS pos FROM lines),
+    m AS (SELECT *, doc_id * 4294967296 + line * 4096 + pos AS ord FROM found)"""
+
+
+@_query(f"""
+    WITH {_MENTIONS}
+    SELECT lower(name) AS key, arg_min(name, ord) AS name, md5(arg_max(description, (length(description), -ord))) AS description, CAST(count(DISTINCT doc_id) AS BIGINT) AS n_sources, md5(array_to_string(list_sort(list(DISTINCT CAST(doc_id AS VARCHAR))), ',')) AS sources, CAST(count(*) AS BIGINT) AS records
+    FROM m GROUP BY lower(name)""")
+def entity_merge(spark, d):
+    m = providers.mentions(_t(spark, d, "documents")).select("ord", "name", F.lit("concept").alias("entity_type"), "description", F.array(F.col("doc_id").cast("string")).alias("sources"))
+    e = merge.merge_entities(m)
+    return e.select("key", "name", F.md5("description").alias("description"), F.size("sources").cast("long").alias("n_sources"), F.md5(F.array_join("sources", ",")).alias("sources"), "records")
+
+
+@_query("""
+    WITH kv AS (SELECT c_mktsegment AS key, 'k' || c_nationkey AS attr, c_custkey AS ord, CASE WHEN c_acctbal < 5000 THEN '' ELSE c_name END AS v FROM customer)
+    SELECT key, attr, coalesce(arg_min(v, ord) FILTER (v <> ''), arg_min(v, ord)) AS value FROM kv GROUP BY key, attr""")
+def entity_attrs_merge(spark, d):
+    c = _t(spark, d, "customer")
+    e = c.select(F.col("c_custkey").alias("ord"), F.initcap("c_mktsegment").alias("name"), F.lit("concept").alias("entity_type"), F.col("c_name").alias("description"), F.array().cast("array<string>").alias("sources"), F.create_map(F.concat(F.lit("k"), "c_nationkey"), F.when(F.col("c_acctbal") < 5000, "").otherwise(F.col("c_name"))).alias("attributes"))
+    out = merge.merge_entities(e)
+    return out.select(F.upper("key").alias("key"), F.explode("attributes").alias("attr", "value"))
+
+
+_RELATIONS = """
+    r AS (SELECT o_orderkey AS ord, c_mktsegment AS source, o_orderpriority AS target, o_orderstatus AS relation_type, repeat('x', CAST(o_orderkey % 7 AS INTEGER)) || o_orderkey AS description, o_totalprice AS weight, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey),
+    merged AS (SELECT lower(source) AS source_key, lower(target) AS target_key, lower(relation_type) AS relation_key, arg_max(description, (length(description), -ord)) AS description, max(weight) AS weight, CAST(count(DISTINCT c_nationkey) AS BIGINT) AS n_sources, min(ord) AS ord FROM r GROUP BY ALL)"""
+
+
+def _relations(spark, d) -> DataFrame:
+    o = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return merge.merge_relations(o.select(F.col("o_orderkey").alias("ord"), F.col("c_mktsegment").alias("source"), F.col("o_orderpriority").alias("target"), F.col("o_orderstatus").alias("relation_type"), F.concat(F.repeat(F.lit("x"), (F.col("o_orderkey") % 7).cast("int")), "o_orderkey").alias("description"), F.col("o_totalprice").alias("weight"), F.array(F.col("c_nationkey").cast("string")).alias("sources")))
+
+
+@_query(f"WITH {_RELATIONS} SELECT source_key, target_key, relation_key, description, weight, n_sources FROM merged")
+def relation_merge(spark, d):
+    return _relations(spark, d).select("source_key", "target_key", "relation_key", "description", "weight", F.size("sources").cast("long").alias("n_sources"))
+
+
+@_query(f"WITH {_RELATIONS} SELECT least(source_key, target_key) AS a, greatest(source_key, target_key) AS b, arg_max(relation_key, ord) AS relation_key, arg_max(description, ord) AS description, arg_max(weight, ord) AS weight, CAST(count(*) AS BIGINT) AS relations FROM merged GROUP BY 1, 2")
+def edge_collapse(spark, d):
+    return merge.collapse_edges(_relations(spark, d)).select("a", "b", "relation_key", "description", "weight", "relations")
+
+
+@_query("""
+    SELECT n_name AS key, n_name AS name, 'nation' AS entity_type FROM nation
+    UNION ALL SELECT DISTINCT r_name, r_name, 'unknown' FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def placeholder_nodes(spark, d):
+    n = _t(spark, d, "nation")
+    nodes = n.select(F.col("n_name").alias("key"), F.col("n_name").alias("name"), F.lit("nation").alias("entity_type"))
+    return merge.placeholder_nodes(nodes, n.join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("a"), F.col("r_name").alias("b")))
+
+
+@_query("SELECT c_mktsegment || c_nationkey AS key, arg_max(c_name, c_custkey) AS value FROM customer GROUP BY 1")
+def kv_merge(spark, d):
+    c = _t(spark, d, "customer")
+    return merge.merge_kv(c.select(F.col("c_custkey").alias("ord"), F.concat("c_mktsegment", "c_nationkey").alias("key"), F.col("c_name").alias("value")))
+
+
+# graph --------------------------------------------------------------------------------------------
+
+_EDGES = """
+    edges AS (SELECT s_name AS a, n_name AS b, 'Supplier ' || s_name || ' trades in ' || n_name AS description FROM supplier JOIN nation ON s_nationkey = n_nationkey
+              UNION ALL SELECT n_name, r_name, 'Nation ' || n_name || ' is part of ' || r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+    nodes AS (SELECT s_name AS node FROM supplier UNION ALL SELECT n_name FROM nation UNION ALL SELECT r_name FROM region),
+    adj AS (SELECT a AS node, b AS neighbor, description FROM edges UNION ALL SELECT b, a, description FROM edges)"""
+
+
+def _edges(spark, d) -> DataFrame:
+    n = _t(spark, d, "nation")
+    s = _t(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    r = n.join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    up = s.select(F.col("s_name").alias("a"), F.col("n_name").alias("b"), F.concat(F.lit("Supplier "), "s_name", F.lit(" trades in "), "n_name").alias("description"))
+    return up.unionByName(r.select(F.col("n_name").alias("a"), F.col("r_name").alias("b"), F.concat(F.lit("Nation "), "n_name", F.lit(" is part of "), "r_name").alias("description")))
+
+
+def _nodes(spark, d) -> DataFrame:
+    return _t(spark, d, "supplier").select(F.col("s_name").alias("node")).union(_t(spark, d, "nation").select("n_name")).union(_t(spark, d, "region").select("r_name"))
+
+
+@_query(f"""
+    WITH {_EDGES}, deg AS (SELECT n.node, CAST(count(j.neighbor) AS BIGINT) AS degree FROM nodes n LEFT JOIN adj j USING (node) GROUP BY n.node)
+    SELECT node, degree, round(degree / (count(*) OVER () - 1), 9) AS centrality, round(10 + 30 * degree / max(degree) OVER (), 9) AS size FROM deg""")
+def degree_centrality(spark, d):
+    c = graph.centrality(_nodes(spark, d), _edges(spark, d))
+    return c.select("node", "degree", F.round("centrality", 9).alias("centrality"), F.round("size", 9).alias("size"))
+
+
+@_query(f"WITH {_EDGES} SELECT node, neighbor FROM adj")
+def neighbors(spark, d):
+    return graph.adjacency(_edges(spark, d)).select("node", "neighbor")
+
+
+@_query("""
+    SELECT CAST((SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM region) AS BIGINT) AS nodes,
+           CAST((SELECT count(*) FROM supplier) + (SELECT count(*) FROM nation) AS BIGINT) AS edges,
+           CAST((SELECT count(*) FROM region) AS BIGINT) AS connected_components""")
+def graph_stats(spark, d):
+    return graph.stats(_nodes(spark, d), _edges(spark, d)).select("nodes", "edges", "connected_components")
+
+
+@_query("""
+    WITH m AS (SELECT r_name AS top, s_name AS node FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+               UNION ALL SELECT r_name, n_name FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT r_name, r_name FROM region)
+    SELECT node, min(node) OVER (PARTITION BY top) AS label FROM m""")
+def components(spark, d):
+    return connected_components(_edges(spark, d))
+
+
+@_query(f"WITH {_EDGES} SELECT x.neighbor AS first, x.node AS middle, y.neighbor AS last FROM adj x JOIN adj y ON x.node = y.node AND x.neighbor < y.neighbor")
+def two_hop(spark, d):
+    return graph.two_hop_paths(_edges(spark, d))
+
+
+def _segments(spark, d) -> DataFrame:
+    n = _t(spark, d, "customer").join(_t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return n.select(F.col("n_name").alias("a"), F.col("c_mktsegment").alias("b")).distinct()
+
+
+@_query("""
+    WITH e AS (SELECT DISTINCT n_name AS a, c_mktsegment AS b FROM customer JOIN nation ON c_nationkey = n_nationkey), j AS (SELECT a AS x, b AS y FROM e UNION ALL SELECT b, a FROM e)
+    SELECT 'NATION_6' || '|' || p.y || '|NATION_7' AS path, 2 AS hops FROM j p JOIN j q ON p.y = q.x WHERE p.x = 'NATION_6' AND q.y = 'NATION_7'
+    UNION ALL SELECT 'NATION_6|NATION_7', 1 FROM j WHERE x = 'NATION_6' AND y = 'NATION_7'
+    UNION ALL SELECT 'NATION_6|' || p.y || '|' || q.y || '|NATION_7', 3 FROM j p JOIN j q ON p.y = q.x JOIN j r ON q.y = r.x WHERE p.x = 'NATION_6' AND r.y = 'NATION_7' AND q.y NOT IN ('NATION_6', 'NATION_7') AND p.y <> 'NATION_7' AND r.x <> p.x""")
+def simple_paths3(spark, d):
+    p = graph.simple_paths(_segments(spark, d), "NATION_6", "NATION_7", 3)
+    return p.select(F.array_join("path", "|").alias("path"), "hops")
+
+
+@_query("""
+    WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id % 100 = 0),
+    s AS (SELECT query_id, vec_id, list_cosine_similarity(CAST(e AS DOUBLE[]), CAST(embedding AS DOUBLE[])) AS c FROM embeddings JOIN q ON vec_id <> query_id)
+    SELECT query_id, vec_id, round(c, 6) AS similarity FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY c DESC, vec_id) <= 10""")
+def cosine_topk(spark, d):
+    v = _t(spark, d, "embeddings")
+    return graph.cosine_top_k(v, v.filter("vec_id % 100 = 0"), 10).select("query_id", "vec_id", F.round("similarity", 6).alias("similarity"))
+
+
+# pairs --------------------------------------------------------------------------------------------
+
+_KG = f"""{_EDGES},
+    ent AS (SELECT p_partkey AS ord, p_name || ' ' || p_partkey AS name, p_brand AS entity_type, 'Part ' || p_name || ' of type ' || p_type AS d1, 'It costs ' || p_size AS d2 FROM part)"""
+
+
+def _entities(spark, d) -> DataFrame:
+    p = _t(spark, d, "part")
+    return p.select(F.col("p_partkey").alias("ord"), F.concat("p_name", F.lit(" "), "p_partkey").alias("name"), F.col("p_brand").alias("entity_type"), F.array(F.concat(F.lit("Part "), "p_name", F.lit(" of type "), "p_type"), F.concat(F.lit("It costs "), "p_size")).alias("descriptions"))
+
+
+def _pick_sql(key: str, templates: list[str]) -> str:
+    cases = " ".join(f"WHEN {i} THEN {t}" for i, t in enumerate(templates))
+    return f"CASE CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) % {len(templates)} {cases} END"
+
+
+def _fill_sql(template: str, **values: str) -> str:
+    out = "'" + template.replace("'", "''") + "'"
+    for k, v in values.items():
+        out = f"replace({out}, '{{{k}}}', {v})"
+    return out
+
+
+def _shown(pairs: DataFrame) -> DataFrame:
+    return pairs.select("question", F.md5("answer").alias("answer"), F.array_join("source_entities", "|").alias("sources"))
+
+
+@_query(f"WITH {_KG} SELECT {_pick_sql('name', [_fill_sql(t, entity='name') for t in strategies.ENTITY])} AS question, md5(CASE WHEN length(d2) > length(d1) THEN d2 ELSE d1 END) AS answer, name AS sources FROM ent WHERE greatest(length(d1), length(d2)) >= 20")
+def pairs_entity_def(spark, d):
+    return _shown(strategies.entity_definitions(strategies.Graph(entities=_entities(spark, d))))
+
+
+@_query(f"""
+    WITH {_KG}, rel AS (SELECT s_name AS src, n_name AS tgt, CASE WHEN s_suppkey % 2 = 0 THEN 'short' ELSE 'A long description of ' || s_name END AS d, CASE WHEN s_suppkey % 3 = 0 THEN 'k1, k2' END AS words FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+    said AS (SELECT src, tgt, words, CASE WHEN length(d) >= 20 THEN d ELSE 'Supplier ' || src || ' trades in ' || tgt END AS d FROM rel)
+    SELECT {_pick_sql("src || '|' || tgt", [_fill_sql(t, src='src', tgt='tgt') for t in strategies.RELATION])} AS question, md5(CASE WHEN words IS NULL THEN d ELSE d || ' (Mots-cles : ' || words || ')' END) AS answer, src || '|' || tgt AS sources FROM said""")
+def pairs_relational(spark, d):
+    s = _t(spark, d, "supplier").join(_t(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    own = F.when(F.col("s_suppkey") % 2 == 0, F.lit("short")).otherwise(F.concat(F.lit("A long description of "), "s_name"))
+    words = F.when(F.col("s_suppkey") % 3 == 0, F.array(F.lit("k1"), F.lit("k2"))).otherwise(F.array().cast("array<string>"))
+    r = s.select(F.col("s_suppkey").alias("ord"), F.col("s_name").alias("src"), F.col("n_name").alias("tgt"), own.alias("description"), words.alias("keywords"))
+    return _shown(strategies.relations(strategies.Graph(relations=r, edges=_edges(spark, d))))
+
+
+@_query(f"""
+    WITH {_KG}, e AS (SELECT *, CASE WHEN length(d2) > length(d1) THEN d2 ELSE d1 END AS best FROM ent), k AS (SELECT *, row_number() OVER (PARTITION BY entity_type ORDER BY ord) AS rn FROM e WHERE length(best) >= 30)
+    SELECT {_pick_sql("x.name || '|' || y.name", [_fill_sql(t, a='x.name', b='y.name') for t in strategies.COMPARE])} AS question, md5(x.name || ' : ' || x.best || chr(10) || chr(10) || y.name || ' : ' || y.best) AS answer, x.name || '|' || y.name AS sources
+    FROM k x JOIN k y ON x.entity_type = y.entity_type AND y.rn BETWEEN x.rn + 1 AND x.rn + 3 WHERE x.rn <= 30 AND y.rn <= 30""")
+def pairs_comparative(spark, d):
+    return _shown(strategies.comparisons(strategies.Graph(entities=_entities(spark, d))))
+
+
+@_query(f"""
+    WITH {_EDGES}, p AS (SELECT x.neighbor AS first, x.node AS middle, y.neighbor AS last, x.description AS d1, y.description AS d2 FROM adj x JOIN adj y ON x.node = y.node AND x.neighbor < y.neighbor),
+    h AS (SELECT *, md5(first || '|' || middle || '|' || last) AS h, array_to_string(list_sort([first, middle, last]), '|') AS key FROM p)
+    SELECT {_fill_sql(strategies.MULTIHOP, first='first', middle='middle', last='last')} AS question, md5(d1 || ' Ensuite, ' || d2) AS answer, first || '|' || middle || '|' || last AS sources
+    FROM (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY key ORDER BY h) = 1) ORDER BY h LIMIT 200""")
+def pairs_multihop(spark, d):
+    return _shown(strategies.multihop(strategies.Graph(edges=_edges(spark, d)), most_neighbors=None))
+
+
+@_query(f"""
+    WITH {_KG}, k AS (SELECT *, row_number() OVER (PARTITION BY entity_type ORDER BY ord) AS rn, count(*) OVER (PARTITION BY entity_type) AS n FROM ent)
+    SELECT {_fill_sql(strategies.OVERVIEW, label='entity_type')} AS question,
+        md5({_fill_sql(strategies.OVERVIEW_ANSWER.strip(), label='entity_type')} || chr(10) || chr(10) || string_agg('- ' || name || ' : ' || d1, chr(10) ORDER BY rn) FILTER (rn <= 10)) AS answer, string_agg(name, '|' ORDER BY rn) AS sources
+    FROM k WHERE rn <= 20 AND n >= 2 GROUP BY entity_type""")
+def pairs_thematic(spark, d):
+    return _shown(strategies.overviews(strategies.Graph(entities=_entities(spark, d))))
+
+
+@_query(f"""
+    WITH {_EDGES}, e AS (SELECT n_nationkey AS ord, n_name AS name, 'location' AS entity_type FROM nation), k AS (SELECT *, row_number() OVER (ORDER BY ord) AS rn FROM e),
+    near AS (SELECT k.name, j.neighbor, j.description, row_number() OVER (PARTITION BY k.name ORDER BY j.neighbor) AS r, count(*) OVER (PARTITION BY k.name) AS n FROM k JOIN adj j ON k.name = j.node WHERE k.rn <= 15)
+    SELECT {_fill_sql(strategies.LINKED, entity='name')} AS question, md5({_fill_sql(strategies.LINKED_ANSWER.strip(), entity='name')} || chr(10) || chr(10) || string_agg('- ' || neighbor || ' : ' || description, chr(10) ORDER BY r)) AS answer, name || '|' || string_agg(neighbor, '|' ORDER BY r) AS sources
+    FROM near WHERE r <= 8 AND n >= 2 GROUP BY name""")
+def pairs_thematic_neighbors(spark, d):
+    e = _t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("ord"), F.col("n_name").alias("name"), F.lit("location").alias("entity_type"), F.array().cast("array<string>").alias("descriptions"))
+    return _shown(strategies.neighborhoods(strategies.Graph(entities=e, edges=_edges(spark, d))))
+
+
+def _legal_chunks(spark, d) -> DataFrame:
+    c = chunking.chunk_documents(_legal(spark, d), chunking.PCG, 2000, 100)
+    return c.select((F.col("doc_id") * 100_000 + F.col("ord")).alias("ord"), "chunk_id", F.col("text").alias("content"))
+
+
+@_query()
+def pairs_hierarchical(spark, d):
+    return _shown(strategies.sections(strategies.Graph(chunks=_legal_chunks(spark, d))))
+
+
+@_query()
+def pairs_chunk_qa(spark, d):
+    return strategies.chunk_questions(strategies.Graph(chunks=_legal_chunks(spark, d))).select("question", "answer", F.col("metadata.sub_strategy").alias("kind"))
+
+
+# filters, reports, formats ------------------------------------------------------------------------
+
+_PAIRS = """
+    t AS (SELECT conv_id * 1000 + turn AS ord, role, text, lead(role) OVER w AS next_role, lead(text) OVER w AS answer, conv_id FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+    pairs AS (SELECT ord, substr(text, 1, CAST(5 + ord % 40 AS INTEGER)) AS question, substr(answer, 1, CAST(20 + ord % 900 AS INTEGER)) AS answer, 's' || (conv_id % 3) AS strategy_name FROM t WHERE role = 'user' AND next_role = 'assistant'),
+    q AS (SELECT *, regexp_replace(answer, '^\\s+|\\s+$', '', 'g') AS a, regexp_replace(question, '^\\s+|\\s+$', '', 'g') AS qs FROM pairs),
+    f AS (SELECT ord, question, strategy_name, CASE WHEN length(qs) < 10 THEN 'question_too_short (' || length(question) || ' < 10)' WHEN length(a) < 50 THEN 'answer_too_short (' || length(a) || ' < 50)' END AS rule,
+            CASE WHEN length(qs) >= 10 AND length(a) >= 50 AND length(a) > 700 THEN CASE WHEN contains(substr(answer, 1, 700), '.') AND length(substr(answer, 1, 700)) - instr(reverse(substr(answer, 1, 700)), '.') > 50 AND length(answer) > 700 THEN substr(answer, 1, length(substr(answer, 1, 700)) - instr(reverse(substr(answer, 1, 700)), '.') + 1) ELSE substr(answer, 1, 700) END ELSE answer END AS answer,
+            trim(regexp_replace(regexp_replace(lower(qs), '[^\\p{L}\\p{N}_\\s]', '', 'g'), '\\s+', ' ', 'g')) AS k FROM q),
+    g AS (SELECT *, min(ord) FILTER (rule IS NULL) OVER (PARTITION BY k) AS first_ord FROM f),
+    judged AS (SELECT g.ord, g.question, g.answer, g.strategy_name, CASE WHEN g.rule IS NOT NULL THEN g.rule WHEN g.ord > g.first_ord THEN 'duplicate_of:' || substr(p.question, 1, 60) END AS reason FROM g LEFT JOIN pairs p ON p.ord = g.first_ord)"""
+
+
+def _conversation_pairs(spark, d) -> DataFrame:
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    c = _t(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("ord"), "role", "text", F.lead("role").over(w).alias("next_role"), F.lead("text").over(w).alias("answer"), "conv_id")
+    c = c.filter("role = 'user' and next_role = 'assistant'")
+    cut = lambda t, low, m: F.substring(F.col(t), F.lit(1), (low + F.col("ord") % m).cast("int"))
+    return c.select("ord", cut("text", 5, 40).alias("question"), cut("answer", 20, 900).alias("answer"), F.concat(F.lit("s"), (F.col("conv_id") % 3).cast("string")).alias("strategy_name"), F.array().cast("array<string>").alias("source_entities"))
+
+
+def _judged(spark, d) -> DataFrame:
+    return filters.dedupe_questions(filters.quality_filter(_conversation_pairs(spark, d), filters.Limits(max_answer=700)))
+
+
+@_query(f"WITH {_PAIRS} SELECT ord, md5(question) AS question, md5(answer) AS answer, CASE WHEN reason LIKE 'duplicate_of:%' THEN NULL ELSE reason END AS reason FROM judged")
+def quality_filter(spark, d):
+    f = filters.quality_filter(_conversation_pairs(spark, d), filters.Limits(max_answer=700))
+    return f.select("ord", F.md5("question").alias("question"), F.md5("answer").alias("answer"), "reason")
+
+
+@_query(f"WITH {_PAIRS} SELECT ord, reason FROM judged")
+def dedupe_questions(spark, d):
+    return _judged(spark, d).select("ord", "reason")
+
+
+@_query(f"WITH {_PAIRS} SELECT trim(string_split(reason, '(')[1]) AS reason, CAST(count(*) AS BIGINT) AS count FROM judged WHERE reason IS NOT NULL GROUP BY 1")
+def rejection_reasons(spark, d):
+    return filters.rejection_reasons(_judged(spark, d))
+
+
+@_query(f"WITH {_PAIRS} SELECT strategy_name, CAST(count(*) AS BIGINT) AS generated, CAST(count(*) FILTER (reason IS NULL) AS BIGINT) AS accepted, CAST(count(*) FILTER (reason IS NOT NULL) AS BIGINT) AS rejected, round_even(100.0 * count(*) FILTER (reason IS NULL) / count(*), 1) AS acceptance_rate FROM judged GROUP BY 1")
+def strategy_report(spark, d):
+    return filters.strategy_report(_judged(spark, d))
+
+
+@_query(f"WITH {_PAIRS} SELECT CAST(count(*) AS BIGINT) AS generated, CAST(count(*) FILTER (reason IS NULL) AS BIGINT) AS accepted, CAST(count(*) FILTER (reason IS NOT NULL) AS BIGINT) AS rejected, CAST(0 AS BIGINT) AS augmented, round_even(100.0 * count(*) FILTER (reason IS NULL) / count(*), 1) AS acceptance_rate FROM judged")
+def generation_report(spark, d):
+    return filters.generation_report(_judged(spark, d))
+
+
+def _records(spark, d, kind: str) -> DataFrame:
+    return formats.records(_conversation_pairs(spark, d), kind)
+
+
+@_query(f"WITH {_PAIRS} SELECT question AS said, answer FROM pairs")
+def format_openai(spark, d):
+    r = _records(spark, d, "openai").select(F.from_json("value", "messages array<struct<role string, content string>>").alias("r"))
+    return r.select(F.col("r.messages")[1]["content"].alias("said"), F.col("r.messages")[2]["content"].alias("answer"))
+
+
+@_query(f"WITH {_PAIRS} SELECT question AS instruction, '' AS input, answer AS output FROM pairs")
+def format_alpaca(spark, d):
+    return _records(spark, d, "alpaca").select(F.from_json("value", "instruction string, input string, output string").alias("r")).select("r.*")
+
+
+@_query(f"WITH {_PAIRS} SELECT question AS human, answer AS gpt FROM pairs")
+def format_sharegpt(spark, d):
+    r = _records(spark, d, "sharegpt").select(F.from_json("value", "conversations array<struct<`from` string, value string>>").alias("r"))
+    return r.select(F.col("r.conversations")[0]["value"].alias("human"), F.col("r.conversations")[1]["value"].alias("gpt"))
+
+
+@_query("""SELECT conv_id, md5(string_agg('<|' || role || '|>' || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY turn)) AS rendered FROM conversations GROUP BY conv_id""")
+def chat_render(spark, d):
+    m = F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("content"))
+    c = _t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(m)).alias("messages"))
+    return c.select("conv_id", F.md5(formats.render_messages("messages")).alias("rendered"))
+
+
+@_query()
+def augment_template(spark, d):
+    return augment.augment(strategies.entity_definitions(strategies.Graph(entities=_entities(spark, d))), 3, 7).select("ord", "variant", "question", "answer")
+
+
+# journal and control ------------------------------------------------------------------------------
+
+_EVENTS = "j AS (SELECT event_id, 'p' || (user_id % 7) AS phase, CASE event_type WHEN 'click' THEN 'start' WHEN 'purchase' THEN 'complete' WHEN 'view' THEN 'progress' ELSE 'error' END AS action, CAST(floor(value * 100) AS BIGINT) AS duration_ms, CAST(event_id AS VARCHAR) AS details FROM events)"
+
+
+def _journal(events: DataFrame) -> DataFrame:
+    kind = F.when(F.col("event_type") == "click", "start").when(F.col("event_type") == "purchase", "complete").when(F.col("event_type") == "view", "progress").otherwise("error")
+    return events.select("event_id", F.concat(F.lit("p"), (F.col("user_id") % 7).cast("string")).alias("phase"), kind.alias("action"), F.floor(F.col("value") * 100).cast("long").alias("duration_ms"), F.col("event_id").cast("string").alias("details"), F.col("event_id").alias("timestamp"))
+
+
+_SUMMARY = f"""WITH {_EVENTS} SELECT phase, bool_or(action = 'start') AS started, bool_or(action = 'complete') AS completed, arg_max(duration_ms, event_id) FILTER (action = 'complete') AS duration_ms, arg_max(details, event_id) FILTER (action = 'complete') AS details, CAST(count(*) FILTER (action = 'error') AS BIGINT) AS errors, min(event_id) AS first, max(event_id) AS last FROM j GROUP BY phase"""
+
+
+@_query(_SUMMARY)
+def journal_summary(spark, d):
+    return journal.summary(_journal(_t(spark, d, "events")), "event_id")
+
+
+@_query(f"WITH {_EVENTS} SELECT array_to_string(list_sort(list(DISTINCT phase) FILTER (action = 'complete')), ',') AS completed, arg_max(details, event_id) FILTER (action = 'error') AS error, arg_max(details, event_id) FILTER (action = 'progress') AS progress, max(event_id) AS last FROM j")
+def journal_last_state(spark, d):
+    return journal.last_state(_journal(_t(spark, d, "events")), "event_id").select(F.array_join("completed", ",").alias("completed"), "error", "progress", "last")
+
+
+@_query(f"WITH {_EVENTS} SELECT event_id AS timestamp, phase, details FROM j WHERE action = 'error'")
+def journal_errors(spark, d):
+    return journal.errors(_journal(_t(spark, d, "events")))
+
+
+@_query(_SUMMARY)
+def stream_journal(spark, d):
+    import uuid
+
+    schema = _t(spark, d, "events").schema
+    name = f"journal_{uuid.uuid4().hex}"
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events.parquet*")
+    journal.stream_summary(journal.summary(_journal(events), "event_id"), f"{shared_dir(spark)}/{name}", name)
+    return spark.table(name)
+
+
+@_query("""
+    WITH r AS (SELECT l_linenumber AS pipeline_id, CASE WHEN sum(l_quantity) > 0 THEN 'ok' ELSE 'failed' END AS status, CAST(count(*) FILTER (l_returnflag <> 'R') AS BIGINT) AS processed, CAST(count(*) AS BIGINT) AS total, CAST(60000 * l_linenumber AS BIGINT) AS duration_ms FROM lineitem GROUP BY l_linenumber)
+    SELECT CAST(sum(processed) AS BIGINT) AS processed, CAST(sum(total) AS BIGINT) AS total, CAST(count(*) FILTER (status <> 'ok') AS BIGINT) AS failed, round_even(sum(processed) / (max(duration_ms) / 60000.0), 1) AS chunks_per_minute FROM r""")
+def pipeline_totals(spark, d):
+    r = _t(spark, d, "lineitem").groupBy(F.col("l_linenumber").alias("pipeline_id")).agg(F.when(F.sum("l_quantity") > 0, "ok").otherwise("failed").alias("status"), F.count_if(F.col("l_returnflag") != "R").alias("processed"), F.count(F.lit(1)).alias("total"))
+    return control.totals(r.withColumn("duration_ms", (60_000 * F.col("pipeline_id")).cast("long")))
+
+
+@_query()
+def kg_round_trip(spark, d):
+    """Writes a graph file and reads it back."""
+    import uuid
+
+    e = _edges(spark, d)
+    nodes = _nodes(spark, d).select(F.col("node").alias("key"), F.col("node").alias("name"), F.lit("place").alias("entity_type"), F.lit('a < b & "c"').alias("description"))
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}.graphml"
+    formats.write_graphml(nodes, e.withColumns({"relation": F.lit("in"), "weight": F.lit(2.0)}), path)
+    return stage(kg.graphml_edges(spark, path).select("source", "target", "relation_type", "description", "weight"), "graph")
