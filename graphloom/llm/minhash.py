@@ -49,7 +49,7 @@ _A = _RNG.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.
 _B = _RNG.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _BAND = _RNG.integers(1, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-CACHE_SIZE = 500_000
+CACHE_SIZE = 250_000
 
 
 def _hash(word: str) -> int:

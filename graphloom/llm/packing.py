@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,23 +33,28 @@ from .common import docs_of, module_cache, slices, stage
 from .tokens import load
 from .words import SPECIAL, WORD_LEVEL, plain
 
-CAPACITY, END_ID, CACHE_SIZE = 4096, 1, 400_000
+CAPACITY, END_ID, CACHE_SIZE = 4096, 1, 300_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def word_ids(vocab: str, texts: list[str]) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers; words are encoded once per worker and cached."""
-    tok, cache = load(vocab), module_cache(f"ids {vocab}")
+    tok, cache, older = load(vocab), module_cache(f"ids {vocab}"), module_cache(f"older ids {vocab}")
     cut = [WORD_LEVEL.findall(t.lower()) if SPECIAL not in t and plain(t) else None for t in texts]
-    words: set[str] = set()
-    for ws in cut:
-        words.update(ws or ())
-    if len(cache) + len(words) > CACHE_SIZE:
+    words = set(chain.from_iterable(ws for ws in cut if ws))
+    if len(cache) + len(words) > CACHE_SIZE:  # two generations: what is used again moves to the younger
+        older.clear()
+        older.update(cache)
         cache.clear()
     new = [w for w in words if w not in cache]
-    for i in range(0, len(new), 10_000):
-        part = new[i : i + 10_000]
-        cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True))
+    if older:
+        cache.update((w, older[w]) for w in new if w in older)
+        new = [w for w in new if w not in cache]
+    for i in range(0, len(new), 2000):
+        part = new[i : i + 2000]
+        e = tok.encode(" ".join(part), add_special_tokens=False)  # each word is one pre-token
+        ids, at = np.array(e.ids, "<u4").tobytes(), [0, *(np.flatnonzero(np.diff(e.word_ids)) + 1).tolist(), len(e.ids)]
+        cache.update((w, ids[4 * lo : 4 * hi]) for w, lo, hi in zip(part, at[:-1], at[1:], strict=True))
     return [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if ws is None else b"".join(map(cache.__getitem__, ws)) for t, ws in zip(texts, cut, strict=True)]
 
 

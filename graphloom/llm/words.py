@@ -10,10 +10,12 @@ import re
 
 #: Texts of these characters alone are cut here.
 PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
-#: The byte-level pattern of the tokenizers package's ByteLevel pre-tokenizer, for PLAIN texts.
-BYTE_LEVEL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_L = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: The byte-level pattern of the tokenizers package's ByteLevel pre-tokenizer, for PLAIN texts. Letters come first, as
+#: nothing else can start with one.
+BYTE_LEVEL = re.compile(rf" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s{_L}0-9]+|\s+(?!\S)|\s+")
 #: The word pattern of word_bpe_49k.json, for PLAIN texts in lower case.
-WORD_LEVEL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
+WORD_LEVEL = re.compile(r"[a-zß-öø-ÿ]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 SPECIAL = "<|"
 
 
