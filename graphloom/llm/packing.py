@@ -29,33 +29,52 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import docs_of, module_cache, slices, stage
+from .common import Generations, docs_of, module_cache, slices, stage
 from .tokens import load
 from .words import SPECIAL, WORD_LEVEL, plain
 
-CAPACITY, END_ID, CACHE_SIZE = 4096, 1, 300_000
+CAPACITY, END_ID, CACHE_SIZE = 4096, 1, 400_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+class WordIds:
+    """Ids of words, cached in the worker."""
+
+    def __init__(self, vocab: str):
+        self.tok = load(vocab)
+        self.words = Generations(CACHE_SIZE)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [WORD_LEVEL.findall(t.lower()) if SPECIAL not in t and plain(t) else None for t in texts]
+        ids = self.of(list(chain.from_iterable(c for c in cut if c)))
+        out, at = [], 0
+        for t, c in zip(texts, cut, strict=True):
+            if c is None:
+                out.append(np.array(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                out.append(b"".join(ids[at : at + len(c)]))
+                at += len(c)
+        return out
+
+    def of(self, words: list[str]) -> list[bytes]:
+        found, missing = self.words.look_up(words)
+        new = list({words[i] for i in missing})
+        for k in range(0, len(new), 2000):
+            part = new[k : k + 2000]
+            e = self.tok.encode(" ".join(part), add_special_tokens=False)  # each word is one pre-token
+            ids, at = np.array(e.ids, "<u4").tobytes(), [0, *(np.flatnonzero(np.diff(e.word_ids)) + 1).tolist(), len(e.ids)]
+            self.words.young.update((w, ids[4 * lo : 4 * hi]) for w, lo, hi in zip(part, at[:-1], at[1:], strict=True))
+        for i in missing:
+            found[i] = self.words.young[words[i]]
+        return found
+
+
 def word_ids(vocab: str, texts: list[str]) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers; words are encoded once per worker and cached."""
-    tok, cache, older = load(vocab), module_cache(f"ids {vocab}"), module_cache(f"older ids {vocab}")
-    cut = [WORD_LEVEL.findall(t.lower()) if SPECIAL not in t and plain(t) else None for t in texts]
-    words = set(chain.from_iterable(ws for ws in cut if ws))
-    if len(cache) + len(words) > CACHE_SIZE:  # two generations: what is used again moves to the younger
-        older.clear()
-        older.update(cache)
-        cache.clear()
-    new = [w for w in words if w not in cache]
-    if older:
-        cache.update((w, older[w]) for w in new if w in older)
-        new = [w for w in new if w not in cache]
-    for i in range(0, len(new), 2000):
-        part = new[i : i + 2000]
-        e = tok.encode(" ".join(part), add_special_tokens=False)  # each word is one pre-token
-        ids, at = np.array(e.ids, "<u4").tobytes(), [0, *(np.flatnonzero(np.diff(e.word_ids)) + 1).tolist(), len(e.ids)]
-        cache.update((w, ids[4 * lo : 4 * hi]) for w, lo, hi in zip(part, at[:-1], at[1:], strict=True))
-    return [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if ws is None else b"".join(map(cache.__getitem__, ws)) for t, ws in zip(texts, cut, strict=True)]
+    """Ids of each text as little-endian unsigned 32-bit integers."""
+    cache = module_cache("word ids")
+    if vocab not in cache:
+        cache[vocab] = WordIds(vocab)
+    return cache[vocab].encode(texts)
 
 
 def cut_pieces(docs: DataFrame, encode: Callable[[list[str]], list[bytes]], capacity: int, end_id: int) -> DataFrame:
