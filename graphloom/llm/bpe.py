@@ -27,10 +27,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import docs_of, module_cache, slices
+from .common import Generations, docs_of, module_cache, slices
 from .words import BYTE_LEVEL, plain
 
-CACHE_SIZE, WORDS_AT_ONCE, LONG_WORD = 400_000, 20_000, 256
+CACHE_SIZE, WORDS_AT_ONCE, LONG_WORD = 800_000, 20_000, 256
 
 ENCODE = """
 WITH RECURSIVE state(word, step, pos, tok) AS (
@@ -63,8 +63,7 @@ class Codec:
 
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.cache = Generations(CACHE_SIZE)
         pairs = [((self.ranks[t[:i]] << 32) + self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "preserve_insertion_order": False})
         merges = pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()), "rank": pa.array([r for _, r in pairs], pa.int32())})
@@ -84,9 +83,9 @@ class Codec:
         for w in words:
             b = w.encode()
             if (r := self.ranks.get(b)) is not None:
-                self.cache[w] = r.to_bytes(4, "little")
+                self.cache.young[w] = r.to_bytes(4, "little")
             elif len(b) > LONG_WORD:
-                self.cache[w] = np.array(self._long(b), "<u4").tobytes()
+                self.cache.young[w] = np.array(self._long(b), "<u4").tobytes()
             else:
                 todo.append((w, b))
         for i in range(0, len(todo), WORDS_AT_ONCE):
@@ -98,7 +97,7 @@ class Codec:
             found = self.db.sql(ENCODE).to_arrow_table().column("ids").combine_chunks()
             self.db.unregister("start")
             ids, at = found.values.to_numpy().astype("<u4").tobytes(), (found.offsets.to_numpy().astype(np.int64) * 4).tolist()
-            self.cache.update((w, ids[at[k] : at[k + 1]]) for k, (w, _) in enumerate(part))
+            self.cache.young.update((w, ids[at[k] : at[k + 1]]) for k, (w, _) in enumerate(part))
 
     def _long(self, b: bytes) -> list[int]:
         """The same contraction for one long word, with a heap of its pairs."""
@@ -121,15 +120,17 @@ class Codec:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         cut = [self.cut(t) for t in texts]
-        words = set(chain.from_iterable(cut))
-        if len(self.cache) + len(words) > CACHE_SIZE:  # two generations: what is used again moves to the younger
-            self.older, self.cache = self.cache, {}
-        new = [w for w in words if w not in self.cache]
-        if self.older:
-            self.cache.update((w, self.older[w]) for w in new if w in self.older)
-            new = [w for w in new if w not in self.cache]
-        self.learn(new)
-        return [b"".join(map(self.cache.__getitem__, ws)) for ws in cut]
+        words = list(chain.from_iterable(cut))
+        ids, missing = self.cache.look_up(words)
+        if missing:
+            self.learn(list({words[i] for i in missing}))
+            for i in missing:
+                ids[i] = self.cache.young[words[i]]
+        out, at = [], 0
+        for ws in cut:
+            out.append(b"".join(ids[at : at + len(ws)]))
+            at += len(ws)
+        return out
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of each text."""
@@ -166,7 +167,7 @@ def bpe(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        for b in slices(batches, 256, 2_000_000):
+        for b in slices(batches, 512, 4_000_000):
             ids = c.encode(b.column(1).to_pylist())
             back = c.decode(ids)
             cols = [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(x).hexdigest() for x in back])]
