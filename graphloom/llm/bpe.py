@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import Generations, docs_of, module_cache, slices
+from .common import Generations, begin, docs_of, module_cache, slices
 from .words import BYTE_LEVEL, plain
 
 CACHE_SIZE, WORDS_AT_ONCE, LONG_WORD = 800_000, 20_000, 256
@@ -166,6 +166,7 @@ def bpe(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_c
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``keep_ids`` the ids and decoded bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe")
         c = codec(path, pattern)
         for b in slices(batches, 512, 4_000_000):
             ids = c.encode(b.column(1).to_pylist())

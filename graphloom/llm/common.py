@@ -7,7 +7,7 @@ A null text is an empty text; a null id is kept as its own (null) id.
 
 from __future__ import annotations
 
-import os
+import gc
 import sys
 from collections.abc import Iterator
 
@@ -16,12 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.staging import drop_staged, shared_dir, stage  # noqa: F401
+from ..plans.workers import find_package as workers_find_package
 
 #: A group with at least this share of all rows is "hot"; there are at most 1 / HOT_SHARE of them.
 HOT_SHARE = 1 / 1000
 
-_REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder, through Spark's reader only (the folder may be in any store)."""
@@ -29,13 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def workers_find_package(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it runs from a checkout; clusters ship it with --py-files."""
-    env = spark.sparkContext.environment
-    if _REPO not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (_REPO, env.get("PYTHONPATH", "")) if x)
-
-
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """``pick(df, doc_id="id")``: the columns named, renamed, chosen by position; others are pruned."""
     names = df.columns
@@ -122,6 +114,60 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, chars: int = 4_00
             first += step
 
 
+def module_cache(name: str) -> dict:
+    """A dict that lives as long as the Python worker, or until another operator needs the memory."""
+    return sys.modules[__name__].__dict__.setdefault("_caches", {}).setdefault(name, {})
+
+
+def begin(operator: str) -> None:
+    """Workers outlive operators: the caches of another one are given up first."""
+    own = sys.modules[__name__].__dict__
+    if own.get("_operator") != operator:
+        own["_operator"] = operator
+        own.setdefault("_caches", {}).clear()
+        gc.collect()
+
+
+class Generations:
+    """A bounded cache in two generations: what is found in the older moves to the younger."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def look_up(self, keys: list) -> tuple[list, list[int]]:
+        """Values, None where unknown, and the places of those. Unknown ones belong into ``young``."""
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        found = list(map(self.young.get, keys))
+        if None not in found:
+            return found, []
+        missing = [i for i, v in enumerate(found) if v is None]
+        if self.old:
+            rest = []
+            for i in missing:
+                v = found[i] = self.old.get(keys[i])
+                if v is None:
+                    rest.append(i)
+                else:
+                    self.young[keys[i]] = v
+            missing = rest
+        return found, missing
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that Python holds few texts at once; a longer text comes alone."""
+    for b in batches:
+        at = b.schema.get_field_index("text")
+        if at < 0:
+            yield from (b.slice(i, rows) for i in range(0, b.num_rows, rows))
+            continue
+        size, first = b.column(at).nbytes / max(1, b.num_rows), 0
+        step = max(1, min(rows, int(chars / max(1.0, size))))
+        while first < b.num_rows:
+            yield b.slice(first, step)
+            first += step
+
+
 def module_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker."""
     return sys.modules[__name__].__dict__.setdefault("_caches", {}).setdefault(name, {})

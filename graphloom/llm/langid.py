@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import docs_of, pick, slices, workers_find_package
+from .common import begin, docs_of, pick, slices, workers_find_package
 
 WINDOW, WIDTHS, FILTERS, DIM = 128, (2, 4, 6), 16, 8
 TRAIN_DOCS, TRAIN_BYTES = 3000, 4096
@@ -160,6 +160,7 @@ def identify(docs: DataFrame, train: DataFrame, label_col: str = "lang", id_col:
     base = pick(docs, doc_id=id_col, text=text_col, **{f"x{i}": c for i, c in enumerate(extra)}).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *[f"x{i}" for i in range(len(extra))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("langid")
         cnn = model.value
         tables = cnn.tables() if cnn else {}
         for b in slices(batches, 512, 2_000_000):

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import docs_of, join_groups, module_cache, restrict, slices, stage
+from .common import begin, docs_of, join_groups, module_cache, restrict, slices, stage
 
 PERMUTATIONS, ROWS, BANDS = 64, 5, 25
 #: A pair at the threshold has fewer equal signature bytes than this with a probability of about 1e-6.
@@ -106,6 +106,7 @@ def bands(sig: np.ndarray) -> np.ndarray:
 
 def sketch(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("minhash")
         for b in slices(batches):
             n, own, band, low = [], [], [], []
             for t in b.column(1).to_pylist():
@@ -125,6 +126,7 @@ def sketch(docs: DataFrame, width: int) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("minhash")
         for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, width).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["node", "hashes"])
 

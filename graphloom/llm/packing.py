@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Generations, docs_of, module_cache, slices, stage
+from .common import Generations, begin, docs_of, module_cache, slices, stage
 from .tokens import load
 from .words import SPECIAL, WORD_LEVEL, plain
 
-CAPACITY, END_ID, CACHE_SIZE = 4096, 1, 400_000
+CAPACITY, END_ID, CACHE_SIZE = 4096, 1, 300_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -79,6 +79,7 @@ def word_ids(vocab: str, texts: list[str]) -> list[bytes]:
 
 def cut_pieces(docs: DataFrame, encode: Callable[[list[str]], list[bytes]], capacity: int, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("packing")
         end, width = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for b in slices(batches):
             rows = []

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import docs_of, pick, slices
+from .common import begin, docs_of, pick, slices
 
 KINDS = ["email", "ip", "card", "phone"]
 TRAIN_DOCS = 2000
@@ -266,6 +266,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tr
     model = rows.sparkSession.sparkContext.broadcast(train_field(rows, train_docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pii")
         crf = model.value
         for b in slices(batches):
             spans = [[{"kind": KINDS[k], "start": a, "end": e, "base": base} for a, k, e, base in find_spans(crf, t)] for t in b.column(1).to_pylist()]
@@ -308,6 +309,7 @@ def redacted(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col:
     base = pick(docs, doc_id=id_col, text=text_col, **extra).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pii")
         crf = model.value
         for b in slices(batches):
             texts = []

@@ -74,6 +74,25 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_minhash_dedup, op3_token_counts, op4_exact_dedup, op5_best_fit, op6_quality_rules, op7_language_id, op8_chat_format, op9_pii, op10_bpe)}
 
 ORACLE = {
+    "op2_minhash_dedup": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS sh FROM d),
+        n AS (SELECT doc_id, count(*) AS c, md5(string_agg(sh, chr(1) ORDER BY sh)) AS h FROM s GROUP BY doc_id),
+        both_have AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS same FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        one_way AS (SELECT x, y FROM both_have JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * same >= 80 * (p.c + q.c - same)),
+        links AS (SELECT x, y FROM one_way UNION ALL SELECT y, x FROM one_way),
+        reach(id, other) AS (SELECT DISTINCT x, x FROM links UNION SELECT id, y FROM reach JOIN links ON other = x),
+        comp AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+        class AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS class_id FROM n)
+        SELECT d.doc_id, coalesce(n.c, 0) AS n_shingles, coalesce(comp.component_id, d.doc_id) AS component_id, coalesce(comp.component_id, d.doc_id) = d.doc_id AS kept, coalesce(class.class_id, d.doc_id) AS class_id
+        FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp ON comp.id = d.doc_id LEFT JOIN class ON class.doc_id = d.doc_id""",
+    "op8_chat_format": r"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g')) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 32) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id""",
     "op4_exact_dedup": """
         WITH g AS (SELECT coalesce(text, '') AS t, max(doc_id) AS keep_id, count(*) AS group_size FROM documents GROUP BY 1)
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(g.t) AS text_sha256

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import docs_of, module_cache, slices
+from .common import begin, docs_of, module_cache, slices
 from .words import BYTE_LEVEL, SPECIAL, plain
 
 SAMPLE_DOCS, TABLE_SIZE, CACHE_SIZE = 1000, 32_768, 400_000
@@ -46,7 +46,7 @@ def _encode_lengths(tok, texts: list[str]) -> list[int]:
 def frequent_lengths(docs: DataFrame, vocab: str, sample_docs: int, size: int) -> dict[str, int]:
     """{pre-token: tokens} of the most frequent pre-tokens of a bounded sample."""
     seen: Counter = Counter()
-    for r in docs.select(F.substring("text", 1, 20_000).alias("text")).limit(sample_docs).toLocalIterator():
+    for r in docs.select(F.substring("text", 1, 20_000).alias("text")).limit(sample_docs).collect():  # takes partitions until it has enough
         seen.update(BYTE_LEVEL.findall(r.text) if plain(r.text) else ())
     words = [w for w, _ in seen.most_common(size)]
     return dict(zip(words, _encode_lengths(load(vocab), words), strict=True))
@@ -58,6 +58,7 @@ def count_tokens(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col:
     table = rows.sparkSession.sparkContext.broadcast(frequent_lengths(rows, vocab, sample_docs, table_size))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("tokens")
         tok, first, second = load(vocab), table.value, module_cache(f"lengths {vocab}")
         for b in slices(batches):
             texts = b.column(1).to_pylist()

@@ -410,7 +410,8 @@ def test_pipeline(spark, data, documents, rows):
 
 def test_oracle_sql(spark, data):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data}/{t}.parquet'")
     for name, sql in queries.ORACLE.items():
         df = queries.QUERIES[name](spark, data)
         cols = sorted(df.columns)
