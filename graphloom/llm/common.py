@@ -100,20 +100,6 @@ class Generations:
         return found, missing
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that Python holds few texts at once; a longer text comes alone."""
-    for b in batches:
-        at = b.schema.get_field_index("text")
-        if at < 0:
-            yield from (b.slice(i, rows) for i in range(0, b.num_rows, rows))
-            continue
-        size, first = b.column(at).nbytes / max(1, b.num_rows), 0
-        step = max(1, min(rows, int(chars / max(1.0, size))))
-        while first < b.num_rows:
-            yield b.slice(first, step)
-            first += step
-
-
 def module_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker, or until another operator needs the memory."""
     return sys.modules[__name__].__dict__.setdefault("_caches", {}).setdefault(name, {})
@@ -154,7 +140,7 @@ class Generations:
         return found, missing
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut so that Python holds few texts at once; a longer text comes alone."""
     for b in batches:
         at = b.schema.get_field_index("text")
