@@ -114,32 +114,6 @@ def begin(operator: str) -> None:
         gc.collect()
 
 
-class Generations:
-    """A bounded cache in two generations: what is found in the older moves to the younger."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
-
-    def look_up(self, keys: list) -> tuple[list, list[int]]:
-        """Values, None where unknown, and the places of those. Unknown ones belong into ``young``."""
-        if len(self.young) > self.size:
-            self.young, self.old = {}, self.young
-        found = list(map(self.young.get, keys))
-        if None not in found:
-            return found, []
-        missing = [i for i, v in enumerate(found) if v is None]
-        if self.old:
-            rest = []
-            for i in missing:
-                v = found[i] = self.old.get(keys[i])
-                if v is None:
-                    rest.append(i)
-                else:
-                    self.young[keys[i]] = v
-            missing = rest
-        return found, missing
-
-
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut so that Python holds few texts at once; a longer text comes alone."""
     for b in batches:
@@ -152,8 +126,3 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, chars: int = 2_00
         while first < b.num_rows:
             yield b.slice(first, step)
             first += step
-
-
-def module_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker."""
-    return sys.modules[__name__].__dict__.setdefault("_caches", {}).setdefault(name, {})
