@@ -8,15 +8,20 @@ stage's documents. All but the last return the columns of documents; what a stag
 3. near_dedup: one document of each group of near-duplicates stays (five-word shingles, similarity of 0.8 or more).
 4. pii: spans of personal data are replaced by their kind in brackets; n_chars follows.
 5. packing: best-fit packing into sequences; returns pieces.
+
+Cases: a null text is rejected by the first stage and is empty for the others; rows of null id are documents of their
+own, but of equal texts among them one row stays; of rows equal in id and text the least by its other columns stays;
+an id with several texts loses only those that are copies, and stays whole among near-duplicates if any of its rows
+stays; extra columns are dropped; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm import exact, langid, pii
-from graphloom.llm.common import pick, stage
+from graphloom.llm.common import MAX_BROADCAST_IDS, join_groups, pick, restrict, stage
 from graphloom.llm.minhash import near_dedup
 from graphloom.llm.queries import pack_documents
 
@@ -35,18 +40,41 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _documents(docs)
-    return _without(docs, exact.exact_dedup(docs))
+    verdict = exact.exact_dedup(docs)
+    gone = stage(verdict.filter("not kept").select("doc_id"), "gone")
+    told = gone.count()
+    nulls = gone.filter("doc_id is null").count()
+    rows = restrict(docs.select("doc_id"), gone, "doc_id").count()
+    again = verdict.filter("kept and group_size > 1").groupBy("doc_id", "text_sha256").count().filter("count > 1").limit(1).count()
+    if not nulls and rows == told and not again:  # ids tell the rows that go
+        return _without(docs, gone)
+    return _rows_that_stay(docs, verdict)
+
+
+def _rows_that_stay(docs: DataFrame, verdict: DataFrame) -> DataFrame:
+    """Settles by id and text, for tables whose ids repeat or are null; of rows equal in both the least stays."""
+
+    def key(sha: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), sha).alias("key")
+
+    groups = stage(verdict.groupBy(key(F.col("text_sha256"))).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("size")).filter("kept").drop("kept"), "stay")
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    rows = join_groups(docs.select(*COLUMNS, key(text)), groups, "key", "size")
+    least = rows.filter("size > 1").groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return rows.filter("size = 1").select(*COLUMNS).unionByName(least)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _documents(docs)
-    return _without(docs, near_dedup(docs))
+    verdict = near_dedup(docs)
+    gone = stage(verdict.filter("not kept").select("doc_id").distinct(), "gone")
+    stay = stage(restrict(verdict.filter("kept").select("doc_id"), gone, "doc_id"), "stay")
+    return _without(docs, gone.join(stay, "doc_id", "left_anti") if stay.limit(1).count() else gone)
 
 
-def _without(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """Documents less those that ``verdict`` (doc_id, kept) drops."""
-    gone = stage(verdict.filter("not kept").select("doc_id"), "gone")
-    few = gone.count() <= 1_000_000
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Documents less those whose doc_id is in ``gone``."""
+    few = gone.count() <= MAX_BROADCAST_IDS
     return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*COLUMNS)
 
 

@@ -408,6 +408,43 @@ def test_pipeline(spark, data, documents, rows):
     assert corpus_pipeline.run(spark, data).select("doc_id").distinct().count() == docs.count()
 
 
+PIPE = "doc_id long, text string, lang string, source string, n_chars long, TEXT int"
+
+
+def pipe_stage(spark, name, rows):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(d, t, lang, "s", None, 1) for d, t, lang in rows], PIPE).repartition(3)
+    got = dict(corpus_pipeline.STAGES)[name](spark, docs, "")
+    assert name == "packing" or got.columns == corpus_pipeline.COLUMNS
+    return sorted(((r.doc_id, r.text, r.lang) for r in got.collect()) if name != "packing" else [(r.doc_id,) for r in got.collect()], key=str)
+
+
+def test_pipeline_exact_settles_rows(spark):
+    rows = [(1, "x", "en"), (1, "x", "de"), (2, "y", "en"), (3, "y", "en"), (2, "z", "en"), (None, "y", "en"), (None, "w", "en"), (None, "w", "en"), (4, None, "en"), (5, "", "en")]
+    assert pipe_stage(spark, "exact_dedup", rows) == sorted([(1, "x", "de"), (3, "y", "en"), (2, "z", "en"), (None, "w", "en"), (5, "", "en")], key=str)
+    plain = [(1, "x", "en"), (2, "x", "en"), (3, "q", None)]
+    assert pipe_stage(spark, "exact_dedup", plain) == [(2, "x", "en"), (3, "q", None)]
+
+
+def test_pipeline_near_keeps_whole_documents(spark):
+    rows = [(3, BASE, "en"), (5, BASE + " more", "en"), (5, "other words that stand alone here", "en"), (6, BASE + " end", "en"), (None, BASE, "en"), (7, None, None)]
+    assert {d for d, _, _ in pipe_stage(spark, "near_dedup", rows)} == {3, 5, 7, None}
+    assert len(pipe_stage(spark, "near_dedup", rows)) == 5
+
+
+@pytest.mark.parametrize("name", ["language", "exact_dedup", "near_dedup", "pii", "packing"])
+def test_pipeline_stages_on_odd_tables(spark, name):
+    assert pipe_stage(spark, name, []) == []
+    rows = [(d, t, "en") for d, t in ODD]
+    ids = {r[0] for r in pipe_stage(spark, name, rows)}
+    lettered = {d for d, t in ODD if t and any(c.isalpha() for c in t)}
+    if name == "language":
+        assert ids == lettered
+    if name in ("pii", "packing"):
+        assert ids == {d for d, _ in ODD}
+
+
 def test_oracle_sql(spark, data):
     con = duckdb.connect()
     for t in ("documents", "conversations"):
