@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
 stage's documents. All but the last return the columns of documents; what a stage decides takes effect in its rows.
 
-1. language: documents whose text holds no letters (``und``) are rejected; ``lang`` is filled where it was null.
+1. language: documents whose text holds no letters are rejected; ``lang`` is filled where it was null, and stays null where
+   no row of the table has a language to learn.
 2. exact_dedup: of equal texts the one with the largest doc_id stays.
 3. near_dedup: one document of each group of near-duplicates stays (five-word shingles, similarity of 0.8 or more).
 4. pii: spans of personal data are replaced by their kind in brackets; n_chars follows.
@@ -34,8 +35,9 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = _documents(docs)
-    told = langid.identify(docs, docs, keep=["lang", "source", "n_chars"]).filter("lang_pred <> 'und'")
-    return told.select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
+    told = langid.identify(docs, docs, keep=["lang", "source", "n_chars"]).filter("has_letters")
+    learned = F.when(F.col("score") > 0, F.col("lang_pred"))  # a score of 0: no model was trained
+    return told.select("doc_id", "text", F.coalesce("lang", learned).alias("lang"), "source", "n_chars")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

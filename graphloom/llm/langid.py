@@ -140,7 +140,8 @@ def train_on(labelled: list[tuple[str, str]]) -> ByteCNN | None:
 
 
 def identify(docs: DataFrame, train: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, keep: list[str] | None = None) -> DataFrame:
-    """Per document of ``docs``: doc_id, lang_pred, score, and the columns named in ``keep``. ``train`` has labelled rows."""
+    """Per document of ``docs``: doc_id, lang_pred, score; with ``keep`` also text, the columns it names, and has_letters, which
+    doesn't depend on the model. ``train`` has labelled rows."""
     workers_find_package(docs.sparkSession)
     rows = pick(train, doc_id=id_col, text=text_col, label=label_col).filter("label is not null and text is not null")
     # the hash spreads the choice over the labels: the same share of each label's rows would leave rare labels few
@@ -165,17 +166,18 @@ def identify(docs: DataFrame, train: DataFrame, label_col: str = "lang", id_col:
         tables = cnn.tables() if cnn else {}
         for b in slices(batches, 512, 2_000_000):
             texts = b.column(1).to_pylist()
-            some = [i for i, t in enumerate(texts) if cnn and LETTER.search(t)]
+            letters = [LETTER.search(t) is not None for t in texts]
+            some = [i for i, has in enumerate(letters) if cnn and has]
             label, score = ["und"] * len(texts), [0.0] * len(texts)
             if some:
                 best, p = cnn.predict([texts[i].encode() for i in some], tables)
                 for i, k, q in zip(some, best.tolist(), p.tolist(), strict=True):
                     label[i], score[i] = cnn.labels[k], q
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(label, pa.string()), pa.array(score, pa.float64())], [*b.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(letters, pa.bool_())], [*b.schema.names, "lang_pred", "score", "has_letters"])
 
     types = "".join(f", x{i} {dict(docs.dtypes)[c]}" for i, c in enumerate(extra))
-    out = base.mapInArrow(run, f"doc_id long, text string{types}, lang_pred string, score double") if extra else base.mapInArrow(_without_text(run), "doc_id long, lang_pred string, score double")
-    return out.select("doc_id", *(["text"] if extra else []), *[F.col(f"x{i}").alias(c) for i, c in enumerate(extra)], "lang_pred", "score")
+    out = base.mapInArrow(run, f"doc_id long, text string{types}, lang_pred string, score double, has_letters boolean") if extra else base.mapInArrow(_without_text(run), "doc_id long, lang_pred string, score double")
+    return out.select("doc_id", *(["text"] if extra else []), *[F.col(f"x{i}").alias(c) for i, c in enumerate(extra)], "lang_pred", "score", *(["has_letters"] if extra else []))
 
 
 def _without_text(run):

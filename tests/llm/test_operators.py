@@ -433,6 +433,13 @@ def test_pipeline_near_keeps_whole_documents(spark):
     assert len(pipe_stage(spark, "near_dedup", rows)) == 5
 
 
+def test_pipeline_language_rejects_only_letterless_documents(spark):
+    texts = [(1, BASE), (2, "some words"), (3, "123 - 4"), (4, None)]
+    assert pipe_stage(spark, "language", [(d, t, None) for d, t in texts]) == [(1, BASE, None), (2, "some words", None)]
+    und = [(10 + i, f"{long_text(i, 40)}", "und") for i in range(20)] + [(50, BASE, None), (51, "77", "und")]
+    assert pipe_stage(spark, "language", und) == sorted([(d, t, "und") for d, t, _ in und if d != 51], key=str)
+
+
 @pytest.mark.parametrize("name", ["language", "exact_dedup", "near_dedup", "pii", "packing"])
 def test_pipeline_stages_on_odd_tables(spark, name):
     assert pipe_stage(spark, name, []) == []
