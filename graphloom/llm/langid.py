@@ -1,8 +1,9 @@
 """Language identification by a byte convolutional network in numpy.
 
 Network: filters of several widths over byte embeddings, maximum over each window, and softmax. It is trained with Adam
-on windows of at most ``train_docs`` labelled documents (a documented bound), chosen by hash of the id, evenly over the
-labels. Prediction covers the whole text: it is cut into windows of ``WINDOW`` bytes (the last one padded), all windows of
+on labelled documents chosen by hash, evenly over all labels: of each label at most ``train_docs`` divided by the number of
+labels, and at least one (a documented bound). Of a text with more than ``TRAIN_WINDOWS`` windows it takes so many, spread
+evenly from its first to its last. Prediction covers the whole text: it is cut into windows of ``WINDOW`` bytes (the last one padded), all windows of
 a slice run as batches, and a document's score is the mean of its windows' log-probabilities weighted by their bytes.
 For speed each filter is folded into tables over byte pairs, which gives the same sums.
 
@@ -17,13 +18,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import begin, docs_of, pick, slices, workers_find_package
 
 WINDOW, WIDTHS, FILTERS, DIM = 128, (2, 4, 6), 16, 8
-TRAIN_DOCS, TRAIN_BYTES = 3000, 4096
+TRAIN_DOCS, TRAIN_WINDOWS = 3000, 32
 BATCH = 1024  # windows at once
 LETTER = regex.compile(r"\p{L}")
 
@@ -121,41 +122,41 @@ class ByteCNN:
         return q.argmax(1), q.max(1) / q.sum(1)
 
 
-def train_on(labelled: list[tuple[str, str]]) -> ByteCNN | None:
-    """From (text, label) pairs."""
+def train_on(labelled: list[tuple[list[bytes], str]]) -> ByteCNN | None:
+    """From (windows, label) pairs."""
     labels = sorted({k for _, k in labelled})
-    xs, ys = [], []
-    for text, label in labelled:
-        b = text.encode()[:TRAIN_BYTES]
-        b = b.ljust(-(-max(1, len(b)) // WINDOW) * WINDOW, b" ")
-        x = np.frombuffer(b, np.uint8).reshape(-1, WINDOW)[:8]
-        xs.append(x)
-        ys += [labels.index(label)] * len(x)
-    if not xs:
+    number = {k: i for i, k in enumerate(labels)}
+    if not labelled:
         return None
+    x = np.frombuffer(b"".join(bytes(w).ljust(WINDOW, b" ") for ws, _ in labelled for w in ws), np.uint8).reshape(-1, WINDOW)
     net = ByteCNN(labels)
-    x = np.concatenate(xs)
-    net.train(x, np.array(ys), epochs=max(3, min(20, 60_000 // len(x))))
+    net.train(x, np.array([number[k] for ws, k in labelled for _ in ws]), epochs=max(3, min(20, 60_000 // len(x))))
     return net
 
 
+def training_rows(rows: DataFrame, train_docs: int) -> list[tuple[list[bytes], str]]:
+    """(windows, label) of the documents that train, from ``rows`` (doc_id, text, label) without nulls in text and label."""
+    b = rows.select(F.col("label").cast("string").alias("label"), F.col("text").cast("binary").alias("b"), F.xxhash64("doc_id", "text").alias("_h"))
+    counts = b.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("_h").alias("least")).collect()
+    if not counts:
+        return []
+    each, top = max(1, train_docs // len(counts)), 2**63
+    # twice the rows wanted lie below the bound, as their number varies; the least hash is below it in any case
+    bounds = [(r.label, top - 1 if r.n <= 2 * each else max(r.least, int(-top + 4 * top * each / r.n))) for r in counts]
+    near = b.join(F.broadcast(rows.sparkSession.createDataFrame(bounds, "label string, bound long")), "label").filter("_h <= bound")
+    n, k = f"greatest(1, (octet_length(b) + {WINDOW - 1}) div {WINDOW})", f"least({TRAIN_WINDOWS}, n)"
+    cut = near.selectExpr("label", "_h", "b", f"{n} as n").selectExpr("label", "_h", f"transform(sequence(0L, {k} - 1), i -> substring(b, cast((i * (n - 1) div greatest(1, {k} - 1)) * {WINDOW} + 1 as int), {WINDOW})) as windows")
+    by = Window.partitionBy("label").orderBy("_h", "windows")
+    chosen = cut.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= each).collect()
+    return [(r.windows, r.label) for r in sorted(chosen, key=lambda r: (r._h, r.windows, r.label))]
+
+
 def identify(docs: DataFrame, train: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, keep: list[str] | None = None) -> DataFrame:
     """Per document of ``docs``: doc_id, lang_pred, score; with ``keep`` also text, the columns it names, and has_letters, which
     doesn't depend on the model. ``train`` has labelled rows."""
     workers_find_package(docs.sparkSession)
     rows = pick(train, doc_id=id_col, text=text_col, label=label_col).filter("label is not null and text is not null")
-    # the hash spreads the choice over the labels: the same share of each label's rows would leave rare labels few
-    small = rows.select("label", F.substring("text", 1, TRAIN_BYTES).alias("text"), F.xxhash64("doc_id").alias("_h"))
-    counts = {r.label: r["count"] for r in rows.groupBy("label").count().orderBy(F.desc("count")).limit(200).collect()}
-    each = max(1, train_docs // max(1, len(counts)))
-    top = 2**63
-    chance = None
-    for label, n in counts.items():
-        bound = int(-top + 2 * top * min(1.0, each / n)) if n > each else top - 1
-        case = (F.col("label") == label) & (F.col("_h") <= bound)
-        chance = case if chance is None else chance | case
-    chosen = sorted(((r._h, r.text, r.label) for r in small.filter(chance).limit(2 * train_docs).collect()), key=lambda r: (r[0], r[1], r[2])) if chance is not None else []
-    net = train_on([(t, k) for _, t, k in chosen])
+    net = train_on(training_rows(rows, train_docs))
     model = docs.sparkSession.sparkContext.broadcast(net)
     extra = keep or []
     base = pick(docs, doc_id=id_col, text=text_col, **{f"x{i}": c for i, c in enumerate(extra)}).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *[f"x{i}" for i in range(len(extra))])

@@ -298,6 +298,18 @@ def test_language_id(spark, odd, documents):
     assert langid.identify(empty(odd), documents).count() == 0
 
 
+def test_language_training_keeps_every_label_and_whole_texts(spark):
+    docs = [(None if i % 2 else i, f"{i} word", f"l{i % 260}") for i in range(1300)] + [(5000 + i, f"much {i}", "common") for i in range(2000)]
+    docs += [(9000, "boilerplate " * 3000 + "tail" * 100, "long"), (9001, "", "empty"), (9002, "x" * 300, "short")]
+    got = langid.training_rows(spark.createDataFrame(docs, "doc_id long, text string, label string"), 600)
+    labels = [k for _, k in got]
+    assert set(labels) == {k for _, _, k in docs} and max(map(labels.count, set(labels))) == 600 // 264
+    windows = {k: [bytes(w) for w in ws] for ws, k in got}
+    assert len(windows["long"]) == langid.TRAIN_WINDOWS and b"tail" in windows["long"][-1]
+    assert b"".join(windows["short"]) == b"x" * 300 and windows["empty"] == [b""]
+    assert {k for _, k in langid.training_rows(spark.createDataFrame(docs, "doc_id long, text string, label string"), 10)} == set(labels)
+
+
 def test_network_tables_equal_the_network():
     net = langid.ByteCNN(["a", "b"])
     x = np.random.default_rng(0).integers(0, 256, (5, langid.WINDOW)).astype(np.uint8)
