@@ -24,6 +24,18 @@ def extract(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return entities, providers.adjacent_relations(found)
 
 
+def numbered(chunks: DataFrame) -> DataFrame:
+    """``chunks`` with ``ord`` counted from 0 over all of them, by document and place: a key of each chunk."""
+    place = {"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id() % (1 << 33)}
+    rows = stage(chunks.repartitionByRange("doc_id", "ord").sortWithinPartitions("doc_id", "ord").withColumns(place), "numbered")
+    first, at = [], 0
+    for r in rows.groupBy("_part").count().orderBy("_part").collect():
+        first.append((r["_part"], at))
+        at += r["count"]
+    starts = rows.sparkSession.createDataFrame(first, "_part int, _first long")
+    return rows.join(F.broadcast(starts), "_part").withColumn("ord", F.col("_first") + F.col("_row")).select(*chunks.columns)
+
+
 def build(spark: SparkSession, docs: DataFrame, out: str, config: Config = Config(), completed: DataFrame | None = None, on: Event = lambda name, info: None, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Chunks documents, extracts and merges their graphs, writes Parquet and a journal under ``out``; (nodes, edges).
 
@@ -32,7 +44,7 @@ def build(spark: SparkSession, docs: DataFrame, out: str, config: Config = Confi
     journal = Journal(spark, f"{out}/journal")
     journal.start("chunking")
     chunks = valid(chunking.chunk_documents(docs, chunking.get_profile(config.profile), config.max_chunk_size, config.min_chunk_size))
-    chunks = chunks.withColumn("ord", F.abs(F.xxhash64("doc_id")) % (1 << 20) * 1024 + F.col("ord"))
+    chunks = numbered(chunks)
     if completed is not None:
         chunks = pending(chunks, completed)
     if limit:

@@ -279,3 +279,12 @@ def test_build_generate_query(spark, tmp_path):
     assert judged.filter("reason is null").count() > 0
     assert spark.read.json(f"{tmp_path}/ft/report").first().accepted > 0
     assert api.query_local(g, "Capital social").count() > 0
+
+
+def test_build_keys_chunks_of_documents_apart(spark, tmp_path):
+    slot = F.abs(F.xxhash64("id")) % (1 << 20)
+    a, b = spark.range(10_000).groupBy(slot).agg(F.sort_array(F.collect_list("id")).alias("ids")).filter("size(ids) > 1").first().ids[:2]
+    docs = spark.createDataFrame([(a, LEGAL), (b, LEGAL.replace("111", "311").replace("Capital", "Reserve"))], "doc_id long, text string")
+    api.build(spark, docs, f"{tmp_path}/kg", control.Config(min_chunk_size=50))
+    ords = [r.ord for r in spark.read.parquet(f"{tmp_path}/kg/chunks").orderBy("doc_id", "ord").collect()]
+    assert ords == list(range(len(ords))) and len(ords) > 2
