@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,14 +82,21 @@ def edge_descriptions(pairs: DataFrame, edges: DataFrame, a: str = "a", b: str =
     return pairs.withColumns({"_x": F.least(a, b), "_y": F.greatest(a, b)}).join(known, ["_x", "_y"], "left").drop("_x", "_y")
 
 
-def cosine_top_k(vectors: DataFrame, query: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(query_id, vec_id, similarity, rank): the k nearest of all vectors for each of few query vectors.
+def cosine_top_k(vectors: DataFrame, query: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding", block: int = 10_000) -> DataFrame:
+    """(query_id, vec_id, similarity, rank): the k nearest of all vectors for each query vector.
 
-    The queries are broadcast after a check of their number; the caller's set is stated, not grown from the data.
+    The queries are broadcast in blocks, by hash of their id, of about ``block`` at most; each block reads all vectors.
     """
     q = query.select(F.col(id_col).alias("query_id"), F.col(vec_col).alias("_q"))
-    if q.count() > 10_000:
-        raise ValueError("more than 10,000 query vectors")
+    n = q.count()
+    if n <= block:
+        return _nearest(vectors, q, k, id_col, vec_col)
+    blocks = -(-2 * n // block)  # twice as many as fit, as the hash doesn't deal evenly
+    of = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    return reduce(DataFrame.unionByName, (_nearest(vectors, q.filter(of == i), k, id_col, vec_col) for i in range(blocks)))
+
+
+def _nearest(vectors: DataFrame, q: DataFrame, k: int, id_col: str, vec_col: str) -> DataFrame:
 
     def dot(x: str, y: str):
         return F.aggregate(F.zip_with(x, y, lambda p, r: p.cast("double") * r.cast("double")), F.lit(0.0), lambda s, v: s + v)

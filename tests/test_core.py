@@ -288,3 +288,13 @@ def test_build_keys_chunks_of_documents_apart(spark, tmp_path):
     api.build(spark, docs, f"{tmp_path}/kg", control.Config(min_chunk_size=50))
     ords = [r.ord for r in spark.read.parquet(f"{tmp_path}/kg/chunks").orderBy("doc_id", "ord").collect()]
     assert ords == list(range(len(ords))) and len(ords) > 2
+
+
+def test_cosine_top_k_in_blocks(spark):
+    r = random.Random(5)
+    v = spark.createDataFrame([(i, [r.random() - 0.5 for _ in range(4)]) for i in range(60)], "vec_id long, embedding array<float>").cache()
+    whole = sorted(map(tuple, graph.cosine_top_k(v, v, 3).collect()))
+    assert sorted(map(tuple, graph.cosine_top_k(v, v, 3, block=25).collect())) == whole and len(whole) == 180
+    few = v.limit(2)
+    many = spark.range(10_001).crossJoin(v.limit(1).select("embedding")).withColumnRenamed("id", "vec_id")
+    assert graph.cosine_top_k(few, many, 1).count() == 10_001
