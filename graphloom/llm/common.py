@@ -7,6 +7,8 @@ A null text is an empty text; a null id is kept as its own (null) id.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import sys
 from collections.abc import Iterator
@@ -15,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.ranks import ranked
 from ..plans.staging import drop_staged, shared_dir, stage  # noqa: F401
 from ..plans.workers import find_package as workers_find_package
 
@@ -70,6 +73,18 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     return with_hot.unionByName(without)
 
 
+def keyed(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` (doc_id, text) with every row's own ``key`` (long), and the (key, doc_id) of all rows if keys aren't ids.
+
+    Where ids are unique and none is null, a row's key is its id, and nothing is moved. Otherwise keys are the ranks by (doc_id,
+    digest of the text), null ids first; rows equal in both have neighbouring ranks. So keys order rows as ids do.
+    """
+    if not rows.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count():
+        return rows.withColumn("key", F.col("doc_id")), None
+    own = stage(ranked(rows, "doc_id", F.sha2("text", 256), name="key"), "keyed")
+    return own, own.select("key", "doc_id")
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,12 +121,15 @@ def module_cache(name: str) -> dict:
 
 
 def begin(operator: str) -> None:
-    """Workers outlive operators: the caches of another one are given up first."""
+    """Workers outlive operators: the caches of another one are given up first, and what they held goes back to the system."""
     own = sys.modules[__name__].__dict__
     if own.get("_operator") != operator:
         own["_operator"] = operator
         own.setdefault("_caches", {}).clear()
         gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:

@@ -22,54 +22,48 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Generations, begin, docs_of, module_cache, slices, stage
+from .common import begin, docs_of, module_cache, slices, stage
 from .tokens import load
-from .words import SPECIAL, WORD_LEVEL, plain
+from .words import Encoded, PreTokens, parts
 
-CAPACITY, END_ID, CACHE_SIZE = 4096, 1, 300_000
+CAPACITY, END_ID, CACHE_SIZE = 4096, 1, 250_000
+SLICE = 1_000_000  # characters whose pre-tokens are in memory at once
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordIds:
-    """Ids of words, cached in the worker."""
+    """Ids of texts through a worker cache of pre-tokens."""
 
     def __init__(self, vocab: str):
         self.tok = load(vocab)
-        self.words = Generations(CACHE_SIZE)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [WORD_LEVEL.findall(t.lower()) if SPECIAL not in t and plain(t) else None for t in texts]
-        ids = self.of(list(chain.from_iterable(c for c in cut if c)))
+        self.pre = PreTokens(vocab, self.tok)
+        self.words = Encoded(CACHE_SIZE, self.pre.learn)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        self.words.room()
+        whole = [self.pre.whole(t) for t in texts]
+        numbers = [self.words.numbers(self.pre.cut(p)) for t, w in zip(texts, whole, strict=True) if not w for p in parts(t)]
+        self.words.settle()
+        flat = self.words.ids(np.concatenate([*numbers, np.zeros(0, np.int32)]))
+        size = iter([int(self.words.count[n].sum()) for n in numbers])
         out, at = [], 0
-        for t, c in zip(texts, cut, strict=True):
-            if c is None:
-                out.append(np.array(self.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+        for t, w in zip(texts, whole, strict=True):
+            if w:
+                out.append(np.array(self.tok.encode(t, add_special_tokens=False).ids, "<u4"))
             else:
-                out.append(b"".join(ids[at : at + len(c)]))
-                at += len(c)
+                n = sum(next(size) for _ in parts(t))
+                out.append(flat[at : at + n])
+                at += n
         return out
 
-    def of(self, words: list[str]) -> list[bytes]:
-        found, missing = self.words.look_up(words)
-        new = list({words[i] for i in missing})
-        for k in range(0, len(new), 2000):
-            part = new[k : k + 2000]
-            e = self.tok.encode(" ".join(part), add_special_tokens=False)  # each word is one pre-token
-            ids, at = np.array(e.ids, "<u4").tobytes(), [0, *(np.flatnonzero(np.diff(e.word_ids)) + 1).tolist(), len(e.ids)]
-            self.words.young.update((w, ids[4 * lo : 4 * hi]) for w, lo, hi in zip(part, at[:-1], at[1:], strict=True))
-        for i in missing:
-            found[i] = self.words.young[words[i]]
-        return found
-
 
-def word_ids(vocab: str, texts: list[str]) -> list[bytes]:
+def word_ids(vocab: str, texts: list[str]) -> list[np.ndarray]:
     """Ids of each text as little-endian unsigned 32-bit integers."""
     cache = module_cache("word ids")
     if vocab not in cache:
@@ -77,17 +71,17 @@ def word_ids(vocab: str, texts: list[str]) -> list[bytes]:
     return cache[vocab].encode(texts)
 
 
-def cut_pieces(docs: DataFrame, encode: Callable[[list[str]], list[bytes]], capacity: int, end_id: int) -> DataFrame:
+def cut_pieces(docs: DataFrame, encode: Callable[[list[str]], list[np.ndarray]], capacity: int, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("packing")
-        end, width = np.array([end_id], "<u4").tobytes(), 4 * capacity
-        for b in slices(batches, 512, 4_000_000):
+        end = np.array([end_id], "<u4")
+        for b in slices(batches, 512, SLICE):
             rows = []
             for doc, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist()), strict=True):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), width)):
-                    part = ids[at : at + width]
-                    rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
+                ids = np.concatenate([ids, end])
+                for k, at in enumerate(range(0, len(ids), capacity)):
+                    part = ids[at : at + capacity]
+                    rows.append((doc, k, at, len(part), zlib.crc32(part)))
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
@@ -165,7 +159,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> tuple[dict[int, list[tupl
     return runs, opened
 
 
-def pack(docs: DataFrame, encode: Callable[[list[str]], list[bytes]], capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, encode: Callable[[list[str]], list[np.ndarray]], capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     pieces = stage(cut_pieces(docs_of(docs, id_col, text_col), encode, capacity, end_id), "pieces")
     spark = pieces.sparkSession

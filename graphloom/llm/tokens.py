@@ -1,17 +1,20 @@
 """Token counts: a two-tier map-side lookup of pre-token lengths, with no shuffle of pre-tokens.
 
-Tier one is a compact table of the most frequent pre-tokens and their numbers of tokens, made once on the driver from
-at most ``SAMPLE_DOCS`` texts and broadcast (at most ``TABLE_SIZE`` entries, about 1 MB, at any input size). It only
-saves work: a pre-token that it lacks is encoded once per worker by the tokenizer and kept in the worker's cache (at
-most ``CACHE_SIZE`` entries), so no count depends on the sample.
-
-Cases: null text is empty (0 bytes, 0 tokens); special strings inside a text are what the library makes of them, as the
-whole text then goes to the library; texts of any length are counted whole; equal rows give equal rows; an empty table
-gives an empty result.
+Tier one is a compact table of the most frequent pre-tokens and their numbers of tokens, made once on the driver from at
+most ``SAMPLE_DOCS`` texts, chosen by hash of their id over all files, and broadcast (at most ``TABLE_SIZE`` entries, about
+1 MB, at any input size). It only saves work: a pre-token that it lacks is encoded once per worker by the tokenizer's model
+and kept in the worker's cache (at most ``CACHE_SIZE`` entries), so no count depends on the sample. Texts of every script
+are cut into pre-tokens and use both tiers (see ``words``).
+
+Cases: null text is empty (0 bytes, 0 tokens); a text that holds an added token's string goes whole to the library, which
+then counts it as its default does; likewise every text under a vocabulary file whose pre-tokenizer isn't one of the two
+that ``words`` knows; texts of any length are counted whole, in parts; equal rows give equal rows; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import begin, docs_of, module_cache, slices
-from .words import BYTE_LEVEL, SPECIAL, plain
+from .words import PreTokens, parts
 
-SAMPLE_DOCS, TABLE_SIZE, CACHE_SIZE = 1000, 32_768, 400_000
+SAMPLE_DOCS, SAMPLE_CHARS, TABLE_SIZE, CACHE_SIZE = 1000, 20_000, 32_768, 400_000
 LIMIT = 1024
 
 
@@ -39,53 +42,57 @@ def load(vocab: str):
     return cache[vocab]
 
 
-def _encode_lengths(tok, texts: list[str]) -> list[int]:
-    return [len(e) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-
 def frequent_lengths(docs: DataFrame, vocab: str, sample_docs: int, size: int) -> dict[str, int]:
-    """{pre-token: tokens} of the most frequent pre-tokens of a bounded sample."""
-    seen: Counter = Counter()
-    for r in docs.select(F.substring("text", 1, 20_000).alias("text")).limit(sample_docs).collect():  # takes partitions until it has enough
-        seen.update(BYTE_LEVEL.findall(r.text) if plain(r.text) else ())
-    words = [w for w, _ in seen.most_common(size)]
-    return dict(zip(words, _encode_lengths(load(vocab), words), strict=True))
+    """{pre-token: tokens} of the most frequent pre-tokens of a bounded sample, chosen by hash."""
+    pre, seen = PreTokens(vocab, load(vocab)), Counter()
+    if not pre.known:
+        return {}
+    share = min(1.0, 1.5 * sample_docs / max(1, docs.count()))
+    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
+    for r in some.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(sample_docs).collect():
+        seen.update(pre.cut(r.text))
+    words = sorted(w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:size])
+    return dict(zip(words, map(len, pre.learn(words)), strict=True))
+
+
+class Tiers(dict):
+    """Lengths by pre-token: the broadcast table, behind it the worker's bounded cache, behind it the model."""
+
+    def __init__(self, table: dict[str, int], pre: PreTokens, size: int = CACHE_SIZE):
+        super().__init__(table)
+        self.pre, self.size, self.second = pre, size, {}
+
+    def __missing__(self, word: str) -> int:
+        n = self.second.get(word)
+        if n is None:
+            if len(self.second) >= self.size:
+                self.second.clear()
+            n = self.second[word] = len(self.pre.learn([word])[0])
+        return n
+
+    def count(self, text: str) -> int:
+        if self.pre.whole(text):
+            return len(self.pre.tok.encode(text, add_special_tokens=False))
+        return sum(sum(map(self.__getitem__, self.pre.cut(p))) for p in parts(text))
 
 
 def count_tokens(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, sample_docs: int = SAMPLE_DOCS, table_size: int = TABLE_SIZE) -> DataFrame:
     """Per document: doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit)."""
     rows = docs_of(docs, id_col, text_col)
     table = rows.sparkSession.sparkContext.broadcast(frequent_lengths(rows, vocab, sample_docs, table_size))
+    run = uuid.uuid4().hex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("tokens")
-        tok, first, second = load(vocab), table.value, module_cache(f"lengths {vocab}")
+        cache = module_cache("tiers")
+        if run not in cache:
+            cache.clear()
+            cache[run] = Tiers(table.value, PreTokens(vocab, load(vocab)))
+        tiers = cache[run]
         for b in slices(batches):
             texts = b.column(1).to_pylist()
-            cut: list[list[str] | None] = [BYTE_LEVEL.findall(t) if SPECIAL not in t and plain(t) else None for t in texts]
-            new = set()
-            for words in cut:
-                if words:
-                    new.update(words)
-            new = [w for w in new if w not in first and w not in second]
-            if len(second) + len(new) > CACHE_SIZE:
-                second.clear()
-                known = set(new)
-                new += [w for w in {w for words in cut if words for w in words} if w not in first and w not in known]
-            for i in range(0, len(new), 10_000):
-                second.update(zip(new[i : i + 10_000], _encode_lengths(tok, new[i : i + 10_000]), strict=True))
-            counts = []
-            for text, words in zip(texts, cut, strict=True):
-                if words is None:
-                    counts.append(len(tok.encode(text, add_special_tokens=False)))
-                else:
-                    found = list(map(first.get, words))
-                    try:
-                        counts.append(sum(found))
-                    except TypeError:  # some are in the second tier
-                        counts.append(sum(n if n is not None else second[w] for n, w in zip(found, words, strict=True)))
             size = [len(t) if t.isascii() else len(t.encode()) for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array([tiers.count(t) for t in texts], pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     out = rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
