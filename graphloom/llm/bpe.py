@@ -6,12 +6,15 @@ repeats until no word has a pair left; words that are done leave the recursion.
 and an ordered aggregation puts each document's bytes together.
 
 The merge table has a row for every way to split a vocabulary entry into two entries, so it is bounded by the
-vocabulary. Memory: one slice of documents at a time, words by at most ``WORDS_AT_ONCE``, a worker cache of at most
-twice ``CACHE_SIZE`` words. A pre-token of more than ``LONG_WORD`` bytes would need as many rounds as it has bytes; it takes
-the same merges through a heap.
+vocabulary. Memory: the recursion hands on live rows only, and a word's row leaves it once, marked as done, so a query
+holds as many rows as its words have bytes: at most ``BYTES_AT_ONCE``, of words of like length, or one word. A text is cut in
+parts and decoded in runs of ``IDS_AT_ONCE`` ids. The worker's cache has at most ``CACHE_SIZE`` words and those of a slice.
+A word of n bytes takes up to n rounds over n rows; one of more than ``LONG_WORD`` bytes (a text of four kilobytes without
+a space, digit or mark) takes the same merges through a heap instead.
 
 Cases: null text is empty (0 ids, the digests of no bytes); any Unicode text; special strings are ordinary text; equal
-rows give equal rows; an empty table gives an empty result.
+rows give equal rows; texts of any length are encoded whole; an empty table gives an empty result. ``pattern`` may be any
+without empty matches; the public byte-level pattern has a faster equal for ASCII and Latin-1 texts.
 """
 
 from __future__ import annotations
@@ -20,32 +23,36 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import Generations, begin, docs_of, module_cache, slices
-from .words import BYTE_LEVEL, plain
+from .common import begin, docs_of, module_cache, slices
+from .words import BYTE_LEVEL, Encoded, parts, plain
 
-CACHE_SIZE, WORDS_AT_ONCE, LONG_WORD = 800_000, 20_000, 256
+CACHE_SIZE, BYTES_AT_ONCE, IDS_AT_ONCE, LONG_WORD = 500_000, 200_000, 400_000, 4096
+#: Fixed value: the public pattern that BYTE_LEVEL stands for on plain texts.
+PUBLIC_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: ``pos`` numbers the bytes of all words. With one thread rows keep their order, so neighbours are found without a sort
+#: where {order} is empty; a row out of order is an error, upon which the query runs again with an order.
 ENCODE = """
-WITH RECURSIVE state(word, step, pos, tok) AS (
-    SELECT word, 0, pos, tok FROM start
+WITH RECURSIVE state(word, done, pos, tok) AS (
+    SELECT word, false, pos, tok FROM start
     UNION ALL
-    SELECT word, step + 1, pos, CASE WHEN pos = (best & 4294967295) THEN (best >> 32)::INTEGER ELSE tok END
-    FROM (
-        SELECT p.word, p.step, p.pos, p.tok, p.before, min((m.rank::BIGINT << 32) + p.pos) OVER (PARTITION BY p.word) AS best
-        FROM (SELECT *, lead(tok) OVER w AS behind, lag(pos) OVER w AS before FROM state WINDOW w AS (PARTITION BY word ORDER BY pos)) p
-        LEFT JOIN merges m ON m.pair = (p.tok::BIGINT << 32) + p.behind
-    )
-    WHERE best IS NOT NULL AND before IS DISTINCT FROM (best & 4294967295)
+    SELECT r.word, best IS NULL, r.pos, CASE WHEN before > r.pos THEN error('out of order') WHEN r.pos = (best & 4294967295) THEN (best >> 32)::INTEGER ELSE r.tok END
+    FROM (SELECT word, pos, tok, lag(pos) OVER ({order}) AS before FROM state WHERE NOT done) r
+    LEFT JOIN (
+        SELECT p.word, min((m.rank::BIGINT << 32) + p.pos) AS best
+        FROM (SELECT word, pos, tok, lead(tok) OVER w AS behind, lead(word) OVER w AS next_word FROM state WHERE NOT done WINDOW w AS ({order})) p
+        JOIN merges m ON m.pair = (p.tok::BIGINT << 32) + p.behind
+        WHERE p.next_word = p.word GROUP BY p.word
+    ) b ON b.word = r.word
+    WHERE best IS NULL OR before IS DISTINCT FROM (best & 4294967295)
 )
-SELECT word, list(tok ORDER BY pos) AS ids
-FROM (SELECT *, max(step) OVER (PARTITION BY word) AS last FROM state) WHERE step = last GROUP BY word ORDER BY word
+SELECT word, list(tok ORDER BY pos) AS ids FROM state WHERE done GROUP BY word ORDER BY word
 """
 DECODE = "SELECT doc, list(v.bytes ORDER BY pos) AS parts FROM ids JOIN vocab v USING (id) GROUP BY doc ORDER BY doc"
 
@@ -61,9 +68,9 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         import duckdb
 
-        self.ranks = read_ranks(path)
-        self.pattern = regex.compile(pattern)
-        self.cache = Generations(CACHE_SIZE)
+        self.ranks, self.errors = read_ranks(path), duckdb.InvalidInputException
+        self.pattern, self.public = regex.compile(pattern), pattern == PUBLIC_PATTERN
+        self.cache = Encoded(CACHE_SIZE, self.learn)
         pairs = [((self.ranks[t[:i]] << 32) + self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "preserve_insertion_order": False})
         merges = pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()), "rank": pa.array([r for _, r in pairs], pa.int32())})
@@ -75,29 +82,47 @@ class Codec:
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
 
     def cut(self, text: str) -> list[str]:
-        return BYTE_LEVEL.findall(text) if plain(text) else self.pattern.findall(text)
+        if self.public and plain(text):
+            return BYTE_LEVEL.findall(text)
+        return [m[0] for m in self.pattern.finditer(text)]
 
-    def learn(self, words: list[str]) -> None:
-        """Encodes words that the cache lacks."""
+    def learn(self, words: list[str]) -> list[np.ndarray | list[int]]:
+        """The ids of each word."""
+        out: list = [()] * len(words)
         todo = []
-        for w in words:
+        for i, w in enumerate(words):
             b = w.encode()
             if (r := self.ranks.get(b)) is not None:
-                self.cache.young[w] = r.to_bytes(4, "little")
+                out[i] = (r,)
             elif len(b) > LONG_WORD:
-                self.cache.young[w] = np.array(self._long(b), "<u4").tobytes()
+                out[i] = self._long(b)
             else:
-                todo.append((w, b))
-        for i in range(0, len(todo), WORDS_AT_ONCE):
-            part = todo[i : i + WORDS_AT_ONCE]
-            size = np.fromiter((len(b) for _, b in part), np.int64, len(part))
-            word = np.repeat(np.arange(len(part), dtype=np.int32), size)
-            pos = (np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32)
-            self.db.register("start", pa.table({"word": word, "pos": pos, "tok": self.byte[np.frombuffer(b"".join(b for _, b in part), np.uint8)]}))
-            found = self.db.sql(ENCODE).to_arrow_table().column("ids").combine_chunks()
-            self.db.unregister("start")
-            ids, at = found.values.to_numpy().astype("<u4").tobytes(), (found.offsets.to_numpy().astype(np.int64) * 4).tolist()
-            self.cache.young.update((w, ids[at[k] : at[k + 1]]) for k, (w, _) in enumerate(part))
+                todo.append((b, i))
+        todo.sort(key=lambda x: len(x[0]))  # words of like length end together
+        at = 0
+        while at < len(todo):
+            end, size = at + 1, len(todo[at][0])
+            while end < len(todo) and size + len(todo[end][0]) <= BYTES_AT_ONCE:
+                size += len(todo[end][0])
+                end += 1
+            for (_, i), ids in zip(todo[at:end], self._contract([b for b, _ in todo[at:end]]), strict=True):
+                out[i] = ids
+            at = end
+        return out
+
+    def _contract(self, words: list[bytes]) -> list[np.ndarray]:
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        word = np.repeat(np.arange(len(words), dtype=np.int32), size)
+        pos = np.arange(len(word), dtype=np.int32)
+        self.db.register("start", pa.table({"word": word, "pos": pos, "tok": self.byte[np.frombuffer(b"".join(words), np.uint8)]}))
+        try:
+            t = self.db.sql(ENCODE.format(order="")).to_arrow_table()
+        except self.errors:
+            t = self.db.sql(ENCODE.format(order="ORDER BY pos")).to_arrow_table()
+        found = t.column("ids").combine_chunks()
+        self.db.unregister("start")
+        at = found.offsets.to_numpy()
+        return np.split(found.values.to_numpy()[at[0] : at[-1]], at[1:-1] - at[0])
 
     def _long(self, b: bytes) -> list[int]:
         """The same contraction for one long word, with a heap of its pairs."""
@@ -117,35 +142,30 @@ class Codec:
                     heapq.heappush(heap, (r, left, len(parts[left]) + len(parts[right])))
         return [self.ranks[p] for p in parts if p]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        cut = [self.cut(t) for t in texts]
-        words = list(chain.from_iterable(cut))
-        ids, missing = self.cache.look_up(words)
-        if missing:
-            self.learn(list({words[i] for i in missing}))
-            for i in missing:
-                ids[i] = self.cache.young[words[i]]
-        out, at = [], 0
-        for ws in cut:
-            out.append(b"".join(ids[at : at + len(ws)]))
-            at += len(ws)
-        return out
-
-    def decode(self, ids: list[bytes]) -> list[bytes]:
+        self.cache.room()
+        numbers = [np.concatenate([np.zeros(0, np.int32), *(self.cache.numbers(self.cut(p)) for p in (parts(t) if self.public else [t]))]) for t in texts]
+        self.cache.settle()
+        flat = self.cache.ids(np.concatenate([np.zeros(0, np.int32), *numbers])).astype("<u4", copy=False)
+        size = [int(self.cache.count[n].sum()) for n in numbers]
+        return np.split(flat, np.cumsum(size)[:-1]) if texts else []
+
+    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each text."""
-        size = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-        out = [b""] * len(ids)
-        if not size.sum():
-            return out
-        flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
-        self.db.register("ids", pa.table({"doc": np.repeat(np.arange(len(ids), dtype=np.int32), size), "pos": np.arange(len(flat), dtype=np.int32), "id": flat}))
-        t = self.db.sql(DECODE).to_arrow_table()
-        self.db.unregister("ids")
-        for chunk_docs, chunk in zip(t.column("doc").chunks, t.column("parts").chunks, strict=True):
-            for doc, lo, hi in zip(chunk_docs.to_pylist(), chunk.offsets[:-1].to_pylist(), chunk.offsets[1:].to_pylist(), strict=True):
-                out[doc] = joined(chunk.values, lo, hi)
-        return out
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        out: list[list[bytes]] = [[] for _ in ids]
+        flat = np.concatenate([np.zeros(0, np.int32), *ids]).astype(np.int32)
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), size)
+        for i in range(0, len(flat), IDS_AT_ONCE):
+            some = slice(i, i + IDS_AT_ONCE)
+            self.db.register("ids", pa.table({"doc": doc[some], "pos": np.arange(len(flat[some]), dtype=np.int32), "id": flat[some]}))
+            t = self.db.sql(DECODE).to_arrow_table()
+            self.db.unregister("ids")
+            for chunk_docs, chunk in zip(t.column("doc").chunks, t.column("parts").chunks, strict=True):
+                for d, lo, hi in zip(chunk_docs.to_pylist(), chunk.offsets[:-1].to_pylist(), chunk.offsets[1:].to_pylist(), strict=True):
+                    out[d].append(joined(chunk.values, lo, hi))
+        return [b"".join(x) for x in out]
 
 
 def joined(values: pa.Array, lo: int, hi: int) -> bytes:
@@ -168,12 +188,12 @@ def bpe(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("bpe")
         c = codec(path, pattern)
-        for b in slices(batches, 512, 4_000_000):
+        for b in slices(batches, 512, 1_000_000):
             ids = c.encode(b.column(1).to_pylist())
             back = c.decode(ids)
-            cols = [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(x).hexdigest() for x in back])]
+            cols = [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([hashlib.sha256(np.ascontiguousarray(x)).hexdigest() for x in ids]), pa.array([hashlib.sha256(x).hexdigest() for x in back])]
             if keep_ids:
-                cols += [pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(back, pa.binary())]
+                cols += [pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(back, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(cols)])
 
     return docs_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * keep_ids)
