@@ -19,7 +19,9 @@ Method
 Hot buckets and hot classes are pre-aggregated, and rows find their group by ``join_groups``.
 
 Cases: null, empty and wordless texts have an empty set and link with nothing; fewer words than the width form one
-shingle; equal rows link; rows of one id count as one document; null ids are alone; an empty table gives an empty result.
+shingle; every row is a document of its own: rows that repeat an id, also equal ones, link as any others (see
+``common.keyed``), a component is named by its smallest id, and one row of it is kept; rows of null id are alone and kept;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import begin, docs_of, join_groups, module_cache, restrict, slices, stage
+from .common import begin, docs_of, join_groups, keyed, module_cache, restrict, slices, stage
 
 PERMUTATIONS, ROWS, BANDS = 64, 5, 25
 #: A pair at the threshold has fewer equal signature bytes than this with a probability of about 1e-6.
@@ -234,9 +236,12 @@ class _Comparer:
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept, class_id (smallest id with the same set)."""
-    rows = docs_of(docs, id_col, text_col)
+    all_rows = docs_of(docs, id_col, text_col)
+    nulls = all_rows.filter("doc_id is null")
+    keyed_rows, names = keyed(all_rows.filter("doc_id is not null"))
+    rows = keyed_rows.select(F.col("key").alias("doc_id"), "text")
     sketches = stage(sketch(rows, width), "sketch")
-    full = sketches.filter("own is not null and doc_id is not null")
+    full = sketches.filter("own is not null")
     same = stage(full.groupBy("own").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("size")), "classes")
     members = stage(join_groups(full.select("doc_id", "own", "n"), same, "own", "size").select("doc_id", "node", "n"), "members")
     firsts = same.select(F.col("node").alias("doc_id"), "own")
@@ -278,9 +283,23 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     named = members.join(labels, "node", "left")
     component = F.coalesce("label", "node")
     out = named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("node").alias("class_id"))
-    empty = sketches.filter("own is null or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
-    out = out.unionByName(empty)
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "class_id")
+    empty = sketches.filter("own is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
+    out = out.unionByName(empty).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    if names is not None:
+        out = _named(out, names)
+    if nulls.limit(1).count():
+        alone = sketch(nulls, width).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"))
+        out = out.unionByName(alone)
+    return out.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
+def _named(out: DataFrame, names: DataFrame) -> DataFrame:
+    """``out`` with ids for keys."""
+    out = stage(out, "by_key")
+    for column in ("component_id", "class_id"):
+        groups = stage(out.groupBy(column).agg(F.count(F.lit(1)).alias("size")).join(names.select(F.col("key").alias(column), F.col("doc_id").alias("_name")), column), "named")
+        out = join_groups(out, groups, column, "size").withColumn(column, F.col("_name")).drop("_name", "size")
+    return out.withColumnRenamed("doc_id", "key").join(names, "key").drop("key")
 
 
 def _sizes_allow(percent: int) -> F.Column:

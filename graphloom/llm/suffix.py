@@ -1,7 +1,8 @@
 """Suffix-array dedup: a common-prefix-aware distributed merge sort of sampled suffixes.
 
 A byte is removed if a 100-byte string that covers it also starts earlier (smaller id, or same document and earlier
-start). Strings never cross documents and are judged on the input.
+start). Strings never cross documents and are judged on the input. Every row is a document of its own: rows of null id come
+first, rows of one id go by the digest of their text (see ``common.keyed``).
 
 Method
 
@@ -22,8 +23,8 @@ Method
 A suffix that is in a third of all documents is sent once per slice of documents, never once per document.
 
 Cases: null text is empty; texts under 100 bytes lose nothing; repeats that overlap themselves count; a document of any
-length is one row; rows that repeat an id count as one document's parts in no defined order; an empty table gives an
-empty result.
+length is one row; rows that repeat an id are documents of their own, of equal rows one counts as the earlier; null ids come
+before all others; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,10 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import docs_of, restrict, slices, stage
+from .common import begin, docs_of, keyed, restrict, slices, stage
 
 LENGTH, K = 100, 32
 SLICE_BYTES = 16_000_000  # text whose suffixes make one run
+BUCKET_BYTES = 64_000_000  # text to a bucket of the exchanges at most, on average
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 _BYTE = np.random.default_rng(100).integers(1, 2**64 - 1, 256, dtype=np.uint64)
 _EMPTY = np.zeros(0, np.int64)
@@ -108,6 +110,7 @@ def fingerprints(buckets: int, length: int):
     """Per slice and bucket: the documents' distinct anchor hashes (a question), and what repeats inside (an answer)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("suffix")
         for ids, texts in gathered(batches):
             every = [np.sort(anchors(np.frombuffer(t, np.uint8), length)[3]) for t in texts]
             again = [np.unique(h[1:][h[1:] == h[:-1]]) for h in every]
@@ -140,22 +143,14 @@ def fingerprints(buckets: int, length: int):
                 used, local = np.unique(d1[lo:hi], return_inverse=True)
                 out_b.append(b)
                 out_d.append(None)
-                out_x.append(b"Q" + struct.pack("<I", len(used)) + np.array([_id(ids[i]) for i in used], "<i8").tobytes() + local.astype("<u4").tobytes() + _sixes(h1[lo:hi]))
+                out_x.append(b"Q" + struct.pack("<I", len(used)) + np.array([ids[i] for i in used], "<i8").tobytes() + local.astype("<u4").tobytes() + _sixes(h1[lo:hi]))
             yield _rows(out_b, out_d, out_x)
 
     return run
 
 
-#: What stands for a null id in blobs; ids this small don't occur otherwise.
-NULL_ID = -(2**63)
-
-
-def _id(x: int | None) -> int:
-    return NULL_ID if x is None else x
-
-
-def _spread(doc: int | None, buckets: int) -> int:
-    return (_id(doc) * 0x9E3779B97F4A7C15 >> 20) % buckets
+def _spread(doc: int, buckets: int) -> int:
+    return (doc * 0x9E3779B97F4A7C15 >> 20) % buckets
 
 
 def _split(group: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -209,7 +204,7 @@ def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for d, size in zip(np.frombuffer(x, "<i8", n, 4).tolist(), np.frombuffer(x, "<u4", n, 4 + 8 * n).tolist(), strict=True):
                 by_doc.setdefault(d, []).append(x[at : at + size])
                 at += size
-    docs = [d for d in by_doc if d != NULL_ID]
+    docs = list(by_doc)
     for i in range(0, len(docs), 10_000):
         part = docs[i : i + 10_000]
         yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([b"".join(by_doc[d]) for d in part], pa.binary())], ["doc_id", "data"])
@@ -227,7 +222,7 @@ def answer(buckets: int):
                     _settle(asked, out)
                     asked, bucket = [], k
                 if x[:1] == b"A":
-                    out.setdefault(_id(d), []).append(x[1:])
+                    out.setdefault(d, []).append(x[1:])
                 else:
                     asked.append(x)
         _settle(asked, out)
@@ -264,11 +259,12 @@ def sorted_runs(buckets: int, length: int):
     """Per slice and bucket a front-coded sorted run; and per document the windows that repeat inside the slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("suffix")
         held: list[tuple[int, bytes, np.ndarray]] = []
         size = 0
         for b in slices(batches):
             for d, t, x in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
-                held.append((_id(d), t, np.unique(_from_sixes(x))))
+                held.append((d, t, np.unique(_from_sixes(x))))
                 size += len(t)
             if size >= SLICE_BYTES:
                 yield _run_of(held, buckets, length)
@@ -295,7 +291,7 @@ def _run_of(held: list[tuple[int, bytes, np.ndarray]], buckets: int, length: int
     out_b, out_d, out_x = [], [], []
     for doc, windows in local.items():
         out_b.append(_spread(doc, buckets))
-        out_d.append(None if doc == NULL_ID else doc)
+        out_d.append(doc)
         out_x.append(b"W" + np.array(windows, "<u4").tobytes())
     order = sorted(items, key=lambda i: (i[2], i[0]))
     b1 = bucket_of(np.array([i[2] for i in order], np.uint64), buckets)
@@ -402,7 +398,7 @@ def merge(buckets: int, length: int):
                     combine(runs, length, out)
                     runs, bucket = [], k
                 if x[:1] == b"W":
-                    out.setdefault(_id(d), []).extend(np.frombuffer(x, "<u4", -1, 1).tolist())
+                    out.setdefault(d, []).extend(np.frombuffer(x, "<u4", -1, 1).tolist())
                 else:
                     runs.append(x)
         combine(runs, length, out)
@@ -491,10 +487,12 @@ def cut(length: int):
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    rows = docs_of(docs, id_col, text_col)
+    keyed_rows, names = keyed(docs_of(docs, id_col, text_col))
+    rows = keyed_rows.select(F.col("key").alias("doc_id"), "text")
     spark = rows.sparkSession
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = stage(rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "base")
+    size = base.agg(F.sum("n_bytes")).first()[0] or 0
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     home = F.col("bucket")
     asked = rows.mapInArrow(fingerprints(buckets, length), SCHEMA)
     told = asked.repartitionById(buckets, home).sortWithinPartitions("bucket").mapInArrow(answer(buckets), SCHEMA)
@@ -505,5 +503,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     windows = stage(found.repartitionById(buckets, home).mapInArrow(gather, "doc_id long, data binary"), "windows")
     cuts = restrict(rows, windows, "doc_id").join(windows.hint("merge"), "doc_id").select("doc_id", "text", "data").mapInArrow(cut(length), "doc_id long, n_removed long, n_spans long, kept_sha256 string")
     out = base.join(cuts, "doc_id", "left")
+    if names is not None:
+        out = out.withColumnRenamed("doc_id", "key").join(names, "key")
     zero = F.lit(0).cast("long")
     return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
