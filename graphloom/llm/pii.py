@@ -1,24 +1,31 @@
 """Personal data: exact base patterns, and a skip-chain conditional random field that adds spans.
 
-The field labels tokens that hold a digit or an ``@`` (others can't be personal data and are fixed as outside). Its
-potentials: features of the token and its neighbours, chain edges between tokens that follow each other, and skip edges
-between tokens of one normal form (the same characters without punctuation, however far apart), which make labels agree
-across a document. Labels are inferred by loopy belief propagation with damping. The weights are trained by pseudo-
-likelihood on at most ``train_docs`` documents (a documented bound) labelled by the base patterns.
+The field labels the tokens that hold a digit or an ``@`` (others can't be personal data and are fixed as outside), in every
+document that has any. Its potentials: features of the token, its run of neighbouring candidates and the words around; chain
+edges between candidates that follow each other; skip edges between tokens, or runs of tokens, of one normal form (the same
+letters and digits, however far apart and however punctuated); and weaker skip edges between similar tokens (one host, or one
+shape with the same ends). So labels agree across a document. Labels are inferred by loopy belief propagation with damping; the
+base spans' labels are held fixed. A group of repeated tokens is a ring rather than all pairs, so edges grow with the tokens.
 
-A group of repeated tokens is a ring rather than all pairs, so edges are at most two per token. The field may add a span
-where a repeat of a token has been found by the patterns and it has not, e.g. a card number whose copy is glued to other
-digits. Base spans always stay; an added span never overlaps one.
+All weights are learned, by pseudo-likelihood, on at most ``train_docs`` documents chosen by hash (a documented bound), in
+excerpts around at most 50 candidates each. They are labelled by the base patterns, and each match also teaches in altered
+writings that the patterns miss, beside its copy or alone, with the words around shown or hidden.
+
+Tokens of which the field is sure (a marginal of ``SURE`` or more) become spans; neighbours of one label are one span. Base spans
+always stay; an added span never overlaps one.
 
 Cases: null text is empty (no spans); texts of any length are scanned whole in linear time; ties are ordered by start,
-then kind; equal texts give equal spans; an empty table gives an empty result.
+then kind; equal texts give equal spans, whatever the order of rows or files; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
+import random
 import re
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import begin, docs_of, pick, slices
 
 KINDS = ["email", "ip", "card", "phone"]
-TRAIN_DOCS = 2000
+TRAIN_DOCS, SURE = 2000, 0.75
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
@@ -89,112 +96,196 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-CANDIDATE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+MARK = re.compile(r"[0-9@]")
+SPACE = re.compile(r"[\x20\x09-\x0D]")
 EDGE_MARKS = ".,;:!?\"'()[]{}<>#*$%&|="
 LABELS = 1 + len(KINDS)
-AGREE = 6.0
+LINKS = ("chain", "copy", "like")  # kinds of edges
+EDGES = 100_000  # edges whose messages are computed at once
+
+
+@dataclass
+class Tokens:
+    """The candidate tokens of a text."""
+
+    spans: list[tuple[int, int]]  # without edge marks
+    cores: list[str]
+    left: list[str]  # the word before
+    near: list[bool]  # whether the next candidate follows at once
+    label: np.ndarray  # the base span's label that covers the token (0: none)
+
+    def runs(self) -> list[tuple[int, int]]:
+        """Candidates that follow each other at once, as [first, behind the last)."""
+        out, first = [], 0
+        for i, joined in enumerate(self.near):
+            if not joined:
+                out.append((first, i + 1))
+                first = i + 1
+        return out
+
+
+def candidates(text: str, base: list[tuple[int, int, int]]) -> Tokens:
+    """White-space tokens that hold a digit or an @."""
+    spans, left, near, end, raw_end = [], [], [], 0, -9
+    while m := MARK.search(text, end):
+        start = m.start()
+        while start > end and text[start - 1] not in " \t\n\x0b\x0c\r":
+            start -= 1
+        behind = SPACE.search(text, m.end())
+        end = behind.start() if behind else len(text)
+        raw = text[start:end]
+        a, b = start + len(raw) - len(raw.lstrip(EDGE_MARKS)), end - (len(raw) - len(raw.rstrip(EDGE_MARKS)))
+        if a >= b:
+            continue
+        before = text[max(0, start - 24) : start].split()
+        if spans:
+            near.append(start - raw_end <= 1)
+        raw_end = end
+        spans.append((a, b))
+        left.append(before[-1].strip(EDGE_MARKS).lower()[:12] if before else "^")
+    label, k = np.zeros(len(spans), np.int64), 0
+    for i, (a, b) in enumerate(spans):
+        while k < len(base) and base[k][2] <= a:
+            k += 1
+        for start, kind, stop in base[k : k + 4]:
+            if start < b and stop > a:
+                label[i] = kind + 1
+                break
+    return Tokens(spans, [text[a:b] for a, b in spans], left, [*near, False] if spans else [], label)
+
+
+def digits_of(core: str) -> str:
+    return re.sub(r"[^0-9]", "", core)
 
 
-def shape(core: str) -> tuple[str, str]:
-    digits = sum(map(core.count, "0123456789"))
-    form = re.sub(r"[A-Za-z]+", "a", re.sub(r"[0-9]+", "0", core))[:24]
-    return form, f"d{min(digits, 20)}"
+def shape(core: str) -> str:
+    return re.sub(r"[A-Za-z]+", "a", re.sub(r"[0-9]+", "0", core[:200]))[:24]
+
+
+def is_ip(core: str) -> bool:
+    part = core.split(".")
+    return len(part) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in part)
 
 
 class SkipChainCRF:
     """Log-linear potentials over hashed features; see the module's text."""
 
-    BITS = 12
+    BITS, FEATURES = 14, 12
 
     def __init__(self):
         self.unary = np.zeros((1 << self.BITS, LABELS))
-        self.chain = np.zeros((LABELS, LABELS))
-        self.skip = AGREE * np.eye(LABELS)  # a prior: copies of one token have one label; training moves it
-
-    def features(self, cores: list[str], left: list[str]) -> np.ndarray:
-        import zlib
-
-        mask, rows = (1 << self.BITS) - 1, []
-        for i, core in enumerate(cores):
-            form, digits = shape(core)
-            before = shape(cores[i - 1])[0] if i else "^"
-            behind = shape(cores[i + 1])[0] if i + 1 < len(cores) else "$"
-            names = ("bias", "s" + form, digits, "c" + core[:1], "b" + before, "n" + behind, "l" + left[i], "@" if "@" in core else "-")
-            rows.append([zlib.crc32(x.encode()) & mask for x in names])
-        return np.array(rows, np.int64).reshape(-1, 8)
+        self.pair = {k: np.zeros((LABELS, LABELS)) for k in LINKS}
+
+    def features(self, t: Tokens) -> np.ndarray:
+        mask, rows, forms = (1 << self.BITS) - 1, [], [shape(c) for c in t.cores]
+        for first, behind in t.runs():
+            whole = digits_of("".join(c[:200] for c in t.cores[first : min(behind, first + 12)]))
+            run = f"r{min(len(whole), 20)}{'L' if 12 <= len(whole) <= 19 and luhn(whole) else ''}"
+            for i in range(first, behind):
+                core, own = t.cores[i], digits_of(t.cores[i][:200])
+                valid = "L" if 12 <= len(own) <= 19 and luhn(own) else "I" if is_ip(core) else "-"
+                names = (
+                    "bias", "s" + forms[i], f"d{min(len(own), 20)}", "c" + core[:1], "b" + (forms[i - 1] if i else "^"), "n" + (forms[i + 1] if i + 1 < len(forms) else "$"),
+                    "l" + t.left[i], "@" if "@" in core else "-", "v" + valid, f"v{valid}s{forms[i]}", run, f"{run}s{forms[i]}",
+                )
+                rows.append([zlib.crc32(x.encode("utf-8", "surrogatepass")) & mask for x in names])
+        return np.array(rows, np.int64).reshape(-1, self.FEATURES)
 
     @staticmethod
-    def edges(cores: list[str], near: list[bool]) -> tuple[np.ndarray, np.ndarray]:
-        """Chain edges between candidates that follow each other, and rings through equal normal forms."""
-        chain = [(i, i + 1) for i in range(len(cores) - 1) if near[i]]
-        last: dict[str, list[int]] = {}
-        for i, c in enumerate(cores):
-            key = re.sub(r"[^0-9A-Za-z@]", "", c).lower()
-            if len(key) >= 7:
-                last.setdefault(key, []).append(i)
-        ring = []
-        for k in last.values():
-            ring += list(zip(k, k[1:], strict=False)) + ([(k[0], k[-1])] if len(k) > 2 else [])
-        return np.array(chain, np.int64).reshape(-1, 2), np.array(ring, np.int64).reshape(-1, 2)
-
-    def train(self, docs: list[tuple[list[str], list[str], list[bool], np.ndarray]], epochs: int = 30, rate: float = 0.5, decay: float = 1e-4) -> None:
-        """Pseudo-likelihood: each token's label given its features and its neighbours' labels."""
-        feats, labels, links = [], [], {"chain": [], "skip": []}
-        at = 0
-        for cores, left, near, y in docs:
-            feats.append(self.features(cores, left))
-            labels.append(y)
-            chain, ring = self.edges(cores, near)
-            links["chain"].append(chain + at)
-            links["skip"].append(ring + at)
-            at += len(y)
-        if not at:
+    def edges(t: Tokens) -> dict[str, np.ndarray]:
+        """Chain edges between candidates that follow each other; rings through tokens, or whole runs, of one normal form
+        (letters and digits alone); and rings through similar tokens: one address's host, or one shape with the same first and
+        last characters. A ring has as many edges as tokens, however often a form repeats."""
+        chain = [(i, i + 1) for i, joined in enumerate(t.near) if joined]
+        copies: dict[str, list[tuple[int, int]]] = {}
+        alike: dict[str, list[int]] = {}
+        for first, behind in t.runs():
+            keys = {}
+            if behind - first > 1:
+                keys[digits_of("".join(t.cores[first:behind]))] = (first, behind)
+            for i in range(first, behind):
+                core = t.cores[i]
+                form = re.sub(r"[^0-9A-Za-z]", "", core).lower()
+                keys.setdefault(form, (i, i + 1))
+                if form.isdigit() is False and len(own := digits_of(core)) >= 9:  # a number glued to letters
+                    keys.setdefault(own, (i, i + 1))
+                host = core.rpartition("@")[2].lower() if "@" in core else ""
+                alike.setdefault("@" + host if host else f"{re.sub('[0-9]', '0', core[:64])}|{core[:2]}|{core[-2:]}", []).append(i)
+            for key, run in keys.items():
+                if len(key) >= 6:
+                    copies.setdefault(key, []).append(run)
+        copy = []
+        for runs in copies.values():
+            for x, y in [*pairwise(runs), *([(runs[0], runs[-1])] if len(runs) > 2 else [])]:
+                n, m = x[1] - x[0], y[1] - y[0]
+                copy += [(x[0] + min(j, n - 1), y[0] + min(j, m - 1)) for j in range(max(n, m))]
+        like = []
+        for k in alike.values():
+            like += [*pairwise(k), *([(k[0], k[-1])] if len(k) > 2 else [])]
+        same = set(copy)
+        return {k: np.array(v, np.int64).reshape(-1, 2) for k, v in (("chain", chain), ("copy", copy), ("like", [e for e in like if e not in same]))}
+
+    def train(self, docs: list[Tokens], epochs: int = 150, rate: float = 1.5, decay: float = 2e-5) -> None:
+        """Pseudo-likelihood: each token's label given its features and its neighbours' labels. All weights, those of the skip
+        edges too, start at nothing."""
+        docs = [t for t in docs if t.cores]
+        if not docs:
             return
-        x, y = np.concatenate(feats), np.concatenate(labels)
-        chain, ring = (np.concatenate(links[k]) for k in ("chain", "skip"))
-        grad2 = [np.full_like(a, 1e-8) for a in (self.unary, self.chain, self.skip)]
+        x, y, at = np.concatenate([self.features(t) for t in docs]), np.concatenate([t.label for t in docs]), 0
+        links: dict[str, list[np.ndarray]] = {k: [] for k in LINKS}
+        for t in docs:
+            for k, e in self.edges(t).items():
+                links[k].append(e + at)
+            at += len(t.cores)
+        ends = {k: np.concatenate(v) for k, v in links.items()}
+        weights = [self.unary, *(self.pair[k] for k in LINKS)]
+        order = np.argsort(x.ravel(), kind="stable")
+        row, name = order // x.shape[1], x.ravel()[order]
+        first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
+        grad2 = [np.full_like(w, 1e-8) for w in weights]
         for _ in range(epochs):
             z = self.unary[x].sum(1)
-            for e, w in ((chain, self.chain), (ring, self.skip)):
-                if len(e):
-                    np.add.at(z, e[:, 0], w[:, y[e[:, 1]]].T)
-                    np.add.at(z, e[:, 1], w[y[e[:, 0]]])
+            for k, e in ends.items():
+                np.add.at(z, e[:, 0], self.pair[k][:, y[e[:, 1]]].T)
+                np.add.at(z, e[:, 1], self.pair[k][y[e[:, 0]]])
             q = np.exp(z - z.max(1, keepdims=True))
             q /= q.sum(1, keepdims=True)
             q[np.arange(at), y] -= 1
-            gu = np.zeros_like(self.unary)
-            for j in range(x.shape[1]):
-                np.add.at(gu, x[:, j], q)
-            ge = []
-            for e in (chain, ring):
-                g = np.zeros((LABELS, LABELS))
-                if len(e):
-                    np.add.at(g.T, y[e[:, 1]], q[e[:, 0]])
-                    np.add.at(g, y[e[:, 0]], q[e[:, 1]])
-                ge.append(g)
-            for w, g, s, w0 in zip((self.unary, self.chain, self.skip), (gu, *ge), grad2, (0, 0, AGREE * np.eye(LABELS)), strict=True):
-                g = g / at + decay * (w - w0)
+            grads = [np.zeros_like(w) for w in weights]
+            grads[0][name[first]] = np.add.reduceat(q[row], first)
+            for g, e in zip(grads[1:], ends.values(), strict=True):
+                np.add.at(g.T, y[e[:, 1]], q[e[:, 0]])
+                np.add.at(g, y[e[:, 0]], q[e[:, 1]])
+            for w, g, s in zip(weights, grads, grad2, strict=True):
+                g = g / at + decay * w
                 s += g * g
                 w -= rate * g / np.sqrt(s)
 
-    def infer(self, x: np.ndarray, chain: np.ndarray, ring: np.ndarray, clamp: np.ndarray, rounds: int = 10, damp: float = 0.3) -> np.ndarray:
-        """Marginals by loopy belief propagation; ``clamp`` holds the labels that are known, or -1."""
-        own = self.unary[x].sum(1)
+    def infer(self, own: np.ndarray, ends: dict[str, np.ndarray], clamp: np.ndarray, rounds: int = 12, damp: float = 0.3) -> np.ndarray:
+        """Marginals by loopy belief propagation over ``own`` potentials; ``clamp`` holds the labels that are known, or -1."""
+        own = own.copy()
         known = clamp >= 0
         own[known] = -30.0
         own[known, clamp[known]] = 0.0
-        src = np.concatenate([chain[:, 0], chain[:, 1], ring[:, 0], ring[:, 1]])
-        dst = np.concatenate([chain[:, 1], chain[:, 0], ring[:, 1], ring[:, 0]])
+        kinds = [k for k in LINKS if len(ends[k])]
         belief = own.copy()
-        if len(src):
-            n, m = len(chain), len(ring)
-            pot = np.concatenate([np.repeat(self.chain[None], n, 0), np.repeat(self.chain.T[None], n, 0), np.repeat(self.skip[None], m, 0), np.repeat(self.skip.T[None], m, 0)])
-            back = np.concatenate([np.arange(n, 2 * n), np.arange(n), np.arange(2 * n + m, 2 * n + 2 * m), np.arange(2 * n, 2 * n + m)])
+        if kinds:
+            src = np.concatenate([x for k in kinds for x in (ends[k][:, 0], ends[k][:, 1])])
+            dst = np.concatenate([x for k in kinds for x in (ends[k][:, 1], ends[k][:, 0])])
+            back, parts, at = np.zeros(len(src), np.int64), [], 0
+            for k in kinds:
+                n = len(ends[k])
+                back[at : at + n], back[at + n : at + 2 * n] = np.arange(at + n, at + 2 * n), np.arange(at, at + n)
+                for lo, w in ((at, self.pair[k]), (at + n, self.pair[k].T)):
+                    parts += [(i, min(i + EDGES, lo + n), np.exp(w - w.max()), w.max()) for i in range(lo, lo + n, EDGES)]
+                at += 2 * n
             msg = np.zeros((len(src), LABELS))
             for _ in range(rounds):
-                t = (belief[src] - msg[back])[:, :, None] + pot
-                top = t.max(1, keepdims=True)
-                new = (top + np.log(np.exp(t - top).sum(1, keepdims=True)))[:, 0]
+                new = np.empty_like(msg)
+                for lo, hi, w, top in parts:
+                    t = belief[src[lo:hi]] - msg[back[lo:hi]]
+                    most = t.max(1, keepdims=True)
+                    new[lo:hi] = np.log(np.exp(t - most) @ w + 1e-300) + most + top
                 new -= new.max(1, keepdims=True)
                 msg = damp * msg + (1 - damp) * new
                 belief = own.copy()
@@ -202,61 +293,94 @@ class SkipChainCRF:
         q = np.exp(belief - belief.max(1, keepdims=True))
         return q / q.sum(1, keepdims=True)
 
+    def marginals(self, t: Tokens, clamp: np.ndarray) -> np.ndarray:
+        return self.infer(self.unary[self.features(t)].sum(1), self.edges(t), clamp)
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int]], list[str], list[str], list[bool], np.ndarray]:
-    """Candidate tokens: spans without edge marks, cores, the word before, whether the next candidate follows at once,
-    and the base label that covers each (0: none)."""
-    spans, left, near = [], [], []
-    for m in CANDIDATE.finditer(text):
-        raw = m[0]
-        a = m.start() + len(raw) - len(raw.lstrip(EDGE_MARKS))
-        b = m.end() - (len(raw) - len(raw.rstrip(EDGE_MARKS)))
-        if a >= b:
-            continue
-        before = text[max(0, m.start() - 24) : m.start()].split()
-        if spans:
-            near.append(m.start() - spans[-1][1] <= 2)
-        spans.append((a, b))
-        left.append(before[-1].strip(EDGE_MARKS).lower()[:12] if before else "^")
-    label, k = np.zeros(len(spans), np.int64), 0
-    for i, (a, b) in enumerate(spans):
-        while k < len(base) and base[k][2] <= a:
-            k += 1
-        for start, kind, end in base[k : k + 4]:
-            if start < b and end > a:
-                label[i] = kind + 1
-                break
-    return spans, [text[a:b] for a, b in spans], left, [*near, False], label
 
-
-def find_spans(crf: SkipChainCRF | None, text: str, sure: float = 0.9) -> list[tuple[int, int, int, bool]]:
+def find_spans(crf: SkipChainCRF | None, text: str, sure: float = SURE) -> list[tuple[int, int, int, bool]]:
     """(start, kind, end, base): the base spans and those that the field adds."""
     base = base_spans(text)
     found = [(a, k, b, True) for a, k, b in base]
-    if not base or crf is None:
-        return found  # with nothing found there is nothing to repeat
-    spans, cores, left, near, label = candidates(text, base)
-    free = label == 0
+    if crf is None or not MARK.search(text):
+        return found
+    t = candidates(text, base)
+    free = t.label == 0
     if free.any():
-        chain, ring = crf.edges(cores, near)
-        linked = np.zeros(len(cores), bool)
-        linked[ring.ravel()] = True
-        if (free & linked).any():
-            q = crf.infer(crf.features(cores, left), chain, ring, np.where(free, -1, label))
-            for i in np.flatnonzero(free & linked & (q.argmax(1) > 0) & (q.max(1) >= sure)):
-                found.append((*spans[i][:1], int(q[i].argmax()) - 1, spans[i][1], False))
+        q = crf.marginals(t, np.where(free, -1, t.label))
+        label = np.where(free & (q.max(1) >= sure), q.argmax(1), 0)
+        for first, behind in t.runs():  # neighbours of one label are one span
+            i = first
+            while i < behind:
+                k, j = label[i], i + 1
+                while j < behind and k > 2 and label[j] == k:
+                    if k == 3 and len(digits_of(t.cores[j])) >= 12:
+                        break  # a card of its own
+                    j += 1
+                if k:
+                    found.append((t.spans[i][0], int(k) - 1, t.spans[j - 1][1], False))
+                i = j
     return sorted(found)
 
 
+def excerpt(text: str, most: int = 50, around: int = 40) -> str:
+    """What lies around at most ``most`` candidates, spread evenly over the whole text."""
+    t = candidates(text, [])
+    pick = t.spans if len(t.spans) <= most else [t.spans[i * (len(t.spans) - 1) // (most - 1)] for i in range(most)]
+    out, at = [], 0
+    for a, b in pick:
+        lo, hi = max(at, a - around), min(len(text), min(b, a + 100) + around)
+        if hi > lo:
+            out.append(text[lo:hi] if lo == at else "\n" + text[lo:hi])
+            at = hi
+    return "".join(out)
+
+
+def _altered(kind: int, said: str, r: random.Random) -> tuple[str, bool]:
+    """A writing of a base match that the patterns miss, and whether it is plain by itself what it is."""
+    digits = digits_of(said)
+    if kind == 0:
+        return r.choice([(said.replace("@", "·"), False), (said.replace(".", "·"), True), (said.replace(".", ""), True)])
+    if kind == 1:
+        return r.choice([(said.replace(".", "-"), False), (said.replace(".", "·"), True), (f"v{said.replace('.', '_')}", False)])
+    if kind == 2:
+        four = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+        return r.choice([(".".join(four), True), ("x" + digits, True), ("/".join(four), True), (f"{digits} {digits}", True)])
+    parts = (digits[:-10], digits[-10:-7], digits[-7:-4], digits[-4:])
+    return r.choice([(" ".join(x for x in parts if x), False), ("-".join((digits[:-7], digits[-7:-4], digits[-4:])), True), (".".join((digits[:-7], digits[-7:-4], digits[-4:])), True), (digits, False), ("00" + digits, False)])
+
+
+def lessons(text: str, seed: int) -> list[Tokens]:
+    """Training texts made of one: as it is; with altered copies of its base matches, which keep their labels; with altered
+    matches alone, which keep theirs only if they are plain by themselves; each once with the words around hidden, once shown."""
+    base, r = base_spans(text), random.Random(seed)
+    out = [candidates(text, base)]
+    for a, k, b in base[:3]:
+        said = text[a:b]
+        before = text[max(0, a - 20) : a].rpartition(" ")[0] + " "
+        for shown in ("_ ", before):
+            other, plain_by_itself = _altered(k, said, r)
+            beside = f"{before}{said} _ {shown}{other} _"
+            for whole, at, label in ((beside, beside.rindex(other), k + 1), (f"{shown}{other} _", len(shown), k + 1 if plain_by_itself else 0)):
+                t = candidates(whole, base_spans(whole))
+                for i, (x, y) in enumerate(t.spans):
+                    if x < at + len(other) and y > at:
+                        t.label[i] = label
+                out.append(t)
+    return out
+
+
 def train_field(docs: DataFrame, train_docs: int) -> SkipChainCRF:
-    """From the base patterns' spans in a bounded choice of documents that hold a digit or an @."""
-    crf, data = SkipChainCRF(), []
-    rows = docs.filter(F.col("text").rlike("@[a-zA-Z]|[0-9]{3}") & (F.length("text") <= 50_000)).limit(train_docs).collect()
-    for r in sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id, r.text)):
-        _, cores, left, near, label = candidates(r.text, base_spans(r.text))
-        if cores:
-            data.append((cores, left, near, label))
-    crf.train(data)
+    """From a bounded choice of documents by hash, each in excerpts, so that no order of rows or files matters."""
+    share = min(1.0, 20 * train_docs / max(1, docs.count()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([excerpt(t) for t in b.column(1).to_pylist()], pa.string())], ["h", "text"])
+
+    some = docs.filter((F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30))) & F.col("text").rlike("[0-9@]"))
+    rows = some.select(F.xxhash64("doc_id", "text").alias("h"), "text").mapInArrow(run, "h long, text string").orderBy("h", "text").limit(train_docs).collect()
+    crf = SkipChainCRF()
+    crf.train([t for r in rows for t in lessons(r.text, r.h & 0xFFFFFFFF)])
     return crf
 
 
@@ -277,7 +401,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tr
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (text); counts are of all spans' base part."""
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (text), n_spans (all spans)."""
 
     def said(spans) -> F.Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -286,7 +410,7 @@ def digests(found: DataFrame) -> DataFrame:
         return F.size(F.filter("spans", lambda s: (s["kind"] == kind) & s["base"])).cast("long").alias(f"n_{kind}")
 
     base = F.filter("spans", lambda s: s["base"])
-    return found.select("doc_id", *map(of_kind, KINDS), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *map(of_kind, KINDS), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
