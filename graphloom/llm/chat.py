@@ -1,7 +1,8 @@
 """Chat formatting with offset-aligned loss masks.
 
 Each conversation becomes one rendered text ``<|im_start|>role<|im_sep|>text<|im_end|>`` per turn, is encoded once with
-offsets, and its sorted turn spans are intersected with the sorted token spans by binary search: the mask holds, for
+offsets (each token of a byte-level vocabulary stands for as many bytes as its spelling has characters, so the ids give the
+offsets), and its sorted turn spans are intersected with the sorted token spans by binary search: the mask holds, for
 each assistant text, the first token that starts in it and the token behind its last. The three control strings are
 special entries added to the tokenizer, so that no token straddles a boundary and the mask is exact.
 
@@ -10,7 +11,8 @@ Escaping: one backslash goes between ``<`` and ``|`` where only backslashes stoo
 
 Cases: null text or role is empty; rows of a conversation are ordered by turn (null first), then role, then text, so
 ties and repeated rows have a defined order; a conversation of null id is one conversation; an empty table gives an
-empty result; texts of any length are encoded whole. A conversation is one row of the result and so is built in one task.
+empty result; texts of any length are encoded whole; conversations are encoded in slices of about ``SLICE`` bytes, a longer one
+alone. A conversation is one row of the result and so is built in one task.
 """
 
 from __future__ import annotations
@@ -21,12 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import module_cache, pick, workers_find_package
+from .common import begin, module_cache, pick, workers_find_package
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
+SLICE = 1_000_000
 SCHEMA = "conv_id long, rendered string, token_ids array<int>, token_starts array<int>, token_ends array<int>, loss_mask array<boolean>"
 
 
@@ -74,6 +78,7 @@ def masked_text(rendered: str, starts: np.ndarray, ends: np.ndarray, masked: np.
 
 
 def tokenizer(vocab: str):
+    """The tokenizer with the control strings, and the number of bytes of each id."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -84,10 +89,40 @@ def tokenizer(vocab: str):
         tok = Tokenizer.from_file(vocab)
         tok.add_special_tokens([AddedToken(x, special=True, normalized=False) for x in (START, SEP, END)])
         tok.post_processor = processors.ByteLevel(trim_offsets=False)
-        cache[vocab] = tok
+        size = np.zeros(tok.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, i in tok.get_vocab(with_added_tokens=True).items():
+            size[i] = len(token)
+        for i, token in tok.get_added_tokens_decoder().items():
+            size[i] = len(token.content.encode())
+        cache[vocab] = tok, size
     return cache[vocab]
 
 
+def offsets(text: str, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and behind-last code point of each token; tokens that share a code point both have it."""
+    end = np.cumsum(size[ids])
+    start = end - size[ids]
+    if not text.isascii():
+        point = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80) - 1  # of each byte
+        start, end = point[start], point[end - 1] + 1
+    return start.astype(np.int32), end.astype(np.int32)
+
+
+def _slices(whole: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``SLICE`` bytes of text."""
+    turns = whole.column(1)
+    at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(turns.values.field("text")), 0).to_numpy(zero_copy_only=False))])
+    size = np.diff(at[turns.offsets.to_numpy()])
+    first, held = 0, 0
+    for i, n in enumerate(size.tolist()):
+        if i > first and (held + n > SLICE or i - first >= rows):
+            yield whole.slice(first, i - first)
+            first, held = i, 0
+        held += n
+    if first < whole.num_rows:
+        yield whole.slice(first)
+
+
 def format_chats(turns: DataFrame, vocab: str, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """Per conversation: conv_id, rendered text, token ids with offsets (code points), and the loss mask over tokens."""
     workers_find_package(turns.sparkSession)
@@ -96,16 +131,16 @@ def format_chats(turns: DataFrame, vocab: str, conv_col: str = "conv_id", turn_c
     grouped = rows.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer(vocab)
+        begin("chat")
+        tok, size = tokenizer(vocab)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
+            for b in _slices(whole):
                 done = [render([(t["role"], t["text"]) for t in ts]) for ts in b.column(1).to_pylist()]
                 cols: list[list] = [[], [], [], []]
-                for (_, spans), e in zip(done, tok.encode_batch([x for x, _ in done], add_special_tokens=False), strict=True):
-                    offsets = np.array(e.offsets, np.int32).reshape(-1, 2)
-                    starts, ends = offsets[:, 0], offsets[:, 1]
-                    for c, v in zip(cols, (np.array(e.ids, np.int32), starts, ends, mask(spans, starts, ends)), strict=True):
+                for (text, spans), e in zip(done, tok.encode_batch_fast([x for x, _ in done], add_special_tokens=False), strict=True):
+                    ids = np.array(e.ids, np.int32)
+                    starts, ends = offsets(text, ids, size)
+                    for c, v in zip(cols, (ids, starts, ends, mask(spans, starts, ends)), strict=True):
                         c.append(v)
                 arrays = [b.column(0), pa.array([x for x, _ in done]), *(pa.array(c, pa.list_(pa.int32())) for c in cols[:3]), pa.array(cols[3], pa.list_(pa.bool_()))]
                 yield pa.RecordBatch.from_arrays(arrays, ["conv_id", "rendered", "token_ids", "token_starts", "token_ends", "loss_mask"])
@@ -119,11 +154,16 @@ def digests(formatted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for r in b.select(["conv_id", "rendered", "token_starts", "token_ends", "loss_mask"]).to_pylist():
-                turns = parse(r["rendered"])
-                loss = masked_text(r["rendered"], np.array(r["token_starts"], np.int64), np.array(r["token_ends"], np.int64), np.array(r["loss_mask"], bool))
+            starts, ends, masked = (b.column(b.schema.get_field_index(c)) for c in ("token_starts", "token_ends", "loss_mask"))
+            at = [c.offsets.to_numpy() for c in (starts, ends, masked)]
+            starts, ends = starts.values.to_numpy(), ends.values.to_numpy()
+            for k, conv in enumerate(b.column(0).to_pylist()):
+                rendered = b.column(1)[k].as_py()
+                x, y, z = (slice(int(o[k]), int(o[k + 1])) for o in at)
+                turns = parse(rendered)
+                loss = masked_text(rendered, starts[x], ends[y], masked.values[z.start : z.stop].to_numpy(zero_copy_only=False).astype(bool))
                 said = "".join(f"{role}\n{text}\n" for role, text in turns)
-                rows.append((r["conv_id"], len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(r["rendered"])))
+                rows.append((conv, len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(rendered)))
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
