@@ -8,7 +8,8 @@ conditional expression, so that the verdict of a document is a plain column expr
 The labelled rows that train are at most ``train_rows`` (a documented bound), chosen by hash of the id. Statistics are
 computed once, over all documents and whole texts, and staged; training and verdicts read the staged statistics.
 
-Cases: null text has no words (and so fails the base rules); repeated rows of one id train as that many rows; null
+Cases: null text has no words (and so fails the base rules); repeated rows of one id, in either table, train as that many rows
+within the bound; null
 labels do not train; without labelled rows of both classes the list is empty and the base rules alone decide; equal
 statistics get equal verdicts; an empty table gives an empty result.
 """
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import docs_of, pick, slices, stage
+from .common import begin, docs_of, pick, slices, stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -81,6 +82,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = ["doc_id", *LONGS, *MORE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("quality")
         for b in slices(batches):
             cols = list(zip(*map(statistics_of, b.column(1).to_pylist()), strict=True)) or [[]] * (len(names) - 1)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int64()) for c in cols)], names)
@@ -217,7 +219,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     told = pick(labels, doc_id=label_id_col, label=label_col).filter("label is not null and doc_id is not null").select(F.col("doc_id").cast("long"), "label")
     some = told.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(train_rows)
     of = features()
-    rows = stats.join(F.broadcast(some), "doc_id").filter(~base_failed()).select("doc_id", "label", *[c.alias(k) for k, c in of.items()]).toPandas().sort_values(["doc_id", "label"], kind="stable")
+    rows = stats.join(F.broadcast(some), "doc_id").filter(~base_failed()).select("doc_id", "label", *[c.alias(k) for k, c in of.items()])
+    rows = rows.orderBy(F.xxhash64("doc_id"), *rows.columns).limit(train_rows).toPandas().sort_values(rows.columns, kind="stable")
     rules = learn({k: rows[k].to_numpy(float) for k in of}, (rows["label"] == 0).to_numpy())
     out = stats.withColumn("base_failed", base_failed()).withColumn("rule", verdict(rules))
     return out.select("doc_id", *LONGS, "base_failed", (~F.col("base_failed") & (F.col("rule") < 0)).alias("kept"), "rule")
