@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .functions import providers
 from .operators import augment, chunking, filters, graph, merge, strategies
 from .plans.control import Config, pending, valid
+from .plans.ranks import ranked
 from .plans.staging import stage
 from .sources import formats
 from .streaming.journal import Journal
@@ -26,14 +27,12 @@ def extract(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def numbered(chunks: DataFrame) -> DataFrame:
     """``chunks`` with ``ord`` counted from 0 over all of them, by document and place: a key of each chunk."""
-    place = {"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id() % (1 << 33)}
-    rows = stage(chunks.repartitionByRange("doc_id", "ord").sortWithinPartitions("doc_id", "ord").withColumns(place), "numbered")
-    first, at = [], 0
-    for r in rows.groupBy("_part").count().orderBy("_part").collect():
-        first.append((r["_part"], at))
-        at += r["count"]
-    starts = rows.sparkSession.createDataFrame(first, "_part int, _first long")
-    return rows.join(F.broadcast(starts), "_part").withColumn("ord", F.col("_first") + F.col("_row")).select(*chunks.columns)
+    return ranked(chunks, "doc_id", "ord", name="_rank").withColumn("ord", F.col("_rank")).select(*chunks.columns)
+
+
+def _in_order(merged: DataFrame) -> DataFrame:
+    """``merged`` with ``ord`` as dense numbers; rows without one come last."""
+    return ranked(merged.withColumnRenamed("ord", "_was"), F.col("_was").isNull(), "_was", name="ord").drop("_was")
 
 
 def build(spark: SparkSession, docs: DataFrame, out: str, config: Config = Config(), completed: DataFrame | None = None, on: Event = lambda name, info: None, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -57,7 +56,7 @@ def build(spark: SparkSession, docs: DataFrame, out: str, config: Config = Confi
     entities, relations = extract(chunks)
     nodes = merge.merge_entities(entities).drop("records")
     edges = merge.collapse_edges(merge.merge_relations(relations))
-    nodes = merge.placeholder_nodes(nodes, edges)
+    nodes, edges = _in_order(merge.placeholder_nodes(nodes, edges)), _in_order(edges)
     formats.write_graph(nodes, edges, f"{out}/graph")
     nodes, edges = spark.read.parquet(f"{out}/graph/nodes"), spark.read.parquet(f"{out}/graph/edges")
     journal.complete("merge", nodes=nodes.count(), edges=edges.count())
@@ -100,8 +99,7 @@ def query_local(g: strategies.Graph, question: str, vectors: DataFrame | None =
     if vectors is None:
         vectors = providers.embed(g.entities.select(F.col("name").alias("vec_id"), F.concat_ws(" ", F.col("name"), F.array_join("descriptions", " ")).alias("text")), "text").drop("text")
     q = spark.createDataFrame([("?", [float(x) for x in providers.hashed_vector(question)])], "vec_id string, embedding array<float>")
-    near = graph.cosine_top_k(vectors, q, k).select(F.col("vec_id").alias("node"), "similarity")
-    return near.join(graph.adjacency(g.edges.select("a", "b", "description")), "node", "left").select(F.col("node").alias("name"), "similarity", "neighbor", "description")
+    return graph.local_search(vectors, q, g.edges, k).select(F.col("node").alias("name"), "similarity", "neighbor", "description")
 
 
 def training_set(spark: SparkSession, path: str) -> DataFrame:

@@ -152,12 +152,39 @@ def sections_articles(spark, d):
     return a.groupBy("doc_id", "titre").agg(F.count(F.lit(1)).alias("articles"), F.sum(F.substring_index("a", "-", -1).cast("long")).alias("keys"))
 
 
-@_query()
+#: The chunks of _legal: sections in order, packed under their title up to 2,000 characters, those under 100 dropped.
+_CHUNKS = """
+    n AS (SELECT CAST(r_regionkey AS BIGINT) AS doc_id, r_name, n_nationkey, n_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+    parts AS (
+        SELECT DISTINCT doc_id, -1 AS nation, 0 AS k, 'livre' AS kind, CAST(NULL AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS n_name, 'Livre I : ' || r_name AS content FROM n
+        UNION ALL SELECT doc_id, n_nationkey, -1, 'titre', NULL, n_name, 'TITRE I – ' || n_name FROM n
+        UNION ALL SELECT doc_id, n_nationkey, c_custkey, 'article', '100-' || c_custkey, n_name, 'Article 100-' || c_custkey || ' : ' || c_name || chr(10) || 'Les comptes ' || c_mktsegment || ' doivent etre presentes avec soin dans l''annexe.' FROM n JOIN customer ON c_nationkey = n_nationkey),
+    listed AS (SELECT *, length(content) AS size, row_number() OVER (PARTITION BY doc_id ORDER BY nation, k) AS i FROM parts),
+    packed(doc_id, i, pack, held) AS (
+        SELECT doc_id, i, 0, size FROM listed WHERE i = 1
+        UNION ALL
+        SELECT l.doc_id, l.i, CASE WHEN l.kind = 'titre' OR p.held + l.size > 2000 THEN pack + 1 ELSE pack END, CASE WHEN l.kind = 'titre' OR p.held + l.size > 2000 THEN l.size ELSE p.held + l.size END
+        FROM packed p JOIN listed l ON l.doc_id = p.doc_id AND l.i = p.i + 1),
+    whole AS (SELECT doc_id, pack, arg_max(n_name, i) AS n_name, string_agg(content, chr(10) || chr(10) ORDER BY i) AS content, list(id ORDER BY i) FILTER (id IS NOT NULL) AS ids FROM packed JOIN listed USING (doc_id, i) GROUP BY doc_id, pack),
+    chunks AS (
+        SELECT w.doc_id, row_number() OVER (PARTITION BY w.doc_id ORDER BY pack) - 1 AS ord, 'I - ' || r_name AS livre, 'I - ' || n_name AS titre, content, coalesce(ids, []) AS ids, '[Livre: I - ' || r_name || CASE WHEN n_name IS NULL THEN '' ELSE ' > Titre: I - ' || n_name END || ']' || chr(10) || chr(10) || content AS text
+        FROM whole w JOIN (SELECT DISTINCT doc_id, r_name FROM n) USING (doc_id) WHERE length(content) >= 100)"""
+
+
+@_query(rf"""
+    WITH RECURSIVE {_CHUNKS}
+    SELECT doc_id, printf('pcg-%04d', ord) AS chunk_id, printf('pcg-%04d', ord) AS compat_id, CASE WHEN len(ids) = 0 THEN 'section' ELSE 'article' END AS chunk_type, CAST(length(content) AS INTEGER) AS char_count, livre, titre, CAST(len(ids) AS INTEGER) AS ids, substr(md5(substr(text, 1, 500)), 1, 12) AS hash_id FROM chunks""")
 def chunk_documents(spark, d):
     c = chunking.chunk_documents(_legal(spark, d), chunking.PCG, 2000, 100)
     return c.select("doc_id", "chunk_id", "compat_id", "chunk_type", "char_count", "livre", "titre", F.size("atomic_ids").alias("ids"), "hash_id")
 
 
+@_query(f"WITH RECURSIVE {_CHUNKS} SELECT doc_id, chunk_id, count AS chunks FROM (SELECT doc_id, arg_min(printf('pcg-%04d', ord), ord) AS chunk_id, count(*) AS count FROM chunks GROUP BY doc_id)")
+def structure_counts(spark, d):
+    c = chunking.chunk_documents(_legal(spark, d), chunking.PCG, 2000, 100)
+    return c.groupBy("doc_id").agg(F.min_by("chunk_id", "ord").alias("chunk_id"), F.count(F.lit(1)).alias("chunks"))
+
+
 @_query("SELECT doc_id, CAST(ntile(7) OVER (ORDER BY doc_id) - 1 AS INTEGER) AS pipeline_id FROM documents")
 def range_split(spark, d):
     return control.assign_ranges(_t(spark, d, "documents").select("doc_id"), 7, "doc_id")
@@ -310,6 +337,49 @@ def cosine_topk(spark, d):
     return graph.cosine_top_k(v, v.filter("vec_id % 100 = 0"), 10).select("query_id", "vec_id", F.round("similarity", 6).alias("similarity"))
 
 
+@_query("""
+    WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id % 100 = 0),
+    s AS (SELECT query_id, vec_id, list_cosine_similarity(CAST(e AS DOUBLE[]), CAST(embedding AS DOUBLE[])) AS c FROM embeddings JOIN q ON vec_id <> query_id),
+    near AS (SELECT query_id, vec_id, c, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, vec_id) AS rank FROM s QUALIFY rank <= 5),
+    edges AS (SELECT vec_id AS a, -1 - label AS b FROM embeddings WHERE label > 2)
+    SELECT query_id, vec_id AS node, round(c, 6) AS similarity, b AS neighbor, 'label ' || (-1 - b) AS description FROM near LEFT JOIN edges ON a = vec_id""")
+def local_search(spark, d):
+    v = _t(spark, d, "embeddings")
+    edges = v.filter("label > 2").select(F.col("vec_id").alias("a"), (-1 - F.col("label")).cast("long").alias("b"), F.concat(F.lit("label "), F.col("label").cast("string")).alias("description"))
+    return graph.local_search(v, v.filter("vec_id % 100 = 0"), edges).select("query_id", "node", F.round("similarity", 6).alias("similarity"), "neighbor", "description")
+
+
+@_query(f"WITH {_EDGES}, n AS (SELECT count(*) AS n FROM nodes), m AS (SELECT count(*) AS m FROM edges) SELECT round(2 * m / (n * (n - 1)), 9) AS density FROM n, m")
+def graph_density(spark, d):
+    return graph.stats(_nodes(spark, d), _edges(spark, d)).select(F.round("density", 9).alias("density"))
+
+
+@_query("""
+    WITH RECURSIVE e AS (SELECT 'c' || o_custkey AS x, 'd' || CAST(floor(o_totalprice) AS BIGINT) AS y FROM orders),
+    adj AS (SELECT x, y FROM e UNION SELECT y, x FROM e), reach(node, other) AS (SELECT DISTINCT x, x FROM adj UNION SELECT node, y FROM reach JOIN adj ON other = x)
+    SELECT node, min(other) AS label FROM reach GROUP BY node""")
+def components_orders(spark, d):
+    """Customers and the whole prices of their orders."""
+    price = F.floor("o_totalprice").cast("long").cast("string")
+    return connected_components(_t(spark, d, "orders").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("a"), F.concat(F.lit("d"), price).alias("b")))
+
+
+@_query("""
+    WITH {_MENTIONS}
+    SELECT x.doc_id, x.name AS source, y.name AS target, md5(x.description) AS description, CAST(1 AS DOUBLE) AS weight FROM m x JOIN m y ON x.doc_id = y.doc_id AND x.line = y.line AND y.pos = x.pos + 1 WHERE lower(x.name) <> lower(y.name)""".replace("{_MENTIONS}", _MENTIONS))
+def relation_extract(spark, d):
+    r = providers.adjacent_relations(providers.mentions(_t(spark, d, "documents")))
+    return r.select(F.col("sources")[0].cast("long").alias("doc_id"), "source", "target", F.md5("description").alias("description"), "weight")
+
+
+@_query("""
+    WITH {_MENTIONS}, r AS (SELECT x.doc_id, x.name AS source, y.name AS target, x.description AS description, (x.doc_id, x.line, x.pos) AS o FROM m x JOIN m y ON x.doc_id = y.doc_id AND x.line = y.line AND y.pos = x.pos + 1 WHERE lower(x.name) <> lower(y.name))
+    SELECT lower(source) AS source_key, lower(target) AS target_key, arg_min(source, o) AS source, arg_min(target, o) AS target, CAST(count(DISTINCT doc_id) AS BIGINT) AS n_sources, max(length(description)) AS longest FROM r GROUP BY ALL""".replace("{_MENTIONS}", _MENTIONS))
+def relation_extract_merge(spark, d):
+    r = merge.merge_relations(providers.adjacent_relations(providers.mentions(_t(spark, d, "documents"))))
+    return r.select("source_key", "target_key", "source", "target", F.size("sources").cast("long").alias("n_sources"), F.length("description").cast("long").alias("longest"))
+
+
 # pairs --------------------------------------------------------------------------------------------
 
 _KG = f"""{_EDGES},
@@ -395,21 +465,66 @@ def _legal_chunks(spark, d) -> DataFrame:
     return c.select((F.col("doc_id") * 100_000 + F.col("ord")).alias("ord"), "chunk_id", F.col("text").alias("content"))
 
 
-@_query()
+@_query(f"""
+    WITH RECURSIVE {_CHUNKS}, named AS (SELECT *, array_to_string(list_filter([livre, titre], lambda x: x IS NOT NULL), ' > ') AS section, array_to_string(list_filter([livre, titre], lambda x: x IS NOT NULL), '|') AS sources FROM chunks),
+    first AS (SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY section ORDER BY doc_id, ord) = 1)
+    SELECT {_pick_sql("section", [_fill_sql(t, section="section") for t in strategies.SECTION])} AS question, sources,
+        md5(CASE WHEN length(content) <= 1500 THEN content WHEN contains(substr(content, 1, 1500), '.') THEN substr(content, 1, 1500 - instr(reverse(substr(content, 1, 1500)), '.')) || '.' ELSE substr(content, 1, 1500) || '.' END) AS answer
+    FROM first WHERE length(content) >= 50""")
 def pairs_hierarchical(spark, d):
     return _shown(strategies.sections(strategies.Graph(chunks=_legal_chunks(spark, d))))
 
 
-@_query()
+def _kinds(spark, d, *kinds: str) -> DataFrame:
+    found = strategies.chunk_questions(strategies.Graph(chunks=_legal_chunks(spark, d)))
+    return found.select("question", "answer", F.array_join("source_entities", "|").alias("sources"), F.col("metadata.sub_strategy").alias("kind")).filter(F.col("kind").isin(*kinds))
+
+
+_ARTICLES = f"""WITH RECURSIVE {_CHUNKS}, a AS (SELECT c.titre, l.content, l.id FROM chunks c JOIN whole w ON w.doc_id = c.doc_id AND w.content = c.content JOIN packed p ON p.doc_id = w.doc_id AND p.pack = w.pack JOIN listed l ON l.doc_id = p.doc_id AND l.i = p.i WHERE l.kind = 'article'),
+    qa AS (SELECT 'Que dit l''article ' || id || ' du PCG ?' AS question, regexp_replace(content, '^[^:]* : ', '') AS answer, 'Article ' || id AS sources, 'article' AS kind FROM a
+           UNION ALL SELECT 'Quelle obligation est prevue par le PCG concernant ' || titre || ' ?', 'doivent etre presentes avec soin dans l''annexe.', '', 'rule' FROM a)"""
+
+
+@_query(f"{_ARTICLES} SELECT question, answer, kind FROM qa")
 def pairs_chunk_qa(spark, d):
-    return strategies.chunk_questions(strategies.Graph(chunks=_legal_chunks(spark, d))).select("question", "answer", F.col("metadata.sub_strategy").alias("kind"))
+    return _kinds(spark, d, "definition", "article", "rule", "list").select("question", "answer", "kind")
+
+
+@_query(f"{_ARTICLES} SELECT question, answer, sources, kind FROM qa WHERE kind = 'article'")
+def pairs_article(spark, d):
+    return _kinds(spark, d, "article")
+
+
+@_query(f"{_ARTICLES} SELECT question, answer, sources, kind FROM qa WHERE kind = 'rule'")
+def pairs_rule(spark, d):
+    return _kinds(spark, d, "rule")
+
+
+def _cue_chunks(spark, d) -> DataFrame:
+    """A chunk per part with a definition and, for every other one, a list."""
+    p = _t(spark, d, "part")
+    body = F.concat(F.lit("[Livre: I - L > Titre: II - "), "p_brand", F.lit("]\n\nIntro "), "p_partkey", F.lit(". Le terme "), "p_name", F.lit(" designe un element de type "), "p_type", F.lit(" et de taille "), F.col("p_size").cast("string"), F.lit("."))
+    items = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" Les valeurs de "), "p_name", F.lit(" comprennent\n- la marque "), "p_brand", F.lit("\n- le type "), "p_type", F.lit(" complet\n"))).otherwise(F.lit(""))
+    return p.select(F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("chunk_id"), F.concat(body, items).alias("content"))
+
+
+@_query("""SELECT 'Comment est defini(e) Intro ' || p_partkey || '. Le terme ' || p_name || ' dans le PCG ?' AS question, 'designe un element de type ' || p_type || ' et de taille ' || p_size || '.' AS answer, 'Intro ' || p_partkey || '. Le terme ' || p_name AS sources, 'definition' AS kind FROM part""")
+def pairs_definition(spark, d):
+    found = strategies.chunk_questions(strategies.Graph(chunks=_cue_chunks(spark, d)))
+    return found.filter("metadata.sub_strategy = 'definition'").select("question", "answer", F.array_join("source_entities", "|").alias("sources"), F.lit("definition").alias("kind"))
+
+
+@_query("""SELECT 'Quels sont les elements qui Les valeurs de ' || p_name || ' selon le PCG ?' AS question, 'comprennent' || chr(10) || '- la marque ' || p_brand || chr(10) || '- le type ' || p_type || ' complet' AS answer, 'list' AS kind FROM part WHERE p_partkey % 2 = 0""")
+def pairs_list(spark, d):
+    found = strategies.chunk_questions(strategies.Graph(chunks=_cue_chunks(spark, d)))
+    return found.filter("metadata.sub_strategy = 'list'").select("question", "answer", F.lit("list").alias("kind"))
 
 
 # filters, reports, formats ------------------------------------------------------------------------
 
 _PAIRS = """
     t AS (SELECT conv_id * 1000 + turn AS ord, role, text, lead(role) OVER w AS next_role, lead(text) OVER w AS answer, conv_id FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
-    pairs AS (SELECT ord, substr(text, 1, CAST(5 + ord % 40 AS INTEGER)) AS question, substr(answer, 1, CAST(20 + ord % 900 AS INTEGER)) AS answer, 's' || (conv_id % 3) AS strategy_name FROM t WHERE role = 'user' AND next_role = 'assistant'),
+    pairs AS (SELECT ord, text AS question, answer, 's' || (conv_id % 3) AS strategy_name FROM t WHERE role = 'user' AND next_role = 'assistant'),
     q AS (SELECT *, regexp_replace(answer, '^\\s+|\\s+$', '', 'g') AS a, regexp_replace(question, '^\\s+|\\s+$', '', 'g') AS qs FROM pairs),
     f AS (SELECT ord, question, strategy_name, CASE WHEN length(qs) < 10 THEN 'question_too_short (' || length(question) || ' < 10)' WHEN length(a) < 50 THEN 'answer_too_short (' || length(a) || ' < 50)' END AS rule,
             CASE WHEN length(qs) >= 10 AND length(a) >= 50 AND length(a) > 700 THEN CASE WHEN contains(substr(answer, 1, 700), '.') AND length(substr(answer, 1, 700)) - instr(reverse(substr(answer, 1, 700)), '.') > 50 AND length(answer) > 700 THEN substr(answer, 1, length(substr(answer, 1, 700)) - instr(reverse(substr(answer, 1, 700)), '.') + 1) ELSE substr(answer, 1, 700) END ELSE answer END AS answer,
@@ -422,8 +537,7 @@ def _conversation_pairs(spark, d) -> DataFrame:
     w = Window.partitionBy("conv_id").orderBy("turn")
     c = _t(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("ord"), "role", "text", F.lead("role").over(w).alias("next_role"), F.lead("text").over(w).alias("answer"), "conv_id")
     c = c.filter("role = 'user' and next_role = 'assistant'")
-    cut = lambda t, low, m: F.substring(F.col(t), F.lit(1), (low + F.col("ord") % m).cast("int"))
-    return c.select("ord", cut("text", 5, 40).alias("question"), cut("answer", 20, 900).alias("answer"), F.concat(F.lit("s"), (F.col("conv_id") % 3).cast("string")).alias("strategy_name"), F.array().cast("array<string>").alias("source_entities"))
+    return c.select("ord", F.col("text").alias("question"), "answer", F.concat(F.lit("s"), (F.col("conv_id") % 3).cast("string")).alias("strategy_name"), F.array().cast("array<string>").alias("source_entities"))
 
 
 def _judged(spark, d) -> DataFrame:
@@ -477,6 +591,55 @@ def format_sharegpt(spark, d):
     return r.select(F.col("r.conversations")[0]["value"].alias("human"), F.col("r.conversations")[1]["value"].alias("gpt"))
 
 
+@_query(f"WITH {_PAIRS}, m AS (SELECT ord, unnest([{{'n': 0, 'role': 'system', 'content': 'S'}}, {{'n': 1, 'role': 'user', 'content': question}}, {{'n': 2, 'role': 'assistant', 'content': answer}}]) AS x FROM pairs) SELECT x.n AS place, x.role AS role, md5(x.content) AS content FROM m")
+def records_openai(spark, d):
+    r = formats.records(_conversation_pairs(spark, d), "openai", system="S").select(F.from_json("value", "messages array<struct<role string, content string>>").alias("r"))
+    return r.select(F.posexplode("r.messages").alias("place", "m")).select("place", "m.role", F.md5("m.content").alias("content"))
+
+
+@_query(f"WITH {_PAIRS}, m AS (SELECT ord, unnest([{{'n': 0, 'who': 'human', 'said': question}}, {{'n': 1, 'who': 'gpt', 'said': answer}}]) AS x FROM pairs) SELECT x.n AS place, x.who AS who, md5(x.said) AS said FROM m")
+def records_sharegpt(spark, d):
+    r = _records(spark, d, "sharegpt").select(F.from_json("value", "conversations array<struct<`from` string, value string>>").alias("r"))
+    return r.select(F.posexplode("r.conversations").alias("place", "m")).select("place", F.col("m.from").alias("who"), F.md5("m.value").alias("said"))
+
+
+_RULES = r"""
+    raw AS (SELECT p_partkey AS ord, CASE p_size % 5 WHEN 0 THEN NULL WHEN 1 THEN ' ' || left(p_name, 4) ELSE 'Que dire de ' || p_name || ' ' || p_partkey % 7 || ' ?' END AS question,
+                CASE p_size % 7 WHEN 0 THEN NULL WHEN 1 THEN p_type ELSE trim(repeat(p_name || ' ' || p_type || '. ', 1 + CAST(p_partkey % 60 AS INTEGER))) END AS answer, p_partkey % 4 = 0 AS named FROM part),
+    p AS (SELECT ord, coalesce(question, '') AS question, coalesce(answer, '') AS answer, named FROM raw),
+    ruled AS (SELECT *, length(answer) > 300 AS long, substr(answer, 1, 300) AS head FROM p),
+    cut AS (SELECT *, CASE WHEN NOT long THEN answer WHEN contains(head, '.') AND length(head) - instr(reverse(head), '.') > 50 THEN substr(head, 1, length(head) - instr(reverse(head), '.') + 1) ELSE head END AS said FROM ruled),
+    f AS (SELECT ord, question, CASE WHEN length(trim(question)) < 10 THEN 'question_too_short (' || length(question) || ' < 10)' WHEN length(answer) < 50 THEN 'answer_too_short (' || length(answer) || ' < 50)' WHEN named AND NOT long THEN 'answer_is_entity_name' END AS rule, answer, said FROM cut),
+    k AS (SELECT *, trim(regexp_replace(regexp_replace(lower(trim(question)), '[^\p{L}\p{N}_\s]', '', 'g'), '\s+', ' ', 'g')) AS k FROM f),
+    g AS (SELECT *, min(ord) FILTER (rule IS NULL) OVER (PARTITION BY k) AS first_ord FROM k),
+    judged AS (SELECT g.ord, CASE WHEN g.rule IS NULL THEN g.said ELSE g.answer END AS answer, CASE WHEN g.rule IS NOT NULL THEN g.rule WHEN g.ord > g.first_ord THEN 'duplicate_of:' || substr(o.question, 1, 60) END AS reason FROM g LEFT JOIN p o ON o.ord = g.first_ord)"""
+
+
+def _rule_pairs(spark, d) -> DataFrame:
+    """A pair per part: null, short, long and repeated ones, and answers that are an entity's name in capitals."""
+    p = _t(spark, d, "part")
+    size, key = F.col("p_size"), F.col("p_partkey")
+    question = F.when(size % 5 == 1, F.concat(F.lit(" "), F.substring("p_name", 1, 4))).when(size % 5 != 0, F.concat(F.lit("Que dire de "), "p_name", F.lit(" "), (key % 7).cast("string"), F.lit(" ?")))
+    answer = F.when(size % 7 == 1, F.col("p_type")).when(size % 7 != 0, F.trim(F.repeat(F.concat("p_name", F.lit(" "), "p_type", F.lit(". ")), (1 + key % 60).cast("int"))))
+    return p.select(key.alias("ord"), question.alias("question"), answer.alias("answer"), F.lit("s").alias("strategy_name"), F.when(key % 4 == 0, F.array(F.upper(answer))).otherwise(F.array().cast("array<string>")).alias("source_entities"))
+
+
+@_query(f"WITH {_RULES} SELECT ord, md5(answer) AS answer, reason FROM judged")
+def filter_rules(spark, d):
+    judged = filters.dedupe_questions(filters.quality_filter(_rule_pairs(spark, d), filters.Limits(max_answer=300)))
+    return judged.select("ord", F.md5("answer").alias("answer"), "reason")
+
+
+@_query(f"WITH {_RULES} SELECT trim(string_split(reason, '(')[1]) AS reason, CAST(count(*) AS BIGINT) AS count FROM judged WHERE reason IS NOT NULL GROUP BY 1")
+def filter_rule_counts(spark, d):
+    return filters.rejection_reasons(filters.dedupe_questions(filters.quality_filter(_rule_pairs(spark, d), filters.Limits(max_answer=300))))
+
+
+@_query(f"WITH {_PAIRS} SELECT CAST(count(*) AS BIGINT) AS generated, CAST(count(*) FILTER (reason IS NULL) + 7 AS BIGINT) AS accepted, CAST(count(*) FILTER (reason IS NOT NULL) AS BIGINT) AS rejected, CAST(7 AS BIGINT) AS augmented, round_even(100.0 * count(*) FILTER (reason IS NULL) / count(*), 1) AS acceptance_rate FROM judged")
+def augmented_report(spark, d):
+    return filters.generation_report(_judged(spark, d), 7)
+
+
 @_query("""SELECT conv_id, md5(string_agg('<|' || role || '|>' || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY turn)) AS rendered FROM conversations GROUP BY conv_id""")
 def chat_render(spark, d):
     m = F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("content"))
@@ -528,6 +691,30 @@ def stream_journal(spark, d):
     return spark.table(name)
 
 
+@_query("SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, CAST(count(*) AS BIGINT) AS count FROM events GROUP BY ALL")
+def stream_windows(spark, d):
+    """Counts per day of the stream of events, with a watermark; what is there now, to the end."""
+    import uuid
+
+    name = f"windows_{uuid.uuid4().hex}"
+    events = spark.readStream.schema(_t(spark, d, "events").schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events.parquet*")
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    journal.stream_summary(journal.windowed(timed, "ts", "1 day", "1 hour", "event_type"), f"{shared_dir(spark)}/{name}", name)
+    return spark.table(name).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "count")
+
+
+@_query(f"WITH {_EVENTS} SELECT phase, action, CAST(count(*) AS BIGINT) AS records, max(duration_ms) AS longest FROM j WHERE action <> 'error' GROUP BY ALL")
+def journal_read(spark, d):
+    """Events as JSON lines, those of errors broken or blank, written and read back as a journal."""
+    import uuid
+
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}.jsonl"
+    rows = _journal(_t(spark, d, "events"))
+    good = F.to_json(F.struct(F.col("timestamp").cast("string").alias("timestamp"), "phase", "action", "details", "duration_ms"))
+    rows.select(F.when(F.col("action") != "error", good).when(F.col("duration_ms") > 5000, F.lit("")).otherwise(F.lit('{"phase": "broken')).alias("value")).write.text(path)
+    return journal.read(spark, path).groupBy("phase", "action").agg(F.count(F.lit(1)).alias("records"), F.max("duration_ms").alias("longest"))
+
+
 @_query("""
     WITH r AS (SELECT l_linenumber AS pipeline_id, CASE WHEN sum(l_quantity) > 0 THEN 'ok' ELSE 'failed' END AS status, CAST(count(*) FILTER (l_returnflag <> 'R') AS BIGINT) AS processed, CAST(count(*) AS BIGINT) AS total, CAST(60000 * l_linenumber AS BIGINT) AS duration_ms FROM lineitem GROUP BY l_linenumber)
     SELECT CAST(sum(processed) AS BIGINT) AS processed, CAST(sum(total) AS BIGINT) AS total, CAST(count(*) FILTER (status <> 'ok') AS BIGINT) AS failed, round_even(sum(processed) / (max(duration_ms) / 60000.0), 1) AS chunks_per_minute FROM r""")
@@ -536,13 +723,23 @@ def pipeline_totals(spark, d):
     return control.totals(r.withColumn("duration_ms", (60_000 * F.col("pipeline_id")).cast("long")))
 
 
-@_query()
+@_query(f"WITH {_EDGES} SELECT a AS source, b AS target, 'in' AS relation_type, description, CAST(2 AS DOUBLE) AS weight FROM edges")
 def kg_round_trip(spark, d):
-    """Writes a graph file and reads it back."""
+    """Writes a graph file, suppliers before nations before regions, and reads its edges back from the end that comes first."""
+    return stage(kg.graphml_edges(spark, _graphml(spark, d)).select("source", "target", "relation_type", "description", "weight"), "graph")
+
+
+@_query(f"""WITH {_EDGES} SELECT node AS node_id, node AS name, 'place' AS entity_type, 'a < b & "c" ' || node AS description FROM nodes""")
+def kg_nodes(spark, d):
+    return stage(kg.graphml_nodes(spark, _graphml(spark, d)).select("node_id", "name", "entity_type", "description"), "graph")
+
+
+def _graphml(spark, d) -> str:
     import uuid
 
     e = _edges(spark, d)
-    nodes = _nodes(spark, d).select(F.col("node").alias("key"), F.col("node").alias("name"), F.lit("place").alias("entity_type"), F.lit('a < b & "c"').alias("description"))
+    ord = F.when(F.col("node").startswith("Supplier"), 0).when(F.col("node").startswith("NATION"), 1).otherwise(2)
+    nodes = _nodes(spark, d).select(F.col("node").alias("key"), F.col("node").alias("name"), F.lit("place").alias("entity_type"), F.concat(F.lit('a < b & "c" '), "node").alias("description"), ord.alias("ord"))
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}.graphml"
     formats.write_graphml(nodes, e.withColumns({"relation": F.lit("in"), "weight": F.lit(2.0)}), path)
-    return stage(kg.graphml_edges(spark, path).select("source", "target", "relation_type", "description", "weight"), "graph")
+    return path

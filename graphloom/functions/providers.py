@@ -121,12 +121,11 @@ MENTION = r"\p{Lu}\p{Ll}{5,}"
 
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(ord, doc_id, line, name, description): entity mentions of each line, described by the line. ``ord`` orders them
-    by document, line and place; a document has under 2^20 lines of under 2^12 mentions, or orders tie."""
+    """(ord, doc_id, line, pos, name, description): entity mentions of each line, described by the line. ``ord`` is the struct of
+    document, line and place, so that ids and texts may be of any size."""
     lines = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line", "description"))
     found = lines.select("doc_id", "line", "description", F.posexplode(F.regexp_extract_all("description", F.lit(MENTION), F.lit(0))).alias("pos", "name"))
-    o = F.col("doc_id").cast("long") * (1 << 32) + F.col("line").cast("long") * (1 << 12) + F.col("pos")
-    return found.select(o.alias("ord"), "doc_id", "line", "pos", "name", "description")
+    return found.select(F.struct("doc_id", "line", "pos").alias("ord"), "doc_id", "line", "pos", "name", "description")
 
 
 def adjacent_relations(found: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import cut_at_sentence, question_key, reason_bucket, strip
@@ -19,7 +19,10 @@ class Limits:
 
 
 def quality_filter(pairs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Adds ``reason`` (null: accepted) and cuts long answers. Rules go in order; the first that fails gives the reason."""
+    """Adds ``reason`` (null: accepted) and cuts long answers. Rules go in order; the first that fails gives the reason. A null
+    question or answer is an empty one."""
+    empty = F.lit("")
+    pairs = pairs.withColumns({"question": F.coalesce("question", empty), "answer": F.coalesce("answer", empty)})
     answer = strip("answer")
     cut = F.when(F.length(answer) > limits.max_answer, cut_at_sentence("answer", limits.max_answer, limits.min_answer)).otherwise(F.col("answer"))
     said = strip(cut)
@@ -33,8 +36,9 @@ def quality_filter(pairs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def dedupe_questions(filtered: DataFrame) -> DataFrame:
-    """Among the accepted, the first of each normalised question stays; others name the one that was kept."""
-    accepted = filtered.filter("reason is null").withColumn("_k", question_key("question"))
+    """Among the accepted, the first of each normalised question stays; others name the one that was kept. A null question counts
+    as an empty one."""
+    accepted = filtered.filter("reason is null").withColumn("_k", F.coalesce(question_key("question"), F.lit("")))
     # the first of each question is an aggregate, so that a very common question is combined map-side
     first = accepted.groupBy("_k").agg(F.min("ord").alias("_first"), F.min_by("question", "ord").alias("_q"))
     marked = accepted.join(first, "_k").withColumn("reason", F.when(F.col("ord") != F.col("_first"), F.concat(F.lit("duplicate_of:"), F.substring("_q", 1, 60))))
@@ -57,7 +61,3 @@ def generation_report(judged: DataFrame, augmented: int = 0) -> DataFrame:
     n = F.count(F.lit(1))
     return judged.agg(n.alias("generated"), (ok + augmented).alias("accepted"), (n - ok).alias("rejected"), F.lit(augmented).cast("long").alias("augmented"), F.bround(100.0 * ok / F.greatest(n, F.lit(1)), 1).alias("acceptance_rate"))
 
-
-def first_per_key(df: DataFrame, keys: list[str], ord: str = "ord") -> DataFrame:
-    by = Window.partitionBy(*keys).orderBy(ord)
-    return df.withColumn("_rn", F.row_number().over(by)).filter("_rn = 1").drop("_rn")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,25 +86,64 @@ def edge_descriptions(pairs: DataFrame, edges: DataFrame, a: str = "a", b: str =
 
 
 def cosine_top_k(vectors: DataFrame, query: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding", block: int = 10_000) -> DataFrame:
-    """(query_id, vec_id, similarity, rank): the k nearest of all vectors for each query vector.
+    """(query_id, vec_id, similarity, rank): the k nearest of all vectors for each query vector; ties go by id.
 
-    The queries are broadcast in blocks, by hash of their id, of about ``block`` at most; each block reads all vectors.
+    The queries are broadcast in blocks, by hash of their id, of about ``block`` at most; each block reads all vectors once. A
+    task multiplies its vectors with the block as matrices and keeps k for each query, so that at most k rows a query and task
+    shuffle. A null or zero vector has similarity 0 to every other; vectors of one table have one length.
     """
-    q = query.select(F.col(id_col).alias("query_id"), F.col(vec_col).alias("_q"))
+    q = query.select(F.col(id_col).alias("query_id"), F.col(vec_col).cast("array<double>").alias("_q"))
     n = q.count()
-    if n <= block:
-        return _nearest(vectors, q, k, id_col, vec_col)
-    blocks = -(-2 * n // block)  # twice as many as fit, as the hash doesn't deal evenly
+    blocks = 1 if n <= block else -(-2 * n // block)  # twice as many as fit, as the hash doesn't deal evenly
     of = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    return reduce(DataFrame.unionByName, (_nearest(vectors, q.filter(of == i), k, id_col, vec_col) for i in range(blocks)))
+    near = reduce(DataFrame.unionByName, (_nearest(vectors, q if blocks == 1 else q.filter(of == i), k, id_col, vec_col) for i in range(blocks)))
+    by = Window.partitionBy("query_id").orderBy(F.desc("similarity"), id_col)
+    return near.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
 
 
-def _nearest(vectors: DataFrame, q: DataFrame, k: int, id_col: str, vec_col: str) -> DataFrame:
+def _unit(rows: list, dim: int) -> np.ndarray:
+    out = np.zeros((len(rows), dim))
+    for i, r in enumerate(rows):
+        if r is not None:
+            out[i] = r
+    size = np.sqrt((out * out).sum(1, keepdims=True))
+    return np.divide(out, size, out=np.zeros_like(out), where=size > 0)
 
-    def dot(x: str, y: str):
-        return F.aggregate(F.zip_with(x, y, lambda p, r: p.cast("double") * r.cast("double")), F.lit(0.0), lambda s, v: s + v)
 
-    pairs = vectors.select(F.col(id_col), F.col(vec_col).alias("_v")).join(F.broadcast(q), F.col(id_col) != F.col("query_id"))
-    scored = pairs.select("query_id", id_col, (dot("_q", "_v") / F.sqrt(dot("_q", "_q") * dot("_v", "_v"))).alias("similarity"))
-    by = Window.partitionBy("query_id").orderBy(F.desc("similarity"), id_col)
-    return scored.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
+def _nearest(vectors: DataFrame, q: DataFrame, k: int, id_col: str, vec_col: str) -> DataFrame:
+    """Of each task's vectors the k nearest to each query of one block."""
+    asked = q.collect()  # one block
+    dim = max((len(r["_q"]) for r in asked if r["_q"] is not None), default=0)
+    told = vectors.sparkSession.sparkContext.broadcast(([r["query_id"] for r in asked], _unit([r["_q"] for r in asked], dim)))
+    types = dict(vectors.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, matrix = told.value
+        best: list[list[tuple[float, object]]] = [[] for _ in names]  # (-similarity, id), sorted
+        floor = np.full(len(names), -np.inf)
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                ids = part.column(0).to_pylist()
+                near = np.round(_unit(part.column(1).to_pylist(), dim) @ matrix.T, 12)
+                for j in np.flatnonzero((near >= floor).any(0)).tolist():
+                    own = best[j]
+                    own += [(-float(near[i, j]), ids[i]) for i in np.flatnonzero(near[:, j] >= floor[j]).tolist() if ids[i] != names[j]]
+                    own.sort()
+                    del own[k:]
+                    if len(own) == k:
+                        floor[j] = -own[-1][0]
+        for lo in range(0, len(names), 1000):
+            rows = [(n, i, -s) for n, own in zip(names[lo : lo + 1000], best[lo : lo + 1000], strict=True) for s, i in own]
+            cols = list(zip(*rows, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], kinds[0]), pa.array(cols[1], kinds[1]), pa.array(cols[2], pa.float64())], ["query_id", id_col, "similarity"])
+
+    kinds = [pa.string() if t == "string" else pa.int64() if t == "bigint" else pa.int32() for t in (dict(q.dtypes)["query_id"], types[id_col])]
+    return vectors.filter(F.col(id_col).isNotNull()).select(id_col, F.col(vec_col).cast("array<double>")).mapInArrow(run, f"query_id {dict(q.dtypes)['query_id']}, `{id_col}` {types[id_col]}, similarity double")
+
+
+def local_search(vectors: DataFrame, query: DataFrame, edges: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """(query_id, node, similarity, rank, neighbor, description): the k nodes nearest to each query and what they are linked with;
+    a node without a link has one row."""
+    near = cosine_top_k(vectors, query, k, id_col, vec_col).withColumnRenamed(id_col, "node")
+    return near.join(adjacency(edges.select("a", "b", "description")), "node", "left").select("query_id", "node", "similarity", "rank", "neighbor", "description")

@@ -14,8 +14,8 @@ from ..functions.text import entity_key
 
 
 def longest_first(text: str, ord: str = "ord") -> Column:
-    """The longest text, the earliest on ties."""
-    return F.max_by(F.col(text), F.struct(F.length(text), -F.col(ord)))
+    """The longest text, the earliest on ties; ``ord`` may be of any type that has an order. Null texts count only where all are."""
+    return F.min_by(F.col(text), F.when(F.col(text).isNotNull(), F.struct((-F.length(text)).alias("n"), F.col(ord).alias("o"))))
 
 
 def _sources(df: DataFrame, keys: list[str]) -> DataFrame:

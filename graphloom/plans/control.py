@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass, field, fields, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import ranked
+
 #: Pipelines by preset.
 PRESETS = {"4090": 2, "dual4090": 4, "8x5090": 16, "bigpu": 4, "max": 16}
 
@@ -28,18 +30,16 @@ def ranges(total: int, parts: int) -> list[tuple[int, int]]:
 
 
 def assign_ranges(work: DataFrame, parts: int, ord: str = "ord") -> DataFrame:
-    """Adds ``pipeline_id`` by balanced ranges of a dense 0-based ``ord``; no window over the whole table is needed."""
+    """Adds ``pipeline_id`` by balanced ranges in the order of ``ord``, which may have gaps and ties; the rows are numbered by a range
+    sort, without a window over the whole table."""
+    columns = work.columns
+    work = ranked(work, ord, name="_rank")
     total = work.count()
     size, more = divmod(total, parts)
     cut = more * (size + 1)
-    o = F.col(ord)
+    o = F.col("_rank")
     upper = F.lit(more) + F.floor((o - cut) / F.lit(max(size, 1)))
-    return work.withColumn("pipeline_id", F.when(o < cut, F.floor(o / (size + 1))).otherwise(upper).cast("int"))
-
-
-def ntile_ranges(work: DataFrame, parts: int, ord: str = "ord", by: list[str] | None = None) -> DataFrame:
-    """The same by ``ntile`` within groups, where ``ord`` isn't dense."""
-    return work.withColumn("pipeline_id", F.ntile(parts).over(Window.partitionBy(*(by or [])).orderBy(ord)) - 1)
+    return work.withColumn("pipeline_id", F.when(o < cut, F.floor(o / (size + 1))).otherwise(upper).cast("int")).select(*columns, "pipeline_id")
 
 
 def valid(chunks: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ A staged table is computed once, cuts lineage, and outlives lost executors.
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -15,13 +16,15 @@ _staged: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session, or a folder of this process where it is unset (local runs, tests)."""
+    """spark.checkpoint.dir of the session, or a folder of this process where it is unset and the master is local (tests)."""
     told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if told:
         return told
     set_before = spark.sparkContext._jsc.sc().getCheckpointDir()
     if set_before.isDefined():
         return set_before.get()
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     own = f"file://{tempfile.mkdtemp(prefix='graphloom-')}"
     spark.conf.set("spark.checkpoint.dir", own)
     return own

@@ -68,21 +68,25 @@ def _escaped(c: Column) -> Column:
 
 
 def graphml_lines(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(part, line): a GraphML document's elements, nodes (key, name, entity_type, description) before edges
-    (a, b, relation, description, weight). Key names are the attributes' names."""
+    """(part, ord, line): a GraphML document's elements, nodes (key, name, entity_type, description) before edges
+    (a, b, relation, description, weight), each in the order of their ``ord`` where they have one, as the order of nodes
+    decides from which end an edge is read. Key names are the attributes' names."""
     def data(name: str, column: str) -> Column:
         return F.concat(F.lit(f'<data key="{name}">'), _escaped(F.col(column)), F.lit("</data>"))
 
-    n = nodes.select(F.lit(1).alias("part"), F.concat(F.lit('<node id="'), _escaped(F.col("key")), F.lit('">'), data("entity_name", "name"), data("entity_type", "entity_type"), data("description", "description"), F.lit("</node>")).alias("line"))
-    e = edges.select(F.lit(2).alias("part"), F.concat(F.lit('<edge source="'), _escaped(F.col("a")), F.lit('" target="'), _escaped(F.col("b")), F.lit('">'), data("relation", "relation"), data("description", "description"), data("weight", "weight"), F.lit("</edge>")).alias("line"))
+    def place(df: DataFrame) -> Column:
+        return (F.col("ord").cast("long") if "ord" in df.columns else F.lit(0).cast("long")).alias("ord")
+
+    n = nodes.select(F.lit(1).alias("part"), place(nodes), F.concat(F.lit('<node id="'), _escaped(F.col("key")), F.lit('">'), data("entity_name", "name"), data("entity_type", "entity_type"), data("description", "description"), F.lit("</node>")).alias("line"))
+    e = edges.select(F.lit(2).alias("part"), place(edges), F.concat(F.lit('<edge source="'), _escaped(F.col("a")), F.lit('" target="'), _escaped(F.col("b")), F.lit('">'), data("relation", "relation"), data("description", "description"), data("weight", "weight"), F.lit("</edge>")).alias("line"))
     return n.unionByName(e)
 
 
 def write_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     spark = nodes.sparkSession
     keys = "".join(f'<key id="{k}" for="{w}" attr.name="{k}" attr.type="{t}"/>' for k, w, t in (("entity_name", "node", "string"), ("entity_type", "node", "string"), ("description", "all", "string"), ("relation", "edge", "string"), ("weight", "edge", "double")))
-    head = spark.createDataFrame([(0, f'<graphml><!-- undirected -->{keys}<graph edgedefault="undirected">'), (3, "</graph></graphml>")], "part int, line string")
-    graphml_lines(nodes, edges).unionByName(head).orderBy("part", "line").coalesce(1).select("line").write.mode("overwrite").text(path)
+    head = spark.createDataFrame([(0, 0, f'<graphml><!-- undirected -->{keys}<graph edgedefault="undirected">'), (3, 0, "</graph></graphml>")], "part int, ord long, line string")
+    graphml_lines(nodes, edges).unionByName(head).orderBy("part", "ord", "line").coalesce(1).select("line").write.mode("overwrite").text(path)
 
 
 def html_view(nodes: DataFrame, edges: DataFrame, most: int = 500) -> str:
