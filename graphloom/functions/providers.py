@@ -6,10 +6,14 @@ Calls run per partition and are idempotent by content, so a retried task asks ag
 from __future__ import annotations
 
 import hashlib
+import json
+import logging
 import re
 import time
+import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
@@ -18,8 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+log = logging.getLogger(__name__)
+
+
 class Completer(Protocol):
-    def complete(self, prompt: str) -> str: ...
+    def complete(self, prompt: str, temperature: float | None = None) -> str: ...
 
     def ping(self) -> bool: ...
 
@@ -29,7 +36,7 @@ class Completer(Protocol):
 class Echo:
     """The offline completer: no answer."""
 
-    def complete(self, prompt: str) -> str:
+    def complete(self, prompt: str, temperature: float | None = None) -> str:
         return ""
 
     def ping(self) -> bool:
@@ -39,6 +46,63 @@ class Echo:
         pass
 
 
+def _request(url: str, body: dict | None, timeout: float) -> dict:
+    data = None if body is None else json.dumps(body).encode()
+    with urllib.request.urlopen(urllib.request.Request(url, data, {"Content-Type": "application/json"}), timeout=timeout) as r:
+        return json.loads(r.read() or b"{}")
+
+
+@dataclass
+class ChatService:
+    """A completer over HTTP, by the widespread chat-completions interface."""
+
+    url: str
+    model: str
+    temperature: float = 0.0
+    most_tokens: int = 1500
+    timeout: float = 60.0
+
+    def complete(self, prompt: str, temperature: float | None = None) -> str:
+        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "temperature": self.temperature if temperature is None else temperature, "max_tokens": self.most_tokens}
+        return _request(f"{self.url.rstrip('/')}/chat/completions", body, self.timeout)["choices"][0]["message"]["content"] or ""
+
+    def ping(self) -> bool:
+        """Whether the service lists its models and completes a word."""
+        try:
+            _request(f"{self.url.rstrip('/')}/models", None, self.timeout)
+            ChatService(self.url, self.model, most_tokens=5, timeout=self.timeout).complete("ok")
+            return True
+        except Exception as e:
+            log.error("no answer from %s: %s", self.url, e)
+            return False
+
+    def close(self) -> None:
+        pass
+
+
+@dataclass
+class EmbeddingService:
+    """A vector function over HTTP: posts model and prompt, reads ``embedding``."""
+
+    url: str
+    model: str
+    timeout: float = 60.0
+
+    def __call__(self, text: str) -> np.ndarray:
+        return np.asarray(_request(f"{self.url.rstrip('/')}/api/embeddings", {"model": self.model, "prompt": text}, self.timeout)["embedding"], np.float32)
+
+    def ping(self) -> bool:
+        """Whether the service has the model, or can fetch it."""
+        try:
+            names = {m["name"] for m in _request(f"{self.url.rstrip('/')}/api/tags", None, self.timeout).get("models", [])}
+            if self.model not in names | {n.split(":")[0] for n in names}:
+                _request(f"{self.url.rstrip('/')}/api/pull", {"name": self.model}, 5 * self.timeout)
+            return True
+        except Exception as e:
+            log.error("no answer from %s: %s", self.url, e)
+            return False
+
+
 def with_retries(call: Callable[[], str], tries: int = 3, wait: float = 1.0) -> str:
     """Up to ``tries`` calls, waiting longer each time; then RuntimeError."""
     for k in range(1, tries + 1):
@@ -51,20 +115,21 @@ def with_retries(call: Callable[[], str], tries: int = 3, wait: float = 1.0) ->
     raise ValueError("tries must be positive")
 
 
-def complete_batch(completer: Completer, prompts: list[str], at_once: int = 10, tries: int = 3, wait: float = 1.0) -> list[str]:
+def complete_batch(completer: Completer, prompts: list[str], at_once: int = 10, tries: int = 3, wait: float = 1.0, temperatures: list[float] | None = None) -> list[str]:
     """Answers in the order of the prompts; a failure is an empty answer."""
-    def one(p: str) -> str:
+    def one(p: str, t: float | None) -> str:
         try:
-            return with_retries(lambda: completer.complete(p), tries, wait)
-        except RuntimeError:
+            return with_retries(lambda: completer.complete(p) if t is None else completer.complete(p, t), tries, wait)
+        except RuntimeError as e:
+            log.warning("%s", e)
             return ""
 
     with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(one, prompts))
+        return list(pool.map(one, prompts, temperatures or [None] * len(prompts)))
 
 
-def complete(df: DataFrame, prompt: str, make: Callable[[], Completer] = Echo, at_once: int = 10) -> DataFrame:
-    """``df`` with column ``completion``; one completer per partition, closed at its end."""
+def complete(df: DataFrame, prompt: str, make: Callable[[], Completer] = Echo, at_once: int = 10, temperature: str | None = None, tries: int = 3, wait: float = 1.0) -> DataFrame:
+    """``df`` with column ``completion``; one completer per partition, closed at its end. ``temperature`` names a column."""
     kinds = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
     at = df.columns.index(prompt)
 
@@ -72,10 +137,14 @@ def complete(df: DataFrame, prompt: str, make: Callable[[], Completer] = Echo, a
         own = make()
         try:
             for b in batches:
-                said = complete_batch(own, [p or "" for p in b.column(at).to_pylist()], at_once)
+                heat = b.column(b.schema.names.index(temperature)).to_pylist() if temperature else None
+                said = complete_batch(own, [p or "" for p in b.column(at).to_pylist()], at_once, tries, wait, heat)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(said, pa.string())], [*b.schema.names, "completion"])
         finally:
-            own.close()
+            try:
+                own.close()
+            except Exception as e:
+                log.error("closing failed: %s", e)
 
     return df.mapInArrow(run, f"{kinds}, completion string")
 
@@ -98,15 +167,16 @@ def hashed_vector(text: str, dim: int = 768) -> np.ndarray:
     return v / n if n else v
 
 
-def embed(df: DataFrame, text: str, vector: Callable[[str], np.ndarray] = hashed_vector, dim: int = 768) -> DataFrame:
-    """``df`` with column ``embedding``; a text that fails gives zeros."""
+def embed(df: DataFrame, text: str, vector: Callable[[str], np.ndarray] = hashed_vector, dim: int = 768, tries: int = 3, wait: float = 1.0) -> DataFrame:
+    """``df`` with column ``embedding``; a text that fails ``tries`` times gives zeros."""
     kinds = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
     at = df.columns.index(text)
 
     def one(t: str | None) -> np.ndarray:
         try:
-            return np.asarray(vector(t or ""), np.float32)
-        except Exception:
+            return np.asarray(with_retries(lambda: vector(t or ""), tries, wait), np.float32)
+        except RuntimeError as e:
+            log.error("%s", e)
             return np.zeros(dim, np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -137,3 +137,8 @@ def reason_bucket(x: Column | str) -> Column:
 def label(x: Column | str, most: int = 40, keep: int = 37) -> Column:
     x = _c(x)
     return F.when(F.length(x) >= most, F.concat(F.substring(x, 1, keep), F.lit("..."))).otherwise(x)
+
+
+def shorten(x: Column | str, most: int = 300) -> Column:
+    x = _c(x)
+    return F.when(F.length(x) > most, F.concat(F.substring(x, 1, most), F.lit("..."))).otherwise(x)

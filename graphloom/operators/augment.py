@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.providers import Completer, Echo, complete, parse_reply
+from ..functions.text import fill
+from ..plans.staging import stage
+
 # Groups of interchangeable question phrasings, terms with alternatives, connectors with alternatives.
 QUESTION_GROUPS = [
     ["Qu'est-ce que", "Que designe", "Comment definit-on", "Quelle est la notion de"],
@@ -129,3 +133,32 @@ def augment(pairs: DataFrame, n: int = 3, seed: int = 0) -> DataFrame:
     if kinds.get("metadata") == "map<string,string>":
         out = out.withColumn("metadata", F.when(F.col("variant") > 0, F.map_concat(F.map_filter("metadata", lambda k, v: ~k.isin("augmented")), F.create_map(F.lit("augmented"), F.lit("true")))).otherwise(F.col("metadata")))
     return out
+
+
+REPHRASE = """Voici une question et sa reponse, en comptabilite francaise. Redis les deux autrement, sans changer ni le sens ni les donnees techniques.
+Rends seulement un objet JSON avec les champs question et answer.
+
+Question : {question}
+Reponse : {answer}"""
+
+
+def augment_by_model(pairs: DataFrame, n: int = 3, make: Callable[[], Completer] = Echo, temperature: float = 0.8, step: float = 0.1, most_answer: int = 1000, tries: int = 1) -> tuple[DataFrame, DataFrame]:
+    """The pairs (variant 0), then what a language model makes of each in ``n`` calls, each ``step`` warmer than the one before; and
+    one row of counts: originals, variants, failed, attempts. A reply that isn't the wanted JSON, or too short, gives no variant;
+    a call without an answer counts as failed."""
+    calls = pairs.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 0 else F.lit(None).cast("int")).filter("attempt is not null")
+    asked = calls.withColumns({"_prompt": fill(REPHRASE, question=F.col("question"), answer=F.substring("answer", 1, most_answer)), "_heat": F.lit(float(temperature)) + F.col("attempt") * step})
+    said = stage(complete(asked, "_prompt", make, temperature="_heat", tries=tries).withColumn("_r", parse_reply("completion")), "replies")
+    kinds = dict(pairs.dtypes)
+    fresh = said.filter("_r is not null").withColumns({"question": F.trim("_r.q"), "answer": F.trim("_r.a"), "variant": F.col("attempt") + 1})
+    if kinds.get("metadata") == "map<string,string>":
+        marks = F.create_map(F.lit("augmented"), F.lit("true"), F.lit("augment_method"), F.lit("model"))
+        fresh = fresh.withColumn("metadata", F.map_concat(F.map_filter("metadata", lambda k, v: ~k.isin("augmented", "augment_method")), marks))
+    out = pairs.withColumn("variant", F.lit(0)).unionByName(fresh.select(*pairs.columns, "variant"))
+    counts = said.agg(F.count_if(F.col("_r").isNotNull()).alias("variants"), F.count_if(F.col("completion") == "").alias("failed"), F.count(F.lit(1)).alias("attempts"))
+    return out, counts.crossJoin(pairs.agg(F.count(F.lit(1)).alias("originals"))).select("originals", "variants", "failed", "attempts")  # one row each
+
+
+def augmenter(n: int, make: Callable[[], Completer] | None = None, seed: int = 0) -> Callable[[DataFrame], DataFrame]:
+    """By a model where ``make`` gives one, else by templates."""
+    return (lambda pairs: augment_by_model(pairs, n, make)[0]) if make else (lambda pairs: augment(pairs, n, seed))

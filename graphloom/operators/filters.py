@@ -41,7 +41,7 @@ def dedupe_questions(filtered: DataFrame) -> DataFrame:
     accepted = filtered.filter("reason is null").withColumn("_k", F.coalesce(question_key("question"), F.lit("")))
     # the first of each question is an aggregate, so that a very common question is combined map-side
     first = accepted.groupBy("_k").agg(F.min("ord").alias("_first"), F.min_by("question", "ord").alias("_q"))
-    marked = accepted.join(first, "_k").withColumn("reason", F.when(F.col("ord") != F.col("_first"), F.concat(F.lit("duplicate_of:"), F.substring("_q", 1, 60))))
+    marked = accepted.join(first, "_k").withColumn("reason", F.when(F.col("ord") != F.col("_first"), F.concat(F.lit("duplicate_of:"), F.substring(F.coalesce("_q", F.lit("")), 1, 60))))
     return filtered.filter("reason is not null").unionByName(marked.drop("_k", "_first", "_q"))
 
 

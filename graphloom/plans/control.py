@@ -46,7 +46,7 @@ def valid(chunks: DataFrame) -> DataFrame:
     return chunks.filter(F.coalesce("text", F.lit("")) != "")
 
 
-def pending(work: DataFrame, completed: DataFrame, key: str = "hash_id") -> DataFrame:
+def pending(work: DataFrame, completed: DataFrame, key: str | list[str] = "hash_id") -> DataFrame:
     return work.join(completed.select(key).distinct(), key, "left_anti")
 
 
@@ -56,6 +56,44 @@ def totals(results: DataFrame) -> DataFrame:
     return results.agg(F.sum("processed").alias("processed"), F.sum("total").alias("total"), F.count_if(F.col("status") != "ok").alias("failed"), F.when(F.max("duration_ms") > 0, F.bround(F.sum("processed") / minutes, 1)).otherwise(F.lit(0.0)).alias("chunks_per_minute"))
 
 
+#: Where the settings of nested sections go: (section, key): field.
+SECTIONS = {
+    ("project", "name"): "name",
+    ("paths", "sources"): "input_dir",
+    ("paths", "output"): "output_dir",
+    ("chunking", "profile"): "profile",
+    ("chunking", "max_chunk_size"): "max_chunk_size",
+    ("chunking", "min_chunk_size"): "min_chunk_size",
+    ("extraction", "cleanup_patterns"): "cleanup",
+    ("llm", "url"): "llm_url",
+    ("llm", "model"): "llm_model",
+    ("llm", "embedding_url"): "embedding_url",
+    ("llm", "embedding_model"): "embedding_model",
+    ("llm", "embedding_dim"): "embedding_dim",
+    ("finetune", "system_prompt"): "system_prompt",
+    ("finetune", "strategies"): "strategies",
+    ("finetune", "format"): "format",
+    ("finetune", "augment"): "augment",
+}
+
+
+def _flat(values: dict) -> dict:
+    """Nested sections as fields; empty values leave the defaults."""
+    out = {k: v for k, v in values.items() if not isinstance(v, dict) or k == "training"}
+    for (section, key), field_name in SECTIONS.items():
+        v = (values.get(section) or {}).get(key) if isinstance(values.get(section), dict) else None
+        if v not in (None, "", []):
+            out[field_name] = v
+    finetune = values.get("finetune")
+    limits = finetune.get("filters") if isinstance(finetune, dict) else None
+    for key in ("min_question_length", "min_answer_length", "max_answer_length", "deduplicate"):
+        if isinstance(limits, dict) and limits.get(key) is not None:
+            out[key] = limits[key]
+    if isinstance(out.get("training"), dict):
+        out["training"] = {k: v for k, v in out["training"].items() if v is not None}
+    return out
+
+
 @dataclass
 class Config:
     name: str = "project"
@@ -72,6 +110,12 @@ class Config:
     min_question_length: int = 10
     min_answer_length: int = 50
     max_answer_length: int = 2000
+    deduplicate: bool = True
+    llm_url: str | None = None
+    llm_model: str | None = None
+    embedding_url: str | None = None
+    embedding_model: str | None = None
+    embedding_dim: int = 768
     augment: int = 0
     seed: int = 0
     training: dict[str, Any] = field(default_factory=lambda: {"epochs": 3, "batch_size": 4, "gradient_accumulation": 4, "learning_rate": 2e-4, "lora_r": 16, "lora_alpha": 16, "save_method": "lora"})
@@ -80,6 +124,7 @@ class Config:
     def of(cls, values: dict) -> Config:
         if not isinstance(values, dict):
             raise ValueError("a configuration is a mapping")
+        values = _flat(values)
         known = {f.name for f in fields(cls)}
         own = {k: v for k, v in values.items() if k in known and v is not None}
         if "training" in own:

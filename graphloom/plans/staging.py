@@ -39,6 +39,31 @@ def stage(df: DataFrame, tag: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, in any store that Spark's readers know, without a Spark job."""
+    store, at = _file(spark, path)
+    out = store.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, at = _file(spark, path)
+    return bool(store.exists(at))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    store, at = _file(spark, path)
+    store.delete(at, True)
+
+
 def drop_staged() -> None:
     """Deletes this process's staged tables; called at exit, or sooner by whoever has read the results."""
     while _staged:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.ranks import ranked
+
 SYSTEM_PROMPT = "Tu es un expert en comptabilite."
 
 
@@ -45,6 +47,17 @@ def write_jsonl(pairs: DataFrame, path: str, kind: str = "openai", single: bool
     return pairs.sparkSession.read.text(path).count()
 
 
+def write_kv(store: DataFrame, path: str) -> int:
+    """A key-value table (key, value as JSON text) as one JSON object in the order of keys; nothing is written for no entries."""
+    n = store.count()
+    if n:
+        rows = ranked(store.select("key", "value"), "key")
+        entry = F.concat(F.to_json(F.struct(F.col("key").alias("k"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col("key").alias("k")))) - 6), F.lit(": "), "value", F.when(F.col("rank") < n - 1, F.lit(",")).otherwise(F.lit("")))
+        ends = store.sparkSession.createDataFrame([(-1, "{"), (n, "}")], "rank long, line string")
+        rows.select("rank", entry.alias("line")).unionByName(ends).orderBy("rank").coalesce(1).select("line").write.mode("overwrite").text(path)
+    return n
+
+
 def write_rejected(judged: DataFrame, path: str) -> None:
     judged.filter("reason is not null").select("question", "answer", F.col("strategy_name").alias("strategy"), "reason").write.mode("overwrite").json(path)
 
@@ -89,17 +102,47 @@ def write_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     graphml_lines(nodes, edges).unionByName(head).orderBy("part", "ord", "line").coalesce(1).select("line").write.mode("overwrite").text(path)
 
 
-def html_view(nodes: DataFrame, edges: DataFrame, most: int = 500) -> str:
-    """A small page with the ``most`` nodes of highest degree and the edges among them."""
-    import json
+# The colour of each entity type.
+TYPE_COLORS = {"concept": "#7c3aed", "content": "#2563eb", "data": "#059669", "method": "#d97706", "artifact": "#dc2626", "organization": "#db2777", "event": "#0891b2", "location": "#65a30d", "UNKNOWN": "#6b7280"}
+
 
-    from ..functions.text import label
+def view_nodes(nodes: DataFrame, edges: DataFrame, most: int = 500) -> DataFrame:
+    """(node, label, entity_type, color, size, title) of the ``most`` nodes of highest degree."""
+    from ..functions.text import first_description, label, shorten
     from ..operators.graph import centrality
 
     top = centrality(nodes.select(F.col("key").alias("node")), edges).orderBy(F.desc("degree"), "node").limit(most)
-    shown = top.join(nodes.select(F.col("key").alias("node"), label("name").alias("label"), "entity_type"), "node").collect()
-    keys = {r.node for r in shown}
-    few = top.select("node")
-    lines = edges.join(F.broadcast(few.withColumnRenamed("node", "a")), "a", "left_semi").join(F.broadcast(few.withColumnRenamed("node", "b")), "b", "left_semi").select("a", "b").limit(20 * most).collect()
-    data = {"nodes": [{"id": r.node, "label": r.label, "group": r.entity_type, "size": r["size"]} for r in shown], "edges": [{"from": r.a, "to": r.b} for r in lines if r.a in keys and r.b in keys]}
-    return f"<!doctype html><meta charset=utf-8><title>graph</title><script>const graph = {json.dumps(data, ensure_ascii=False).replace('</', '<' + chr(92) + '/')};</script><pre id=g></pre><script>document.getElementById('g').textContent = JSON.stringify(graph, null, 1)</script>"
+    said = nodes.select(F.col("key").alias("node"), "name", F.coalesce("entity_type", F.lit("UNKNOWN")).alias("entity_type"), shorten(first_description(F.coalesce("description", F.lit("")))).alias("said"))
+    color = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in TYPE_COLORS.items() for x in kv]), F.col("entity_type")), F.lit(TYPE_COLORS["UNKNOWN"]))
+    title = F.concat_ws("\n", "name", F.concat(F.lit("Type: "), "entity_type"), F.concat(F.lit("Degree: "), F.col("degree").cast("string")), "said")
+    return top.join(said, "node").select("node", label("name").alias("label"), "entity_type", color.alias("color"), "size", title.alias("title"), "degree")
+
+
+def view_edges(edges: DataFrame, shown: DataFrame) -> DataFrame:
+    """(a, b, width, title) of the edges among the nodes that are ``shown``."""
+    few = shown.select("node")
+    among = edges.join(F.broadcast(few.withColumnRenamed("node", "a")), "a", "left_semi").join(F.broadcast(few.withColumnRenamed("node", "b")), "b", "left_semi")
+    weight = F.coalesce(F.col("weight").cast("double"), F.lit(1.0)) if "weight" in edges.columns else F.lit(1.0)
+    return among.select("a", "b", F.least(weight * 1.5, F.lit(5.0)).alias("width"), F.concat("a", F.lit(" → "), "b", F.lit("\n"), F.substring(F.coalesce("description", F.lit("")), 1, 200) if "description" in edges.columns else F.lit("")).alias("title"))
+
+
+def html_view(nodes: DataFrame, edges: DataFrame, most: int = 500) -> str:
+    """A page that draws the ``most`` nodes of highest degree on rings, with the edges among them, tooltips and a legend."""
+    from html import escape
+    from math import cos, pi, sin
+
+    shown = view_nodes(nodes, edges, most)
+    circles = shown.orderBy(F.desc("degree"), "node").collect()
+    lines = view_edges(edges, shown).orderBy("a", "b").limit(20 * most).collect()
+    place, ring, left = {}, 0, list(circles)
+    while left:
+        on = max(1, 12 * ring)
+        for i, r in enumerate(left[:on]):
+            place[r.node] = (90 * ring * cos(2 * pi * i / on), 90 * ring * sin(2 * pi * i / on))
+        left, ring = left[on:], ring + 1
+    reach = 90 * ring + 60
+    drawn = [f'<line x1="{place[r.a][0]:.0f}" y1="{place[r.a][1]:.0f}" x2="{place[r.b][0]:.0f}" y2="{place[r.b][1]:.0f}" stroke="#475569" stroke-width="{r.width:.1f}"><title>{escape(r.title)}</title></line>' for r in lines]
+    drawn += [f'<circle cx="{place[r.node][0]:.0f}" cy="{place[r.node][1]:.0f}" r="{r["size"] / 2:.1f}" fill="{r.color}"><title>{escape(r.title)}</title></circle><text x="{place[r.node][0]:.0f}" y="{place[r.node][1] + r["size"] / 2 + 10:.0f}">{escape(r.label)}</text>' for r in circles]
+    used = {r.entity_type: r.color for r in circles}
+    legend = "".join(f'<div><span style="color:{c}">●</span> {escape(t)}</div>' for t, c in sorted(used.items()))
+    return f'<!doctype html><meta charset="utf-8"><title>graph</title><style>body{{background:#1a1a2e;color:#e2e8f0;font-family:sans-serif}}text{{fill:#e2e8f0;font-size:9px;text-anchor:middle}}#key{{position:fixed;top:10px;right:10px}}</style><div id="key">{legend}<p>{len(circles)} nodes, {len(lines)} edges, {len(used)} types</p></div><svg viewBox="{-reach} {-reach} {2 * reach} {2 * reach}">{"".join(drawn)}</svg>'

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, normalize, split_clean, strip
+from ..plans.staging import exists
 
 KEPT = {"entity_name", "entity_type", "description", "source_id", "relation", "weight", "keywords"}
 _DATA = "array<struct<_key:string,_VALUE:string>>"
@@ -79,7 +80,7 @@ def relation_content(content: str) -> tuple[Column, Column]:
 
 def kv_store(spark: SparkSession, path: str) -> DataFrame:
     """(ord, key, value as JSON text) of a JSON object."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.posexplode(F.from_json("value", "map<string,string>")).alias("ord", "key", "value")).withColumn("ord", F.col("ord").cast("long"))
 
 
@@ -108,6 +109,16 @@ def entity_texts(entities: DataFrame, chunks: DataFrame) -> DataFrame:
     return got.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("pos", "content"))).alias("x")).select("name", F.transform("x", lambda x: x["content"]).alias("texts"))
 
 
+def entities_of_type(entities: DataFrame, kind: str) -> DataFrame:
+    return entities.filter(F.col("entity_type") == kind)
+
+
+def file_stats(spark: SparkSession, path: str) -> DataFrame:
+    """(name, bytes) of the JSON files of a graph folder; contents aren't read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"))
+
+
 def training_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("messages array<struct<role:string,content:string>>").json(path).filter("messages is not null")
 
@@ -116,8 +127,13 @@ SOURCE_BAR = "=" * 60
 
 
 def text_files(spark: SparkSession, path: str, parse: Callable[[bytes], list[str]] | None = None, glob: str = "*.pdf") -> DataFrame:
-    """(path, pages, chars, text) of the files of a folder. ``parse`` gives a file's pages; without one bytes are UTF-8."""
+    """(path, pages, chars, text) of the files of a folder. ``parse`` gives a file's pages; without one bytes are UTF-8.
+    A path that isn't there raises FileNotFoundError, one without files ValueError."""
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    if not files.select("path").limit(1).count():
+        raise ValueError(f"no {glob} in {path}")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -136,7 +152,3 @@ def combine_sources(files: DataFrame, by: list[str] | None = None, name: str = "
     rows = F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), part.alias("t"))))
     return files.groupBy(*(by or [])).agg(normalize(F.array_join(F.transform(rows, lambda r: r["t"]), "\n\n")).alias("text"), F.count(F.lit(1)).alias("files"))
 
-
-def ordered(df: DataFrame, *by: str) -> DataFrame:
-    """Adds ``ord`` by a total order; for small tables, as it sorts in one task."""
-    return df.withColumn("ord", F.row_number().over(Window.orderBy(*by)).cast("long"))

@@ -6,11 +6,14 @@ Streaming state is per phase, and the number of phases is small and fixed.
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.staging import write_text
+
 SCHEMA = "timestamp string, phase string, action string, details string, duration_ms long"
 
 
@@ -59,6 +62,14 @@ def windowed(events: DataFrame, time: str, every: str, late: str, *keys: str) ->
     return events.withWatermark(time, late).groupBy(F.window(time, every), *keys).count()
 
 
+def overall(journal: DataFrame, last_phase: str = "merge", ord: str = "timestamp") -> DataFrame:
+    """One row: status (no_data, incomplete, or complete once ``last_phase`` is), entries, the errors in order, first and last record."""
+    error = F.when(F.col("action") == "error", F.struct(F.col(ord).alias("at"), "phase", F.coalesce(F.get_json_object("details", "$.message"), F.lit("unknown")).alias("error")))
+    done = F.coalesce(F.max((F.col("action") == "complete") & (F.col("phase") == last_phase)), F.lit(False))
+    n = F.count(F.lit(1))
+    return journal.agg(F.when(n == 0, "no_data").when(done, "complete").otherwise("incomplete").alias("status"), n.alias("entries"), F.array_sort(F.collect_list(error)).alias("errors"), F.min(ord).alias("first"), F.max(ord).alias("last"))
+
+
 class Journal:
     """Appends records; a phase's duration runs from its start to its completion."""
 
@@ -66,8 +77,9 @@ class Journal:
         self.spark, self.path, self.began = spark, path, {}
 
     def append(self, phase: str, action: str, details: dict | None = None, duration_ms: int | None = None) -> None:
-        row = (datetime.now(UTC).isoformat(), phase, action, json.dumps(details or {}), duration_ms)
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").json(self.path)
+        now = datetime.now(UTC).isoformat()
+        row = {"timestamp": now, "phase": phase, "action": action, "details": json.dumps(details or {}), "duration_ms": duration_ms}
+        write_text(self.spark, f"{self.path}/{now.replace(':', '-')}-{uuid.uuid4().hex[:8]}.json", json.dumps(row) + "\n")
 
     def start(self, phase: str, **details) -> None:
         self.began[phase] = datetime.now(UTC)

@@ -3,7 +3,9 @@
 import json
 import math
 import random
+from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,3 +300,215 @@ def test_cosine_top_k_in_blocks(spark):
     few = v.limit(2)
     many = spark.range(10_001).crossJoin(v.limit(1).select("embedding")).withColumnRenamed("id", "vec_id")
     assert graph.cosine_top_k(few, many, 1).count() == 10_001
+
+
+# wrong results that must not come back ------------------------------------------------------------
+
+
+def test_null_pairs_are_empty_ones(spark):
+    long = "An answer that is long enough to be accepted by the rule on lengths."
+    rows = [(1, None, long), (2, "A question long enough?", None), (3, None, None), (4, "A question long enough?", long), (5, "a question LONG enough", long)]
+    pairs = spark.createDataFrame([(*r, "s", None) for r in rows], "ord long, question string, answer string, strategy_name string, source_entities array<string>")
+    got = {r.ord: r.reason for r in filters.dedupe_questions(filters.quality_filter(pairs)).collect()}
+    assert len(got) == 5 and got[4] is None and got[5].startswith("duplicate_of:")
+    assert got[1].startswith("question_too_short (0") and got[2].startswith("answer_too_short (0") and got[3].startswith("question_too_short")
+    kept = filters.dedupe_questions(spark.createDataFrame([(1, None, "x", None), (2, None, "y", None)], "ord long, question string, answer string, reason string"))
+    assert sorted(r.reason or "" for r in kept.collect()) == ["", "duplicate_of:"]
+
+
+def test_mentions_take_any_id(spark):
+    docs = spark.createDataFrame([(2**62, "Capital Reserve Capital\nBonjour Reserve"), (2**62 + 1, "Reserve Capital")], "doc_id long, text string")
+    found = providers.mentions(docs)
+    e = {r.key: r for r in merge.merge_entities(found.select("ord", "name", F.lit("c").alias("entity_type"), "description", F.array(F.col("doc_id").cast("string")).alias("sources"))).collect()}
+    assert e["capital"].records == 3 and len(e["capital"].sources) == 2 and e["capital"].description == "Capital Reserve Capital"
+    assert {(r.source, r.target) for r in providers.adjacent_relations(found).collect()} == {("Capital", "Reserve"), ("Reserve", "Capital"), ("Bonjour", "Reserve")}
+
+
+def test_ranges_of_sparse_keys(spark):
+    for keys, parts, want in ((range(9), 3, [3, 3, 3]), ([10**9 * k for k in range(10)], 3, [4, 3, 3]), ([5], 5, [1]), ([-7, -7, 3], 2, [2, 1]), ([], 3, [])):
+        work = spark.createDataFrame([(k,) for k in keys], "ord long")
+        got = control.assign_ranges(work, parts).orderBy("ord", "pipeline_id").collect()
+        ids = [r.pipeline_id for r in got]
+        assert ids == sorted(ids) and [ids.count(i) for i in sorted(set(ids))] == want
+
+
+def test_graphml_keeps_the_order_of_nodes(spark, tmp_path):
+    nodes = spark.createDataFrame([(i, k, k, "t", "d") for i, k in enumerate(["z", "b", "a"])], "ord long, key string, name string, entity_type string, description string")
+    edges = spark.createDataFrame([("a", "z", "r", "x", 1.0), ("b", "a", "r", "y", 1.0)], "a string, b string, relation string, description string, weight double")
+    formats.write_graphml(nodes, edges, f"{tmp_path}/g")
+    assert [r.node_id for r in kg.graphml_nodes(spark, f"{tmp_path}/g").orderBy("ord").collect()] == ["z", "b", "a"]
+    assert {(r.source, r.target) for r in kg.graphml_edges(spark, f"{tmp_path}/g").collect()} == {("z", "a"), ("b", "a")}
+
+
+def test_records_hold_whole_texts(spark):
+    long = "word " * 2000
+    pairs = spark.createDataFrame([(1, long, long + ".")], "ord long, question string, answer string")
+    said = formats.records(pairs, "openai", system="S").first().value
+    assert json.loads(said)["messages"] == [{"role": "system", "content": "S"}, {"role": "user", "content": long}, {"role": "assistant", "content": long + "."}]
+    assert json.loads(formats.records(pairs, "sharegpt").first().value)["conversations"] == [{"from": "human", "value": long}, {"from": "gpt", "value": long + "."}]
+
+
+# control ------------------------------------------------------------------------------------------
+
+
+def legal_docs(spark, n=6):
+    return spark.createDataFrame([(i, LEGAL.replace("111", f"{211 + i}")) for i in range(n)], "doc_id long, text string")
+
+
+def test_build_goes_on_where_it_broke_off(spark, tmp_path):
+    out, docs, config = f"{tmp_path}/kg", legal_docs(spark), control.Config(min_chunk_size=50, pipelines=3)
+    want = api.build(spark, docs, f"{tmp_path}/whole", config)
+    calls = []
+
+    def breaks(chunks):
+        calls.append(chunks.count())
+        if len(calls) == 2:
+            raise OSError("lost")
+        return api.extract(chunks)
+
+    assert api.build(spark, docs, out, config, extractor=breaks) is None
+    report = json.loads("".join(r.value for r in spark.read.text(f"{out}/timing_report.json", wholetext=True).collect()))
+    assert [r["success"] for r in report["pipeline_results"]] == [True, False, True] and report["failed"] == 1 and report["merged_graph"] is None
+    assert report["chunks_processed"] == calls[0] + calls[2] and report["pipeline_results"][1]["error"] == "lost"
+    status = journal.overall(journal.read(spark, f"{out}/journal")).first()
+    assert status.status == "incomplete" and [e.error for e in status.errors] == ["lost"]
+    again = []
+    nodes, edges = api.build(spark, docs, out, config, extractor=lambda c: again.append(c.count()) or api.extract(c))
+    assert again == [calls[1]]
+    n = nodes.count()
+    for got, own in ((nodes, want[0]), (edges, want[1])):
+        columns = [c for c in own.columns if c != "ord"]
+        assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, own.select(columns).collect()))
+    assert journal.overall(journal.read(spark, f"{out}/journal")).first().status == "complete"
+    assert api.build(spark, docs, out, config, extractor=lambda c: 1 / 0)[0].count() == n  # nothing is left to do
+    assert api.build(spark, docs, out, config, clean=True, skip_merge=True) is None
+    assert journal.overall(journal.read(spark, f"{tmp_path}/kg/journal")).first().errors == []
+
+
+def test_chunks_are_used_again(spark, tmp_path):
+    out, config = f"{tmp_path}/kg", control.Config(min_chunk_size=50)
+    first = api.cached_chunks(spark, legal_docs(spark, 2), out, config).count()
+    assert api.cached_chunks(spark, legal_docs(spark, 4), out, config).count() == first
+    assert api.cached_chunks(spark, legal_docs(spark, 4), out, config, force=True).count() == 2 * first
+    assert api.cached_chunks(spark, legal_docs(spark, 2), out, control.Config(min_chunk_size=51)).count() == first
+    (tmp_path / "kg" / "chunks" / "part-broken.parquet").write_bytes(b"no parquet")
+    assert api.cached_chunks(spark, legal_docs(spark, 2), out, control.Config(min_chunk_size=51)).count() == first
+
+
+def test_nested_configuration():
+    c = control.Config.of({"project": {"name": "p"}, "chunking": {"max_chunk_size": 9, "profile": ""}, "finetune": {"format": "alpaca", "filters": {"min_answer_length": 0, "deduplicate": False}}, "training": {"epochs": 7, "lora_r": None}, "llm": {"url": "http://x", "model": "m"}})
+    assert (c.name, c.max_chunk_size, c.profile, c.format, c.min_answer_length, c.deduplicate, c.llm_url) == ("p", 9, "pcg", "alpaca", 0, False, "http://x")
+    assert c.training["epochs"] == 7 and c.training["lora_r"] == 16 and control.Config.of({"name": "flat", "pipelines": 5}).pipelines == 5
+
+
+def test_train_report(spark, tmp_path):
+    (tmp_path / "r.jsonl").write_text(json.dumps({"messages": [{"role": "user", "content": "q"}]}) + "\n\n")
+    report = api.train(spark, f"{tmp_path}/r.jsonl", f"{tmp_path}/t", control.Config(), lambda path, settings: [{"step": 1, "loss": 2.0}, {"step": 2}, {"step": 3, "loss": 1.5}])
+    assert report["dataset_size"] == 1 and report["final_loss"] == 1.5 and len(report["loss_history"]) == 2 and report["effective_batch"] == 16
+    assert api.train(spark, f"{tmp_path}/r.jsonl", f"{tmp_path}/u")["final_loss"] is None
+
+
+def test_augment_by_model(spark):
+    class Parrot:
+        """Answers by temperature: JSON in a fence, too short, or nothing."""
+
+        def complete(self, prompt, temperature=None):
+            if "fail" in prompt:
+                raise OSError("down")
+            n = round((temperature - 0.8) * 10)
+            return ['```json\n{"question": " Autre question ? ", "answer": "Une autre reponse, assez longue pour compter."}\n```', '{"question": "q", "answer": "court"}', "no json"][n]
+
+        def ping(self):
+            return True
+
+        def close(self):
+            raise OSError("closing fails")
+
+    pairs = spark.createDataFrame([(1, "Question une ?", "Reponse une.", {"k": "v"}), (2, "fail", "Reponse deux.", {})], "ord long, question string, answer string, metadata map<string,string>")
+    out, counts = augment.augment_by_model(pairs, 3, Parrot)
+    rows = sorted((r.ord, r.variant, r.question, r.metadata.get("augment_method")) for r in out.collect())
+    assert rows == [(1, 0, "Question une ?", None), (1, 1, "Autre question ?", "model"), (2, 0, "fail", None)]
+    assert counts.first().asDict() == {"originals": 2, "variants": 1, "failed": 3, "attempts": 6}
+    assert augment.augmenter(2, Parrot)(pairs).count() == 3 and augment.augmenter(1)(pairs).count() >= 2
+
+
+def test_embed_tries_again(spark):
+    def vector(text):
+        if text == "bad":
+            raise OSError("down")
+        return np.ones(4)
+
+    df = spark.createDataFrame([("ok",), ("bad",), (None,)], "t string")
+    assert {r.t: sum(r.embedding) for r in providers.embed(df, "t", vector, 4, wait=0.0).collect()} == {"ok": 4, "bad": 0, None: 4}
+
+
+def test_services_report_what_fails():
+    assert not providers.ChatService("http://127.0.0.1:9", "m", timeout=0.2).ping()
+    assert not providers.EmbeddingService("http://127.0.0.1:9", "m", timeout=0.2).ping()
+
+
+def test_key_value_writer(spark, tmp_path):
+    store = spark.createDataFrame([('b "q"', '{"content": "x"}'), ("a", "1")], "key string, value string")
+    assert formats.write_kv(store, f"{tmp_path}/kv") == 2
+    got = [(r.key, json.loads(r.value)) for r in kg.kv_store(spark, f"{tmp_path}/kv").orderBy("ord").collect()]
+    assert got == [("a", 1), ('b "q"', {"content": "x"})]
+    assert formats.write_kv(store.limit(0), f"{tmp_path}/none") == 0 and not (tmp_path / "none").exists()
+
+
+def test_source_folders(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        kg.text_files(spark, f"{tmp_path}/none")
+    with pytest.raises(ValueError):
+        kg.text_files(spark, str(tmp_path))
+    (tmp_path / "kv_store_x.json").write_text("{}")
+    (tmp_path / "other.txt").write_text("x")
+    assert [tuple(r) for r in kg.file_stats(spark, str(tmp_path)).collect()] == [("kv_store_x.json", 2)]
+
+
+def test_entity_readers(spark):
+    entities = spark.createDataFrame([("A", "concept"), ("B", "data")], "name string, entity_type string")
+    assert [r.name for r in kg.entities_of_type(entities, "data").collect()] == ["B"]
+    store = spark.createDataFrame([("A", '{"chunk_ids": ["c2", "c1"]}'), ("X", '{"chunk_ids": ["c1"]}')], "key string, value string")
+    linked = kg.entity_chunks(store, entities)
+    assert {r.name: r.chunk_ids for r in linked.collect()} == {"A": ["c2", "c1"], "B": []}
+    chunks = spark.createDataFrame([("c1", "one"), ("c2", "two"), ("c3", "")], "chunk_id string, content string")
+    assert [tuple(r) for r in kg.entity_texts(linked, chunks).collect()] == [("A", ["two", "one"])]
+
+
+def test_view(spark):
+    nodes = spark.createDataFrame([("a", "A" * 50, "concept", "first<SEP>second"), ("b", "<B>", "odd", "x" * 400)], "key string, name string, entity_type string, description string")
+    edges = spark.createDataFrame([("a", "b", 9.0, "said")], "a string, b string, weight double, description string")
+    shown = {r.node: r for r in formats.view_nodes(nodes, edges).collect()}
+    assert shown["a"].label == "A" * 37 + "..." and shown["a"].color == "#7c3aed" and shown["b"].color == "#6b7280" and "first" in shown["a"].title and "second" not in shown["a"].title
+    assert shown["b"].title.endswith("x" * 300 + "...") and formats.view_edges(edges, formats.view_nodes(nodes, edges)).first().width == 5.0
+    page = formats.html_view(nodes, edges)
+    assert page.count("<circle") == 2 and page.count("<line") == 1 and "&lt;B&gt;" in page and "2 types" in page
+
+
+def test_windows_of_a_late_stream(spark, tmp_path):
+    """Records behind the watermark are dropped by a stream; the summary of what came is right."""
+    rows = [("2024-01-01 00:10:00", "a"), ("2024-01-01 05:10:00", "a"), ("2024-01-01 05:20:00", "b")]
+    schema = "ts timestamp, kind string"
+    for i, batch in enumerate((rows, [("2024-01-01 00:20:00", "a"), ("2024-01-01 07:10:00", "b")], [("2024-01-01 09:00:00", "b")])):
+        spark.createDataFrame(batch, "t string, kind string").select(F.to_timestamp("t").alias("ts"), "kind").coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+        events = spark.readStream.schema(schema).json(f"{tmp_path}/in")
+        q = journal.windowed(events, "ts", "1 hour", "1 hour", "kind").select(F.date_format("window.start", "HH").alias("hour"), "kind", "count")
+        q.writeStream.outputMode("append").format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert ("00", "a", 1) in got and ("05", "a", 1) in got and ("05", "b", 1) in got and ("00", "a", 2) not in got
+
+
+def test_nearest_vectors_against_brute_force(spark):
+    r = np.random.default_rng(3)
+    v = r.normal(size=(700, 5))
+    v[10], v[20], v[30] = v[11], 0, v[11] * 2
+    df = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)] + [(900, None)], "vec_id long, embedding array<double>").repartition(5)
+    got = defaultdict(list)
+    for x in graph.cosine_top_k(df, df.filter("vec_id % 100 = 10"), 7).orderBy("query_id", "rank").collect():
+        got[x.query_id].append(x.vec_id)
+    size = np.linalg.norm(v, axis=1)
+    for q, ids in got.items():
+        near = np.round(v @ v[q] / np.where(size * size[q] > 0, size * size[q], 1), 12)
+        want = sorted((-s, i) for i, s in [*enumerate(near), (900, 0.0)] if i != q)[:7]
+        assert ids == [i for _, i in want]
+    assert len(got) == 7
