@@ -18,6 +18,9 @@ Method
    shares with the last winner. Heads with different lengths are never compared by bytes, and equal lengths are compared
    from there on. The stream's common prefixes tell which suffixes agree for how long; with the bytes before the anchors
    they give the windows that repeat.
+   Of a group that shares its first K bytes at most ``HOT_GROUP`` suffixes are held: a larger one (a very common phrase among ever
+   different words) is handed on in parts of that size, each as the digests of its distinct windows with their earliest
+   places, which are dealt out anew by digest.
 5. The repeated windows of a document are joined to its text, merged into spans and cut out.
 
 A suffix that is in a third of all documents is sent once per slice of documents, never once per document.
@@ -44,6 +47,7 @@ from .common import begin, docs_of, keyed, restrict, slices, stage
 LENGTH, K = 100, 32
 SLICE_BYTES = 16_000_000  # text whose suffixes make one run
 BUCKET_BYTES = 64_000_000  # text to a bucket of the exchanges at most, on average
+HOT_GROUP = 50_000  # suffixes with the same first K bytes that a merger holds
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 _BYTE = np.random.default_rng(100).integers(1, 2**64 - 1, 256, dtype=np.uint64)
 _EMPTY = np.zeros(0, np.int64)
@@ -386,8 +390,9 @@ class LoserTree:
             self.winner = winner
 
 
-def merge(buckets: int, length: int):
-    """For the buckets of a partition, in order: the repeated windows of documents."""
+def merge(buckets: int, length: int, hot_group: int = HOT_GROUP):
+    """For the buckets of a partition, in order: the repeated windows of documents (doc_id null), and digests of hot groups' windows
+    (doc_id 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs: list[bytes] = []
@@ -395,31 +400,89 @@ def merge(buckets: int, length: int):
         for b in batches:
             for k, d, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if k != bucket:
-                    combine(runs, length, out)
+                    for part in combine(runs, length, out, hot_group):
+                        yield hot_rows(part, buckets)
                     runs, bucket = [], k
                 if x[:1] == b"W":
                     out.setdefault(d, []).extend(np.frombuffer(x, "<u4", -1, 1).tolist())
                 else:
                     runs.append(x)
-        combine(runs, length, out)
+        for part in combine(runs, length, out, hot_group):
+            yield hot_rows(part, buckets)
         yield letters({d: [np.array(w, "<u4").tobytes()] for d, w in out.items()}, buckets)
 
     return run
 
 
-def combine(runs: list[bytes], length: int, out: dict[int, list[int]]) -> None:
-    """Merges the runs of a bucket and notes the repeated windows."""
+def combine(runs: list[bytes], length: int, out: dict[int, list[int]], hot_group: int) -> Iterator[dict[bytes, tuple[int, int]]]:
+    """Merges the runs of a bucket and notes the repeated windows; gives the distinct windows of each part of a hot group."""
     group: list[tuple] = []
+    hot = False
     for shared, item in LoserTree([read_run(x) for x in runs]) if runs else ():
         if shared < 8 + K and group:
-            if len(group) > 1:
+            if hot:
+                yield distinct_windows(group, length, out)
+            elif len(group) > 1:
                 repeats(group, length, out)
-            group = []
+            group, hot = [], False
+        elif len(group) >= hot_group:
+            yield distinct_windows(group, length, out)
+            group, hot = [], True
         group.append((shared, *item[1:]))
-    if len(group) > 1:
+    if hot:
+        yield distinct_windows(group, length, out)
+    elif len(group) > 1:
         repeats(group, length, out)
 
 
+def distinct_windows(group: list[tuple], length: int, out: dict[int, list[int]]) -> dict[bytes, tuple[int, int]]:
+    """{digest: (document, start) of the earliest} of the windows of some suffixes; the others are repeats."""
+    first: dict[bytes, tuple[int, int]] = {}
+    for doc, p, a, z, own, left in sorted((doc, p, a, z, own, left) for _, own, left, doc, p, a, z in group):
+        text = left + own[8:]
+        for j in range(z - a + 1):
+            if first.setdefault(hashlib.blake2b(text[j : j + length], digest_size=16).digest(), (doc, a + j)) != (doc, a + j):
+                out.setdefault(doc, []).extend((a + j, a + j))
+    return first
+
+
+def hot_rows(first: dict[bytes, tuple[int, int]], buckets: int) -> pa.RecordBatch:
+    """A row for each bucket of digests."""
+    by: dict[int, list[bytes]] = {}
+    for digest, (doc, start) in first.items():
+        by.setdefault(int.from_bytes(digest[:4], "little") % buckets, []).append(digest + struct.pack("<qI", doc, start))
+    return _rows(list(by), [0] * len(by), [b"".join(x) for x in by.values()])
+
+
+def settle_hot(buckets: int):
+    """For the buckets of a partition, in order: of equal digests all but the earliest are repeats."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        bucket, out = None, {}
+        for b in batches:
+            for k, x in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if k != bucket:
+                    _settle_digests(held, out)
+                    held, bucket = [], k
+                held.append(x)
+        _settle_digests(held, out)
+        yield letters({d: [np.array(w, "<u4").tobytes()] for d, w in out.items()}, buckets)
+
+    return run
+
+
+def _settle_digests(held: list[bytes], out: dict[int, list[int]]) -> None:
+    if held:
+        e = np.frombuffer(b"".join(held), np.uint8).reshape(-1, 28)
+        high, low = (np.ascontiguousarray(e[:, i : i + 8]).view("<u8").ravel() for i in (0, 8))
+        doc, start = np.ascontiguousarray(e[:, 16:24]).view("<i8").ravel(), np.ascontiguousarray(e[:, 24:]).view("<u4").ravel()
+        order = np.lexsort((start, doc, low, high))
+        again = order[1:][(high[order][1:] == high[order][:-1]) & (low[order][1:] == low[order][:-1])]
+        for d, s in zip(doc[again].tolist(), start[again].tolist(), strict=True):
+            out.setdefault(d, []).extend((s, s))
+
+
 def repeats(group: list[tuple], length: int, out: dict[int, list[int]]) -> None:
     """``group``: suffixes that share their first K bytes, in order, each with its prefix shared with the one before."""
     classes: dict[tuple[bytes, bytes], tuple] = {}
@@ -485,7 +548,7 @@ def cut(length: int):
     return run
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot_group: int = HOT_GROUP) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     keyed_rows, names = keyed(docs_of(docs, id_col, text_col))
     rows = keyed_rows.select(F.col("key").alias("doc_id"), "text")
@@ -499,7 +562,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     wanted = stage(told.repartitionById(buckets, home).mapInArrow(gather, "doc_id long, data binary"), "wanted")
     some = restrict(rows, wanted, "doc_id").join(wanted.hint("merge"), "doc_id").select("doc_id", "text", "data")
     runs = some.mapInArrow(sorted_runs(buckets, length), SCHEMA)
-    found = runs.repartitionById(buckets, home).sortWithinPartitions("bucket").mapInArrow(merge(buckets, length), SCHEMA)
+    merged = stage(runs.repartitionById(buckets, home).sortWithinPartitions("bucket").mapInArrow(merge(buckets, length, hot_group), SCHEMA), "merged")
+    found, hot = merged.filter("doc_id is null"), merged.filter("doc_id is not null")
+    if hot.limit(1).count():
+        found = found.unionByName(hot.repartitionById(buckets, home).sortWithinPartitions("bucket").mapInArrow(settle_hot(buckets), SCHEMA))
     windows = stage(found.repartitionById(buckets, home).mapInArrow(gather, "doc_id long, data binary"), "windows")
     cuts = restrict(rows, windows, "doc_id").join(windows.hint("merge"), "doc_id").select("doc_id", "text", "data").mapInArrow(cut(length), "doc_id long, n_removed long, n_spans long, kept_sha256 string")
     out = base.join(cuts, "doc_id", "left")

@@ -96,6 +96,16 @@ def test_suffix_dedup_random(spark):
     assert suffix_rows(spark.createDataFrame(own, "doc_id long, text string").repartition(7)) == suffix_brute(own)
 
 
+def test_suffix_dedup_hot_groups(spark):
+    """A phrase among ever different words, in parts smaller than its group."""
+    r = random.Random(8)
+    phrase = "the same forty bytes of boilerplate text.. "
+    own = [(i, "".join(f"{long_text(r.randint(0, 10**6), 6)} {phrase}{'tail ' * r.randint(0, 40)}" for _ in range(r.randint(1, 4)))) for i in range(90)]
+    df = spark.createDataFrame(own, "doc_id long, text string").repartition(5)
+    got = sorted(((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix.suffix_dedup(df, hot_group=7).collect()), key=str)
+    assert got == suffix_brute(own) == suffix_rows(df)
+
+
 def test_suffix_dedup_repeated_ids(spark):
     """Rows of one id are documents of their own, in any row order and partitioning."""
     own = [(None if i % 13 == 0 else i % 7, t) for i, t in random_texts(6, 60)]
@@ -343,6 +353,24 @@ def test_quality_rules(spark, odd, documents, rows, data):
     assert quality.quality_rules(odd, empty(labels)).count() == len(ODD)
 
 
+def test_verdicts_on_labels_not_seen(spark):
+    """Rules learned from half of the labels judge the other half: they catch bad documents and leave good ones."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    got = quality.quality_rules(docs, labels.filter(half)).join(labels.filter(~half), "doc_id").collect()
+    good = [r.kept for r in got if r.quality == 1]
+    bad = [r.kept for r in got if r.quality == 0]
+    assert len(good) > 100 and len(bad) > 15 and np.mean(good) > 0.9 and np.mean(bad) < 0.4
+
+
+def test_repeated_and_null_labels(spark, documents):
+    labels = spark.createDataFrame([(i % 20, i % 2) for i in range(200)] + [(None, 0), (3, None)], "doc_id long, quality int")
+    once = quality.quality_rules(documents, labels).collect()
+    assert len(once) == documents.count()
+    assert sorted(map(str, once)) == sorted(map(str, quality.quality_rules(documents.repartition(5), labels.repartition(3)).collect()))
+
+
 def test_decision_list_learns_a_conjunction():
     r = np.random.default_rng(1)
     x = {"a": r.random(3000), "b": r.random(3000), "c": r.random(3000)}
@@ -386,6 +414,33 @@ def test_language_training_keeps_every_label_and_whole_texts(spark):
     assert {k for _, k in langid.training_rows(spark.createDataFrame(docs, "doc_id long, text string, label string"), 10)} == set(labels)
 
 
+def test_language_rules_against_brute_force(spark, odd):
+    """held_out, the rule for texts without letters, and predictions equal a direct convolution over whole texts."""
+    ids = spark.createDataFrame([(i,) for i in [*range(200), -5, 2**40]] + [(None,)], "doc_id long")
+    got = {x.doc_id: x.h for x in ids.select("doc_id", langid.held_out().alias("h")).collect()}
+    assert got == {i: i is not None and zlib.crc32(str(i).encode()) % 4 == 2 for i in [*range(200), -5, 2**40, None]}
+    net = langid.ByteCNN(["a", "b", "c"])
+    texts = ["x", "é漢字 word " * 90, "1 a", "y" * langid.WINDOW, "z" * (langid.WINDOW + 1)]
+    best, p = net.predict([t.encode() for t in texts], net.tables())
+    for t, k, q in zip(texts, best, p, strict=True):
+        b, total = t.encode(), np.zeros(3)
+        for at in range(0, len(b), langid.WINDOW):
+            w = b[at : at + langid.WINDOW]
+            x = np.frombuffer(w.ljust(langid.WINDOW, b" "), np.uint8)
+            e, pooled = net.p["emb"][x], []
+            for width in langid.WIDTHS:
+                z = np.array([sum(e[i + j] @ net.p[f"f{width}"][j] for j in range(width)) for i in range(langid.WINDOW - width + 1)])
+                pooled.append(z.max(0) + net.p[f"b{width}"])
+            z = np.maximum(np.concatenate(pooled), 0) @ net.p["out"] + net.p["bias"]
+            total += len(w) * (z - np.log(np.exp(z).sum()))
+        mean = np.exp(total / len(b) - (total / len(b)).max())
+        assert k == mean.argmax() and abs(q - mean.max() / mean.sum()) < 1e-4
+    rows = {x.doc_id: x.lang_pred for x in langid.identify(odd, spark.createDataFrame([(1, "abc def", "en"), (2, "xyz", None), (3, None, "de")], "doc_id long, text string, lang string")).collect()}
+    for d, t in ODD:
+        if d not in (None, 15):
+            assert rows[d] == ("en" if t and any(c.isalpha() for c in t) else "und"), d
+
+
 def test_network_tables_equal_the_network():
     net = langid.ByteCNN(["a", "b"])
     x = np.random.default_rng(0).integers(0, 256, (5, langid.WINDOW)).astype(np.uint8)
