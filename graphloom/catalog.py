@@ -179,6 +179,22 @@ def chunk_documents(spark, d):
     return c.select("doc_id", "chunk_id", "compat_id", "chunk_type", "char_count", "livre", "titre", F.size("atomic_ids").alias("ids"), "hash_id")
 
 
+@_query(r"""
+    WITH RECURSIVE d AS (SELECT doc_id, 'Livre I : D' || doc_id || chr(10) || regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM documents),
+    w AS (SELECT doc_id, string_split(t, chr(10)) AS parts, replace(t, chr(10), chr(10) || chr(10)) AS content FROM d),
+    p(doc_id, parts, i, g, held) AS (
+        SELECT doc_id, parts, 1, 0, length(parts[1]) FROM w WHERE length(content) > 1500
+        UNION ALL
+        SELECT doc_id, parts, i + 1, CASE WHEN held + length(parts[i + 1]) <= 1000 THEN g ELSE g + 1 END, CASE WHEN held + length(parts[i + 1]) <= 1000 THEN held + length(parts[i + 1]) ELSE length(parts[i + 1]) END FROM p WHERE i < len(parts))
+    SELECT doc_id, CAST(g AS INTEGER) AS ord, md5(string_agg(parts[i], chr(10) || chr(10) ORDER BY i)) AS content, CAST(sum(length(parts[i])) + 2 * (count(*) - 1) AS INTEGER) AS char_count FROM p GROUP BY doc_id, g
+    UNION ALL SELECT doc_id, 0, md5(content), CAST(length(content) AS INTEGER) FROM w WHERE length(content) BETWEEN 100 AND 1500""")
+def split_oversize(spark, d):
+    """Each document as one section of paragraphs: over 1,500 characters it is split at blank lines."""
+    body = F.concat(F.lit("Livre I : D"), F.col("doc_id").cast("string"), F.lit("\n"), text.strip("text"))
+    docs = _t(spark, d, "documents").select("doc_id", F.replace(body, F.lit("\n"), F.lit("\n\n")).alias("text"))
+    return chunking.chunk_documents(docs, chunking.PCG, 1000, 100).select("doc_id", "ord", F.md5("content").alias("content"), "char_count")
+
+
 @_query(f"WITH RECURSIVE {_CHUNKS} SELECT doc_id, chunk_id, count AS chunks FROM (SELECT doc_id, arg_min(printf('pcg-%04d', ord), ord) AS chunk_id, count(*) AS count FROM chunks GROUP BY doc_id)")
 def structure_counts(spark, d):
     c = chunking.chunk_documents(_legal(spark, d), chunking.PCG, 2000, 100)

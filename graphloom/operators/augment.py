@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.providers import Completer, Echo, complete, parse_reply
 from ..functions.text import fill
 from ..plans.staging import stage
+from ..plans.workers import small
 
 # Groups of interchangeable question phrasings, terms with alternatives, connectors with alternatives.
 QUESTION_GROUPS = [
@@ -120,7 +121,7 @@ def augment(pairs: DataFrame, n: int = 3, seed: int = 0) -> DataFrame:
     rest = [c for c in pairs.columns if c not in ("question", "answer")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 0, 1):
             take, qs, ans, which = [], [], [], []
             for i, (q, a) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
                 for v, (q2, a2) in enumerate([(q, a), *variants(q or "", a or "", n, seed)]):

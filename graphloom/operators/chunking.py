@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import context_prefix, hash_id
+from ..plans.workers import small
 
 
 @dataclass
@@ -139,7 +140,7 @@ def chunk_documents(docs: DataFrame, profile: Profile, most: int = 4000, least:
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 1):
             rows = [(d, i, c) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for i, c in enumerate(chunk_text(t or "", profile, most, least))]
             cols = [pa.array([d for d, _, _ in rows], b.column(0).type)]
             for n, t in (("chunk_id", pa.string()), ("compat_id", pa.string())):

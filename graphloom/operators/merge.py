@@ -1,8 +1,8 @@
 """Merging of partial graphs: ordered folds as aggregations.
 
 ``ord`` is the order in which records would be folded; the earliest wins ties. Every aggregate here is associative once
-``ord`` is a column, so Spark combines it map-side and no group is gathered in one task, except for sets of sources,
-which are distinct before they are collected.
+``ord`` is a column, so Spark combines it map-side in one pass and no group is gathered in one task, except for the set of
+its distinct sources, which is part of the result.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ def longest_first(text: str, ord: str = "ord") -> Column:
     return F.min_by(F.col(text), F.when(F.col(text).isNotNull(), F.struct((-F.length(text)).alias("n"), F.col(ord).alias("o"))))
 
 
-def _sources(df: DataFrame, keys: list[str]) -> DataFrame:
-    parts = df.select(*keys, F.explode("sources").alias("s")).distinct()
-    return parts.groupBy(*keys).agg(F.array_sort(F.collect_list("s")).alias("sources"))
+def _sources() -> Column:
+    """All sources of a group, sorted: sets of them are combined map-side."""
+    return F.array_sort(F.array_distinct(F.filter(F.flatten(F.collect_set("sources")), lambda s: s.isNotNull()))).alias("sources")
 
 
 def merge_entities(entities: DataFrame) -> DataFrame:
@@ -33,8 +33,8 @@ def merge_entities(entities: DataFrame) -> DataFrame:
         longest_first("description").alias("description"),
         F.min("ord").alias("ord"),
         F.count(F.lit(1)).alias("records"),
+        _sources(),
     )
-    out = out.join(_sources(e, ["key"]), "key", "left").withColumn("sources", F.coalesce("sources", F.array().cast("array<string>")))
     if "attributes" in entities.columns:
         kv = e.select("key", "ord", F.explode("attributes").alias("attr", "value"))
         one = kv.groupBy("key", "attr").agg(F.coalesce(F.min_by("value", F.when(F.col("value") != "", F.col("ord"))), F.min_by("value", "ord")).alias("value"))
@@ -55,8 +55,9 @@ def merge_relations(relations: DataFrame) -> DataFrame:
         longest_first("description").alias("description"),
         F.max("weight").alias("weight"),
         F.min("ord").alias("ord"),
+        _sources(),
     )
-    return out.join(_sources(r, keys), keys, "left").withColumn("sources", F.coalesce("sources", F.array().cast("array<string>")))
+    return out
 
 
 def collapse_edges(relations: DataFrame, source: str = "source_key", target: str = "target_key", ord: str = "ord") -> DataFrame:

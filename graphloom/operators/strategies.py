@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import choose, context_of, cut_to_full_stop, distinct_ignoring_case, fill, longest, strip
+from ..plans.workers import small
 from .graph import adjacency, edge_descriptions, two_hop_paths
 
 # The questions of each strategy, labels of entity types, and cue phrases.
@@ -135,7 +136,7 @@ def chunk_questions(g: Graph) -> DataFrame:
                 yield f"Quels sont les elements qui {subject} selon le PCG ?", said, [], "list", ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 2):
             rows = [(o, i, c, *f) for o, c, t, x in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True) for i, f in enumerate(found(t, x))]
             cols = list(zip(*rows, strict=True)) or [[]] * 8
             kinds = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string())

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -13,3 +16,17 @@ def find_package(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
+
+
+def small(batches: Iterator[pa.RecordBatch], *texts: int, rows: int = 1000, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the text columns at ``texts`` hold about ``limit`` bytes; a longer row comes alone."""
+    for b in batches:
+        size = sum(pc.fill_null(pc.binary_length(b.column(i)), 0).to_numpy(zero_copy_only=False).astype("int64") for i in texts)
+        first, held = 0, 0
+        for i, n in enumerate(size.tolist()):
+            if i > first and (held + n > limit or i - first >= rows):
+                yield b.slice(first, i - first)
+                first, held = i, 0
+            held += n
+        if first < b.num_rows:
+            yield b.slice(first)
