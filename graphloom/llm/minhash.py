@@ -27,7 +27,6 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,34 +43,60 @@ LEAST_EQUAL = 80
 BLOCK = 256
 #: In buckets of this size every class gets its exact difference from the leader.
 LARGE_BUCKET = 32
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _RNG = np.random.default_rng(2013)
 _A = _RNG.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _BAND = _RNG.integers(1, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-CACHE_SIZE = 250_000
 
 
-def _hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+def _powers(x: int, n: int) -> np.ndarray:
+    """x ** 0 .. x ** (n - 1), modulo 2 ** 64."""
+    out = np.full(n, x, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_BASE = 0xD1342543DE82EF95
+_CHARS = _RNG.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_CHARS[65:91] = _CHARS[97:123]  # A-Z count as a-z
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+PART = 1 << 18  # bytes whose words are hashed at once
+
+
+def word_hashes(data: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word: a polynomial over random values of its bytes, as differences of one running sum."""
+    cache = module_cache("powers")
+    if "up" not in cache:
+        cache["up"], cache["down"] = _powers(_BASE, PART + 1), _powers(pow(_BASE, -1, 2**64), PART + 1)
+    out, at = [], 0
+    while at < len(data):
+        end = min(len(data), at + PART)
+        while end < len(data) and not _SPACE[data[end - 1]]:  # back to white space, or on to it if one word fills the part
+            back = np.flatnonzero(_SPACE[data[at:end]])
+            end = at + int(back[-1]) + 1 if len(back) else min(len(data), end + PART)
+        b = data[at:end]
+        up, down = (cache["up"], cache["down"]) if len(b) <= PART else (_powers(_BASE, len(b)), _powers(pow(_BASE, -1, 2**64), len(b)))
+        space = np.ones(len(b) + 2, np.int8)
+        space[1:-1] = _SPACE[b]
+        edge = np.diff(space)
+        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        total = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(_CHARS[b] * up[: len(b)], out=total[1:])
+        h = (total[last] - total[first]) * down[first]
+        h ^= (last - first).astype(np.uint64) * _STEP
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        out.append(h ^ (h >> np.uint64(32)))
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def shingles(text: str, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles."""
-    words = WORD.findall(text.translate(_UPPER) if not text.isascii() else text.lower())
-    if not words:
-        return np.zeros(0, np.uint64)
-    cache = module_cache("word hashes")
-    if len(cache) > CACHE_SIZE:
-        cache.clear()
-    found = list(map(cache.get, words))
-    if None in found:
-        for i, h in enumerate(found):
-            if h is None:
-                found[i] = cache[words[i]] = _hash(words[i])
-    h = np.array(found, np.uint64)
+    h = word_hashes(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8))
+    if not len(h):
+        return h
     n = max(1, len(h) - width + 1)
     out = np.zeros(n, np.uint64)
     for j in range(min(width, len(h))):
