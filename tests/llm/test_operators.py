@@ -659,6 +659,28 @@ def test_pipeline_stages_on_odd_tables(spark, name):
         assert ids == {d for d, _ in ODD}
 
 
+COLUMNS = {
+    "op1_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op2_minhash_dedup": "doc_id n_shingles component_id kept",
+    "op3_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op4_exact_dedup": "doc_id keep_id group_size kept text_sha256",
+    "op5_best_fit": "doc_id piece start length ids_crc32 sequence_id offset",
+    "op6_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op7_language_id": "doc_id held_out lang_pred score",
+    "op9_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op10_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+}
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_query_returns_every_document(spark, data, documents, name):
+    df = queries.QUERIES[name](spark, data)
+    assert set(COLUMNS[name].split()) <= set(df.columns)
+    got = [r.doc_id for r in df.select("doc_id").collect()]
+    want = sorted(r.doc_id for r in documents.select("doc_id").collect())
+    assert (sorted(set(got)) if name == "op5_best_fit" else sorted(got)) == want
+
+
 def test_oracle_sql(spark, data):
     con = duckdb.connect()
     for t in ("documents", "conversations"):
