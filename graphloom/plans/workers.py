@@ -12,7 +12,14 @@ from pyspark.sql import SparkSession
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Bytes of an Arrow batch between Spark and its Python workers, which else is 10,000 rows of whole texts.
+BATCH_BYTES = "4m"
+
+
 def find_package(spark: SparkSession) -> None:
+    """Also bounds what Python workers get at once, unless the session has a bound of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
