@@ -14,6 +14,8 @@ Cases: a null text is rejected by the first stage and is empty for the others; r
 own, but of equal texts among them one row stays; of rows equal in id and text the least by its other columns stays;
 an id with several texts loses only those that are copies, and stays whole among near-duplicates if any of its rows
 stays; extra columns are dropped; an empty table gives an empty result.
+
+All stages run in the same executors, so each begins by having them return the heap that the one before needed.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from graphloom.llm import exact, langid, pii
 from graphloom.llm.common import MAX_BROADCAST_IDS, join_groups, pick, restrict, stage
 from graphloom.llm.minhash import near_dedup
 from graphloom.llm.queries import pack_documents
+from graphloom.plans.workers import give_back
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -34,6 +37,7 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    give_back(spark)
     docs = _documents(docs)
     told = langid.identify(docs, docs, keep=["lang", "source", "n_chars"]).filter("has_letters")
     learned = F.when(F.col("score") > 0, F.col("lang_pred"))  # a score of 0: no model was trained
@@ -41,6 +45,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    give_back(spark)
     docs = _documents(docs)
     verdict = exact.exact_dedup(docs)
     gone = stage(verdict.filter("not kept").select("doc_id"), "gone")
@@ -67,6 +72,7 @@ def _rows_that_stay(docs: DataFrame, verdict: DataFrame) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    give_back(spark)
     docs = _documents(docs)
     verdict = near_dedup(docs)
     gone = stage(verdict.filter("not kept").select("doc_id").distinct(), "gone")
@@ -81,10 +87,12 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    give_back(spark)
     return pii.redacted(_documents(docs), keep=["lang", "source"]).select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    give_back(spark)
     return pack_documents(_documents(docs))
 
 

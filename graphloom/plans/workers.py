@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -25,6 +27,14 @@ def find_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
 
 
+def give_back(spark: SparkSession) -> None:
+    """Lets the executors collect all garbage, after which their JVMs return heap to the system; else a heap stays as large as it ever
+    was, beside the Python workers. One short task per slot, dealt over all executors; nothing depends on it."""
+    n = spark.sparkContext.defaultParallelism
+    with contextlib.suppress(PySparkException):  # a session may forbid calls of Java methods
+        spark.range(0, n, 1, n).selectExpr("java_method('java.lang.System', 'gc')").collect()
+
+
 def small(batches: Iterator[pa.RecordBatch], *texts: int, rows: int = 1000, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the text columns at ``texts`` hold about ``limit`` bytes; a longer row comes alone."""
     for b in batches:

@@ -647,6 +647,18 @@ def test_pipeline_language_rejects_only_letterless_documents(spark):
     assert pipe_stage(spark, "language", und) == sorted([(d, t, "und") for d, t, _ in und if d != 51], key=str)
 
 
+def test_pipeline_stages_return_the_heap_of_the_one_before(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "one two three", "en", "s", 13)], "doc_id long, text string, lang string, source string, n_chars long")
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()  # of the driver, which runs the tasks here
+    for _, stage_of in corpus_pipeline.STAGES:
+        spark.range(0, 2, 1, 2).selectExpr("length(repeat(string(id), 300000000)) as n").agg({"n": "sum"}).collect()  # takes heap, keeps none
+        before = runtime.totalMemory()
+        stage_of(spark, docs, "")
+        assert runtime.totalMemory() < before - 200_000_000
+
+
 @pytest.mark.parametrize("name", ["language", "exact_dedup", "near_dedup", "pii", "packing"])
 def test_pipeline_stages_on_odd_tables(spark, name):
     assert pipe_stage(spark, name, []) == []
