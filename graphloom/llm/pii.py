@@ -8,8 +8,9 @@ shape with the same ends). So labels agree across a document. Labels are inferre
 base spans' labels are held fixed. A group of repeated tokens is a ring rather than all pairs, so edges grow with the tokens.
 
 All weights are learned, by pseudo-likelihood, on at most ``train_docs`` documents chosen by hash (a documented bound), in
-excerpts around at most 50 candidates each. They are labelled by the base patterns, and each match also teaches in altered
-writings that the patterns miss, beside its copy or alone, with the words around shown or hidden.
+excerpts around at most 50 candidates each. They are labelled by the base patterns, as are tokens that a pattern takes whole where
+they stand alone, and copies of labelled tokens. Each match also teaches in altered writings that the patterns miss, beside its
+copy or alone, with the words around shown or hidden.
 
 Tokens of which the field is sure (a marginal of ``SURE`` or more) become spans; neighbours of one label are one span. Base spans
 always stay; an added span never overlaps one.
@@ -349,11 +350,28 @@ def _altered(kind: int, said: str, r: random.Random) -> tuple[str, bool]:
     return r.choice([(" ".join(x for x in parts if x), False), ("-".join((digits[:-7], digits[-7:-4], digits[-4:])), True), (".".join((digits[:-7], digits[-7:-4], digits[-4:])), True), (digits, False), ("00" + digits, False)])
 
 
+def lone_spans(t: Tokens) -> list[tuple[int, int, int]]:
+    """(start, kind number, end) of the tokens without a label that a pattern takes whole where they stand alone."""
+    return [(t.spans[i][0], k, t.spans[i][1]) for i in np.flatnonzero(t.label == 0) for a, k, b in base_spans(t.cores[i])[:1] if (a, b) == (0, len(t.cores[i]))]
+
+
+def as_is(text: str) -> tuple[Tokens, list[tuple[int, int, int]]]:
+    """The candidates with the labels to learn, and the spans that have them by the patterns. No base span covering a token doesn't
+    mean that it is outside: one that a pattern takes whole where it stands alone, and a copy of a labelled one, have that label."""
+    base = base_spans(text)
+    said = sorted(base + lone_spans(candidates(text, base)))
+    t = candidates(text, said)
+    copies = SkipChainCRF.edges(t)["copy"].tolist()
+    for a, b in copies + copies[::-1]:
+        t.label[a], t.label[b] = t.label[a] or t.label[b], t.label[b] or t.label[a]
+    return t, said
+
+
 def lessons(text: str, seed: int) -> list[Tokens]:
     """Training texts made of one: as it is; with altered copies of its base matches, which keep their labels; with altered
     matches alone, which keep theirs only if they are plain by themselves; each once with the words around hidden, once shown."""
-    base, r = base_spans(text), random.Random(seed)
-    out = [candidates(text, base)]
+    (own, base), r = as_is(text), random.Random(seed)
+    out = [own]
     for a, k, b in base[:3]:
         said = text[a:b]
         before = text[max(0, a - 20) : a].rpartition(" ")[0] + " "
@@ -361,7 +379,7 @@ def lessons(text: str, seed: int) -> list[Tokens]:
             other, plain_by_itself = _altered(k, said, r)
             beside = f"{before}{said} _ {shown}{other} _"
             for whole, at, label in ((beside, beside.rindex(other), k + 1), (f"{shown}{other} _", len(shown), k + 1 if plain_by_itself else 0)):
-                t = candidates(whole, base_spans(whole))
+                t = as_is(whole)[0]
                 for i, (x, y) in enumerate(t.spans):
                     if x < at + len(other) and y > at:
                         t.label[i] = label

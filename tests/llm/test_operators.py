@@ -559,6 +559,14 @@ def test_field_adds_what_patterns_miss(spark):
     assert not any(not s.base for k, v in got.items() if k < 900 for s in v)
 
 
+def test_what_patterns_miss_is_not_taught_as_outside():
+    for text, labels in (
+        ("mail someone7@place.org or someone7@place·org in 7 days", [1, 1, 0]),  # a copy of a base match
+        ("paid with 4111111111111111 4111111111111111 in 2 parts", [3, 3, 0]),  # each is a match alone
+    ):
+        assert pii.lessons(text, 5)[0].label.tolist() == labels
+
+
 def test_field_does_not_depend_on_layout(spark):
     docs = field_docs()
     want = None
