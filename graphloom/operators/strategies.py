@@ -10,14 +10,18 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import product
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import choose, context_of, cut_to_full_stop, distinct_ignoring_case, fill, longest, strip
+from ..functions.digests import md5_heads
+from ..functions.text import choose, context_of, cut_to_full_stop, distinct_ignoring_case, fill, first_description, longest, strip
+from ..plans.staging import stage
 from ..plans.workers import small
-from .graph import adjacency, edge_descriptions, two_hop_paths
+from .graph import adjacency, edge_descriptions
 
 # The questions of each strategy, labels of entity types, and cue phrases.
 ENTITY = ["Qu'est-ce que {entity} dans le cadre du PCG ?", "Peux-tu definir {entity} selon le Plan Comptable General ?", "Quelle est la definition de {entity} en comptabilite francaise ?", "Explique le concept de {entity} dans le PCG 2026."]
@@ -101,17 +105,83 @@ def comparisons(g: Graph, most: int = 30, ahead: int = 3) -> DataFrame:
 
 def multihop(g: Graph, most: int = 200, most_neighbors: int | None = 100) -> DataFrame:
     """At most ``most`` paths of two edges, one per set of nodes, chosen by hash."""
-    p = two_hop_paths(g.edges, most_neighbors)
-    p = edge_descriptions(p.withColumn("key", F.array_join(F.array_sort(F.array("first", "middle", "last")), "|")), g.edges, "first", "middle").withColumnRenamed("edge_description", "d1")
+    p = _lowest_paths(g.edges, most, most_neighbors)
+    p = edge_descriptions(p, g.edges, "first", "middle").withColumnRenamed("edge_description", "d1")
     p = edge_descriptions(p, g.edges, "middle", "last").withColumnRenamed("edge_description", "d2")
-    p = p.filter((F.coalesce("d1", F.lit("")) != "") | (F.coalesce("d2", F.lit("")) != ""))
-    hashed = F.md5(F.encode(F.concat_ws("|", "first", "middle", "last"), "UTF-8"))
-    p = p.withColumn("h", hashed).groupBy("key").agg(F.min_by(F.struct("first", "middle", "last", "d1", "d2", "h"), "h").alias("p")).select("p.*")
+    none = [F.coalesce(d, F.lit("")) == "" for d in ("d1", "d2")]
+    # of several edges on a pair those with a description come first, then by it
+    p = p.filter(~(none[0] & none[1])).groupBy("key").agg(F.min_by(F.struct("first", "middle", "last", "d1", "d2", "h"), F.struct("h", *none, "d1", "d2")).alias("p")).select("p.*")
     p = p.orderBy("h").limit(most).withColumn("ord", F.conv(F.substring("h", 1, 12), 16, 10).cast("long"))
     a = F.concat_ws(" Ensuite, ", F.when(F.col("d1") != "", F.col("d1")), F.when(F.col("d2") != "", F.col("d2")))
     return _pairs(p, "multihop", fill(MULTIHOP, first=F.col("first"), middle=F.col("middle"), last=F.col("last")), a, F.array("first", "middle", "last"), path_length=F.lit(3), hops=F.lit(2))
 
 
+def _lowest_paths(edges: DataFrame, most: int, most_neighbors: int | None, block: int = 1000) -> DataFrame:
+    """(first, middle, last, h, key): of the paths with a described edge those with the lowest hashes, of ``most`` sets of nodes at
+    least, or all paths.
+
+    Every path is hashed, which is quadratic in a hub's neighbours, but only as arrays of bytes in the task that makes it: a hub's
+    neighbours are cut into blocks, pairs of blocks are dealt to the tasks evenly, and a path leaves its task only if its hash is
+    below a bound that a few thousand of all paths are expected to meet. Where too few sets do, the bound is raised.
+    """
+    spark = edges.sparkSession
+    adj = adjacency(edges.filter("a <> b").select("a", "b", (F.coalesce(first_description("description"), F.lit("")) != "").alias("said")))
+    adj = adj.groupBy("node", "neighbor").agg(F.max("said").alias("said"))
+    if most_neighbors:
+        by = Window.partitionBy("node").orderBy(F.xxhash64("neighbor"), "neighbor")
+        adj = adj.withColumn("rn", F.row_number().over(by)).filter(F.col("rn") <= most_neighbors).drop("rn")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("neighbor"))
+    blocks = adj.withColumn("block", F.floor((rank - 1) / block)).groupBy("node", "block").agg(F.array_sort(F.collect_list(F.struct("neighbor", "said"))).alias("own"))
+    blocks = stage(blocks.select("node", "block", F.col("own.neighbor").alias("names"), F.col("own.said").alias("said")), "blocks")
+    hubs = blocks.groupBy("node").agg(F.sum(F.size("names")).cast("double").alias("d"), F.sum(F.size(F.filter("said", lambda s: ~s))).cast("double").alias("u"))
+    total = hubs.agg(F.sum(F.expr("d * (d - 1) / 2 - u * (u - 1) / 2"))).first()[0] or 0.0
+    left = blocks.select(F.col("node").alias("middle"), F.col("block").alias("i"), F.col("names").alias("x"), F.col("said").alias("x_said"))
+    right = blocks.select(F.col("node").alias("middle"), F.col("block").alias("j"), F.col("names").alias("y"), F.col("said").alias("y_said"))
+    both = left.join(right, "middle").filter("i <= j").select("middle", (F.col("i") == F.col("j")).alias("same"), "x", "x_said", "y", "y_said")
+    both = both.repartition(4 * spark.sparkContext.defaultParallelism)
+    share = 12.0 * most / max(total, 1.0)  # a set of nodes has three paths at most
+    while True:
+        bound = min(2**32 - 1, int(share * 2**32))
+        low = both.mapInArrow(_hashed_below(bound), "first string, middle string, last string")
+        low = low.withColumns({"h": F.md5(F.concat_ws("|", "first", "middle", "last")), "key": F.array_join(F.array_sort(F.array("first", "middle", "last")), "|")})
+        low = stage(low, "paths")
+        if bound == 2**32 - 1 or low.select("key").distinct().count() >= most:
+            return low
+        share *= 8
+
+
+def _hashed_below(bound: int, most: int = 8192) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of the paths between two blocks of a node's neighbours those whose hash has first 32 bits up to ``bound``."""
+
+    def by_size(names: list[str], said: list[bool]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(bytes of the names, rank, said) of the names of each length."""
+        groups: dict[int, list[tuple[bytes, int, bool]]] = {}
+        for i, (name, s) in enumerate(zip(names, said, strict=True)):
+            groups.setdefault(len(raw := name.encode()), []).append((raw, i, s))
+        return [(np.frombuffer(b"".join(r for r, _, _ in g), np.uint8).reshape(len(g), n), np.array([i for _, i, _ in g]), np.array([s for _, _, s in g])) for n, g in groups.items()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: list[tuple[str, str, str]] = []
+            for middle, same, x, x_said, y, y_said in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                hub = np.frombuffer(f"|{middle}|".encode(), np.uint8)
+                for (xb, xi, xs), (yb, yi, ys) in product(by_size(x, x_said), by_size(y, y_said)):
+                    step = max(1, most // len(yi))
+                    for at in range(0, len(xi), step):
+                        part = slice(at, at + step)
+                        wanted = xs[part, None] | ys
+                        if same:
+                            wanted &= xi[part, None] < yi
+                        i, j = np.nonzero(wanted)
+                        if len(i):
+                            texts = np.hstack([xb[part][i], np.broadcast_to(hub, (len(i), len(hub))), yb[j]])
+                            found += [(x[xi[at + i[k]]], middle, y[yi[j[k]]]) for k in np.flatnonzero(md5_heads(texts) <= bound).tolist()]
+            cols = list(zip(*found, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["first", "middle", "last"])
+
+    return run
+
+
 def chunk_questions(g: Graph) -> DataFrame:
     """Definitions, articles, rules and lists found by cue phrases, whose places in the text matter."""
     one, dot = re.IGNORECASE | re.MULTILINE, re.IGNORECASE | re.DOTALL
