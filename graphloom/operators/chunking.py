@@ -7,9 +7,11 @@ chunked by ``mapInArrow``, one document at a time; packing of ready pieces is al
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,20 +38,23 @@ class Profile:
             if p.groups < 1:
                 raise ValueError(f"pattern {k!r} has no group for the id")
 
-    def elements(self, text: str) -> list[tuple[int, int, str, str, str]]:
-        """(start, end, type, id, title), in order of start."""
-        out = [(m.start(), m.end(), k, m[1], (m[2] or "").strip() if p.groups > 1 and m.lastindex and m.lastindex > 1 else "") for k, p in self.compiled.items() for m in p.finditer(text)]
-        return sorted(out, key=lambda e: e[0])
+    def elements(self, text: str) -> Iterator[tuple[int, int, str, str, str]]:
+        """(start, end, type, id, title), in order of start; the patterns go through the text side by side, so that no list is kept."""
+
+        def of(k: str, p: re.Pattern) -> Iterator[tuple[int, int, str, str, str]]:
+            for m in p.finditer(text):
+                yield m.start(), m.end(), k, m[1], (m[2] or "").strip() if p.groups > 1 and m.lastindex and m.lastindex > 1 else ""
+
+        return heapq.merge(*(of(k, p) for k, p in self.compiled.items()), key=lambda e: e[0])
 
     def sections(self, text: str) -> Iterator[tuple[dict[str, str | None], tuple, str]]:
         """(context, element, content) of each section with content; text before the first element belongs to none."""
         here: dict[str, str | None] = dict.fromkeys(self.hierarchy)
-        found = self.elements(text)
-        for i, e in enumerate(found):
+        for e, then in pairwise(chain(self.elements(text), [(len(text), len(text), "", "", "")])):
             if e[2] in here:
                 at = self.hierarchy.index(e[2])
                 here = {k: (f"{e[3]} - {e[4]}" if j == at else v if j < at else None) for j, (k, v) in enumerate(here.items())}
-            content = text[e[0] : found[i + 1][0] if i + 1 < len(found) else len(text)].strip()
+            content = text[e[0] : then[0]].strip()
             if content:
                 yield dict(here), e, content
 
@@ -100,38 +105,50 @@ def regroup(parts: list[str], most: int) -> list[list[str]]:
 
 
 def chunk_text(text: str, profile: Profile, most: int = 4000, least: int = 100) -> list[dict]:
-    """The chunks of one document. Packed chunks under ``least`` characters are dropped, those over 1.5 * ``most`` are
-    split at blank lines. ``chunk_id`` is unique; ``compat_id`` numbers as before splitting and can repeat."""
-    packed: list[tuple[dict, list[str], list[str]]] = []
+    return list(iter_chunks(text, profile, most, least))
+
+
+def _packed(text: str, profile: Profile, most: int) -> Iterator[tuple[dict, list[str], list[str]]]:
+    """(context, parts, ids) of sections packed greedily, one pack at a time."""
     parts, ids, size, context = [], [], 0, None
+    seen: set[str] = set()
     for here, (_, _, kind, own, _), content in profile.sections(text):
         if parts and (kind in profile.split_on or size + len(content) > most):
-            packed.append((context, parts, ids))
-            parts, ids, size = [], [], 0
+            yield context, parts, ids
+            parts, ids, size, seen = [], [], 0, set()
         parts.append(content)
         size += len(content)
         context = here
         if kind in profile.atomic_units:
-            ids = [*ids, own]
+            ids.append(own)
+            seen.add(own)
         for unit in profile.atomic_units:
             if unit in profile.compiled:
-                ids = ids + [m[1] for m in profile.compiled[unit].finditer(content) if m[1] not in ids]
+                fresh = [m[1] for m in profile.compiled[unit].finditer(content) if m[1] not in seen]
+                ids += fresh
+                seen.update(fresh)
     if parts:
-        packed.append((context, parts, ids))
-    out: list[dict] = []
-    number = 0
-    for context, parts, ids in packed:
+        yield context, parts, ids
+
+
+def iter_chunks(text: str, profile: Profile, most: int = 4000, least: int = 100) -> Iterator[dict]:
+    """The chunks of one document. Packed chunks under ``least`` characters are dropped, those over 1.5 * ``most`` are
+    split at blank lines. ``chunk_id`` is unique; ``compat_id`` numbers as before splitting and can repeat."""
+    given = number = last = 0
+    for context, parts, ids in _packed(text, profile, most):
         content = "\n\n".join(parts)
         if len(content) < least:
             continue
         kind, number = chunk_type(ids), number + 1
         pieces = ["\n\n".join(g) for g in regroup(content.split("\n\n"), most)] if len(content) > 1.5 * most else None
         for k, piece in enumerate(pieces or [content]):
-            compat = len(out) if pieces and k == 0 else number - 1 if not pieces else out[-1]["_n"] + 1
-            out.append({"chunk_id": f"{profile.name}-{len(out):04d}", "compat_id": f"{profile.name}-{compat:04d}", "_n": compat, "chunk_type": kind, "content": piece, "context": [(n, v) for n, v in context.items() if v is not None], "atomic_ids": [] if pieces else ids, "char_count": len(piece)})
-    return out
+            last = given if pieces and k == 0 else number - 1 if not pieces else last + 1
+            yield {"chunk_id": f"{profile.name}-{given:04d}", "compat_id": f"{profile.name}-{last:04d}", "_n": last, "chunk_type": kind, "content": piece, "context": [(n, v) for n, v in context.items() if v is not None], "atomic_ids": [] if pieces else ids, "char_count": len(piece)}
+            given += 1
 
 
+#: Characters and rows of chunks that are handed on at once.
+OUT_CHARS, OUT_ROWS = 2_000_000, 2000
 CHUNK = "chunk_id string, compat_id string, ord int, chunk_type string, content string, context map<string,string>, atomic_ids array<string>, char_count int"
 
 
@@ -139,16 +156,28 @@ def chunk_documents(docs: DataFrame, profile: Profile, most: int = 4000, least:
     """One row per chunk, with the context prefix in ``text`` and the content hash of that in ``hash_id``."""
     kind = dict(docs.dtypes)[id_col]
 
+    def batch(rows: list[tuple[object, int, dict]], id_type: pa.DataType) -> pa.RecordBatch:
+        cols = [pa.array([d for d, _, _ in rows], id_type)]
+        for n, t in (("chunk_id", pa.string()), ("compat_id", pa.string())):
+            cols.append(pa.array([c[n] for _, _, c in rows], t))
+        cols.append(pa.array([i for _, i, _ in rows], pa.int32()))
+        for n, t in (("chunk_type", pa.string()), ("content", pa.string()), ("context", pa.map_(pa.string(), pa.string())), ("atomic_ids", pa.list_(pa.string())), ("char_count", pa.int32())):
+            cols.append(pa.array([c[n] for _, _, c in rows], t))
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "chunk_id", "compat_id", "ord", "chunk_type", "content", "context", "atomic_ids", "char_count"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches, 1):
-            rows = [(d, i, c) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for i, c in enumerate(chunk_text(t or "", profile, most, least))]
-            cols = [pa.array([d for d, _, _ in rows], b.column(0).type)]
-            for n, t in (("chunk_id", pa.string()), ("compat_id", pa.string())):
-                cols.append(pa.array([c[n] for _, _, c in rows], t))
-            cols.append(pa.array([i for _, i, _ in rows], pa.int32()))
-            for n, t in (("chunk_type", pa.string()), ("content", pa.string()), ("context", pa.map_(pa.string(), pa.string())), ("atomic_ids", pa.list_(pa.string())), ("char_count", pa.int32())):
-                cols.append(pa.array([c[n] for _, _, c in rows], t))
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "chunk_id", "compat_id", "ord", "chunk_type", "content", "context", "atomic_ids", "char_count"])
+        for b in small(batches, 1):  # chunks go on as they are found, so that of a long document only its text is held
+            rows, held, kind = [], 0, b.column(0).type
+            for at in range(b.num_rows):
+                d, t = b.column(0)[at].as_py(), b.column(1)[at].as_py()
+                for i, c in enumerate(iter_chunks(t or "", profile, most, least)):
+                    rows.append((d, i, c))
+                    held += c["char_count"]
+                    if held > OUT_CHARS or len(rows) >= OUT_ROWS:
+                        yield batch(rows, kind)
+                        rows, held = [], 0
+            if rows:
+                yield batch(rows, kind)
 
     out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, {CHUNK}")
     levels = out.withColumns({n: F.col("context")[n] for n in profile.hierarchy})

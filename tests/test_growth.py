@@ -1,13 +1,14 @@
 """Steps whose cost must not grow faster than their input, or than the paths, pairs or texts that they have to visit."""
 
 import hashlib
+import time
 from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
 
 from graphloom.functions.digests import md5_heads
-from graphloom.operators import strategies
+from graphloom.operators import chunking, strategies
 
 
 def test_md5_heads():
@@ -42,3 +43,17 @@ def test_multihop_hashes_paths_where_they_are_made(spark):
     low = strategies._lowest_paths(df, 50, None, block=64)
     assert 50 <= low.count() < 3000 < len(best)
     assert {(r.h, r.first, r.middle, r.last) for r in low.collect()} >= set(sorted(best.values())[:50])
+
+
+def _articles(n: int) -> str:
+    return "Livre I : A\n\nTITRE I – B\n\n" + "".join(f"Article 100-{i} : C\nLes comptes X doivent etre presentes avec soin dans l'annexe.\n\n" for i in range(n))
+
+
+def test_ids_of_a_large_chunk_take_time_in_proportion():
+    def seconds(n: int) -> float:
+        text, at = _articles(n), time.process_time()
+        (c,) = chunking.chunk_text(text, chunking.PCG, 10**9, 1)[1:]
+        assert c["atomic_ids"] == [f"100-{i}" for i in range(n)]
+        return time.process_time() - at
+
+    assert seconds(16_000) < 9 * seconds(4_000)  # 16 times, if each id were sought in the list of those before it
