@@ -2,6 +2,7 @@
 
 import hashlib
 import time
+import tracemalloc
 from collections import defaultdict
 from itertools import combinations
 
@@ -57,3 +58,12 @@ def test_ids_of_a_large_chunk_take_time_in_proportion():
         return time.process_time() - at
 
     assert seconds(16_000) < 9 * seconds(4_000)  # 16 times, if each id were sought in the list of those before it
+
+
+def test_chunks_of_a_long_document_leave_as_they_are_found():
+    text = _articles(60_000)
+    tracemalloc.start()
+    n = sum(len(c["atomic_ids"]) for c in chunking.iter_chunks(text, chunking.PCG, 2000, 100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 60_000 and peak < 1_000_000 < len(text)  # all chunks of this text take over 5 MB
