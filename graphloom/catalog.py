@@ -16,6 +16,7 @@ from .operators import augment, chunking, filters, graph, merge, strategies
 from .operators.components import connected_components
 from .plans import control
 from .plans.staging import shared_dir, stage
+from .plans.workers import spread
 from .sources import formats, kg
 from .streaming import journal
 
@@ -403,7 +404,7 @@ _KG = f"""{_EDGES},
 
 
 def _entities(spark, d) -> DataFrame:
-    p = _t(spark, d, "part")
+    p = spread(_t(spark, d, "part"))
     return p.select(F.col("p_partkey").alias("ord"), F.concat("p_name", F.lit(" "), "p_partkey").alias("name"), F.col("p_brand").alias("entity_type"), F.array(F.concat(F.lit("Part "), "p_name", F.lit(" of type "), "p_type"), F.concat(F.lit("It costs "), "p_size")).alias("descriptions"))
 
 
@@ -518,7 +519,7 @@ def pairs_rule(spark, d):
 
 def _cue_chunks(spark, d) -> DataFrame:
     """A chunk per part with a definition and, for every other one, a list."""
-    p = _t(spark, d, "part")
+    p = spread(_t(spark, d, "part"))
     body = F.concat(F.lit("[Livre: I - L > Titre: II - "), "p_brand", F.lit("]\n\nIntro "), "p_partkey", F.lit(". Le terme "), "p_name", F.lit(" designe un element de type "), "p_type", F.lit(" et de taille "), F.col("p_size").cast("string"), F.lit("."))
     items = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" Les valeurs de "), "p_name", F.lit(" comprennent\n- la marque "), "p_brand", F.lit("\n- le type "), "p_type", F.lit(" complet\n"))).otherwise(F.lit(""))
     return p.select(F.col("p_partkey").alias("ord"), F.col("p_partkey").cast("string").alias("chunk_id"), F.concat(body, items).alias("content"))
@@ -633,7 +634,7 @@ _RULES = r"""
 
 def _rule_pairs(spark, d) -> DataFrame:
     """A pair per part: null, short, long and repeated ones, and answers that are an entity's name in capitals."""
-    p = _t(spark, d, "part")
+    p = spread(_t(spark, d, "part"))
     size, key = F.col("p_size"), F.col("p_partkey")
     question = F.when(size % 5 == 1, F.concat(F.lit(" "), F.substring("p_name", 1, 4))).when(size % 5 != 0, F.concat(F.lit("Que dire de "), "p_name", F.lit(" "), (key % 7).cast("string"), F.lit(" ?")))
     answer = F.when(size % 7 == 1, F.col("p_type")).when(size % 7 != 0, F.trim(F.repeat(F.concat("p_name", F.lit(" "), "p_type", F.lit(". ")), (1 + key % 60).cast("int"))))

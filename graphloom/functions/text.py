@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Clean-up rules applied in this order, and the character replacements of the final normalisation.
 CLEANUP = [(r"\n\s*\d+\s*\n", "\n"), (r"\n{3,}", "\n\n"), (r"[ \t]+\n", "\n")]
 QUOTES_FROM, QUOTES_TO, DELETED = "‘’“”–— ", "''\"\"-- ", "\x00�"
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 HASH_CHARS, HASH_HEX, EMBED_CHARS = 500, 12, 400
 
 
@@ -17,9 +18,15 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(x: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the value of ``x``, which is found once however often the body uses it."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
 def strip(x: Column | str) -> Column:
     """str.strip(): Unicode white space at both ends."""
-    return F.regexp_replace(_c(x), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    # from either end, as an expression for both would look at every blank in between
+    return F.reverse(F.ltrim(F.reverse(F.ltrim(_c(x), F.lit(BLANKS))), F.lit(BLANKS)))
 
 
 def clean(x: Column | str, rules: Sequence[tuple[str, str]] = CLEANUP) -> Column:

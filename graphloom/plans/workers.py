@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import PySparkException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -27,6 +27,12 @@ def find_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
 
 
+def spread(scan: DataFrame, least: int = 32) -> DataFrame:
+    """The rows of a table as it is read, dealt over all cores: a small file is read in one task, however much is made of its rows."""
+    n = max(least, 3 * scan.sparkSession.sparkContext.defaultParallelism)
+    return scan if scan.rdd.getNumPartitions() >= n else scan.repartition(n)
+
+
 def give_back(spark: SparkSession) -> None:
     """Lets the executors collect all garbage, after which their JVMs return heap to the system; else a heap stays as large as it ever
     was, beside the Python workers. One short task per slot, dealt over all executors; nothing depends on it."""
