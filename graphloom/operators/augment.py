@@ -95,6 +95,9 @@ def paraphrase_question(text: str, draw: Draw) -> str:
 
 def paraphrase_answer(text: str, draw: Draw) -> str:
     swaps = 0
+    if not any(said in text for said, _ in CONNECTORS):
+        draw.n += len(CONNECTORS)  # the draws of an order that nothing depends on
+        return _terms(text, draw, ANSWER_TERM_CHANCE)
     for said, others in sorted(CONNECTORS, key=lambda c: draw.number()):
         if swaps < MOST_SWAPS and said in text:
             text, swaps = text.replace(said, draw.one(others), 1), swaps + 1

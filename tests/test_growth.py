@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from graphloom import catalog
 from graphloom.functions import text
 from graphloom.functions.digests import md5_heads
-from graphloom.operators import chunking, filters, strategies
+from graphloom.operators import augment, chunking, filters, strategies
 
 
 def test_md5_heads():
@@ -104,3 +104,12 @@ def test_common_questions_are_judged_where_they_are(spark):
 def test_rows_of_a_small_table_are_dealt_over_all_cores(spark, data):
     for made in (catalog._rule_pairs, catalog._entities, catalog._cue_chunks):
         assert made(spark, data).rdd.getNumPartitions() >= 32
+
+
+def test_an_answer_without_connectors_draws_no_order(monkeypatch):
+    drawn = []
+    number = augment.Draw.number
+    monkeypatch.setattr(augment.Draw, "number", lambda self: drawn.append(0) or number(self))
+    draw = augment.Draw("k")
+    assert augment.paraphrase_answer("Part hot bolt of type ECONOMY", draw) == "Part hot bolt of type ECONOMY"
+    assert not drawn and draw.n == len(augment.CONNECTORS)  # later draws are those that came before
